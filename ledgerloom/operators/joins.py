@@ -133,13 +133,21 @@ def full_interval_join(facts: DataFrame, dim: DataFrame, key: str, at: str, star
     return left.unionByName(rest, allowMissingColumns=True)
 
 
-def expand_days(df: DataFrame, start: str | Column, end: str | Column, name: str = "day",
-                step: str = "day") -> DataFrame:
-    """One row per calendar step in [start, end]. Generated per row: no join to a calendar."""
+def expand_days(df: DataFrame, start: str | Column, end: str | Column, name: str = "day") -> DataFrame:
+    """One row per day in [start, end]. Generated per row: no join to a calendar."""
     start = F.col(start) if isinstance(start, str) else start
     end = F.col(end) if isinstance(end, str) else end
     first, last = start.cast("date"), end.cast("date")
-    return df.where(first <= last).withColumn(name, F.explode(F.sequence(first, last, F.expr(f"INTERVAL 1 {step}"))))
+    return df.where(first <= last).withColumn(name, F.explode(F.sequence(first, last, F.expr("INTERVAL 1 DAY"))))
+
+
+def expand_months(df: DataFrame, start: str | Column, end: str | Column, name: str = "month") -> DataFrame:
+    """One row per month whose first day lies in [start, end]."""
+    start = F.col(start) if isinstance(start, str) else start
+    end = F.col(end) if isinstance(end, str) else end
+    first, last = start.cast("date"), end.cast("date")
+    begin = F.when(F.day(first) == 1, first).otherwise(F.add_months(F.trunc(first, "month"), 1))
+    return df.where(begin <= last).withColumn(name, F.explode(F.sequence(begin, last, F.expr("INTERVAL 1 MONTH"))))
 
 
 def point_in_polygon(points: DataFrame, polys: DataFrame, lon: str, lat: str, ring: str,
