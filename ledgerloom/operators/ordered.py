@@ -185,3 +185,23 @@ def collapse_islands(df: DataFrame, keys: list[str], state: list[str], start: st
     return out.groupBy(*keys, "_lane", "_island", *state).agg(
         F.min(start).alias(start), F.max(end).alias(end), F.sum(count).alias(count),
         *[F.sum(name).alias(name) for name in sums]).drop("_lane", "_island", "_versions")
+
+
+def carry_forward(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
+                  columns: list[str]) -> DataFrame:
+    """Replace NULL by the last known value of the key, column by column."""
+    out = _cut(df, keys, chunk)
+    rank = F.struct(*[F.col(c) for c in order])
+    across = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"))) for c in columns}
+    carry = out.where(F.col(CHUNK).isNotNull()).groupBy(*keys, CHUNK).agg(
+        *[F.max_by(known[c], F.when(F.col(c).isNotNull(), rank)).alias("_e_" + c) for c in columns])
+    carry = carry.select(*keys, CHUNK, *[F.last("_e_" + c, ignorenulls=True).over(across).alias("_c_" + c)
+                                         for c in columns])
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(*_asc(order)).rowsBetween(*_TO_HERE)
+    for c in columns:
+        out = out.withColumn("_l_" + c, F.last(c, ignorenulls=True).over(inside))
+    out = _attach(out, carry, keys)
+    for c in columns:
+        out = out.withColumn(c, F.coalesce(F.col("_l_" + c), F.col("_c_" + c)["v"]))
+    return out.drop(CHUNK, *[p + c for c in columns for p in ("_l_", "_c_")])

@@ -1,6 +1,7 @@
 """Imports every plan module so that all queries are registered."""
 
-from ledgerloom.plans import aggregates, histories, joining, projections, scalars  # noqa: F401
+from ledgerloom.plans import (aggregates, checks, histories, joining, loading, projections,  # noqa: F401
+                              scalars)
 from ledgerloom.plans.registry import oracle_sql, queries
 
 __all__ = ["oracle_sql", "queries"]

@@ -64,6 +64,7 @@ def main(argv: list[str]) -> int:
     root = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
              .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
     import __spark_entry__ as entry
