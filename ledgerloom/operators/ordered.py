@@ -158,19 +158,20 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
 
 def collapse_islands(df: DataFrame, keys: list[str], state: list[str], start: str, end: str, chunk: Column,
                      order: list[str] | None = None, count: str | None = None,
-                     sums: dict[str, str] | None = None) -> DataFrame:
+                     sums: dict[str, str] | None = None, also: list[str] | None = None) -> DataFrame:
     """Gaps and islands: consecutive versions of a key with equal ``state`` become one interval.
+    Columns in ``also`` do not start an island, but an island is reported once per combination of them.
 
     Step 1 collapses inside (key, chunk). Only the first and last island of a chunk can continue in a
     neighbouring one, so step 2 lines up just those per key; inner islands are spread over all tasks."""
     order = order or [start, end]
-    sums = sums or {}
+    sums, also = sums or {}, also or []
     count = count or "_versions"
     here = F.struct(*[F.col(c) for c in state])
     w = Window.partitionBy(*keys, CHUNK).orderBy(*_asc(order))
     out = _cut(df, keys, chunk).withColumn("_new", (~here.eqNullSafe(F.lag(here).over(w))).cast("int"))
     out = out.withColumn("_no", F.sum("_new").over(w.rowsBetween(*_TO_HERE)))
-    out = out.groupBy(*keys, CHUNK, "_no", *state).agg(
+    out = out.groupBy(*keys, CHUNK, "_no", *state, *also).agg(
         F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias(count),
         *[F.sum(src).alias(name) for name, src in sums.items()])
     out = out.withColumn("_top", F.max("_no").over(Window.partitionBy(*keys, CHUNK)))
@@ -178,11 +179,12 @@ def collapse_islands(df: DataFrame, keys: list[str], state: list[str], start: st
     out = out.withColumn("_lane", F.when(edge, F.lit(0)).otherwise(
         1 + F.pmod(F.xxhash64(CHUNK, "_no"), F.lit(1 << 20))))
     w = Window.partitionBy(*keys, "_lane").orderBy(CHUNK, "_no")
-    goes_on = (here.eqNullSafe(F.lag(here).over(w)) & (F.col("_lane") == 0)
-               & ~F.col(CHUNK).eqNullSafe(F.lag(CHUNK).over(w)))
+    same_chunk = F.col(CHUNK).eqNullSafe(F.lag(CHUNK).over(w)) & F.lag("_no").over(w).isNotNull()
+    goes_on = ((same_chunk & (F.col("_no") == F.lag("_no").over(w)))
+               | (here.eqNullSafe(F.lag(here).over(w)) & (F.col("_lane") == 0) & ~same_chunk))
     out = out.withColumn("_new", F.when(goes_on, 0).otherwise(1))
     out = out.withColumn("_island", F.sum("_new").over(w.rowsBetween(*_TO_HERE)))
-    return out.groupBy(*keys, "_lane", "_island", *state).agg(
+    return out.groupBy(*keys, "_lane", "_island", *state, *also).agg(
         F.min(start).alias(start), F.max(end).alias(end), F.sum(count).alias(count),
         *[F.sum(name).alias(name) for name in sums]).drop("_lane", "_island", "_versions")
 
