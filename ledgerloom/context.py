@@ -57,6 +57,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Full parallelism ahead of an explode that multiplies rows. Sized by the session's shuffle partitions:
+    left to itself, AQE would merge the still small input into a few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 @dataclass
 class Context:
     """What every plan needs: session, input folder, the report date and the business time zone."""

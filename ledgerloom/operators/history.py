@@ -11,11 +11,11 @@ from ledgerloom.functions.dates import open_end, timedelta
 from ledgerloom.functions.keys import surrogate_md5
 from ledgerloom.operators.aggregate import unpivot
 from ledgerloom.operators.joins import expand_days, first_version_join
-from ledgerloom.operators.ordered import (carry_forward, collapse_islands, neighbours, time_chunk,
+from ledgerloom.operators.ordered import (carry_forward, collapse_islands, find_hot_keys, neighbours, time_chunk,
                                           with_first_last, with_totals)
 
 
-def change_history(df: DataFrame, key: str, field: str, at: str, order: list[str], chunk: Column) -> DataFrame:
+def change_history(df: DataFrame, key: str, field: str, at: str, order: list[str], chunk: Column | None) -> DataFrame:
     """Change log of one field: old value, new value, and how long the new one lasted.
 
     Rows without a change are dropped (NULL-safe); a first row only counts when it has a value."""
@@ -28,7 +28,7 @@ def drop_zero_length(df: DataFrame, start: str = "valid_from", end: str = "valid
     return df.where(F.col(start) != F.col(end))
 
 
-def derive_valid_to(df: DataFrame, key: str, start: str, order: list[str], chunk: Column, name: str = "valid_to",
+def derive_valid_to(df: DataFrame, key: str, start: str, order: list[str], chunk: Column | None, name: str = "valid_to",
                     default: Column | None = None) -> DataFrame:
     """End of a version = start of the next one; the last takes ``default`` (the open end if not given)."""
     out = neighbours(df, [key], order, chunk, following={"_next": start})
@@ -81,7 +81,8 @@ def merge_entries(versions: DataFrame, entries: DataFrame, key: str, first: str,
     hit = matched.select(key, "valid_from").distinct()
     bare = versions.join(hit, [key, "valid_from"], "left_anti")
     out = matched.withColumn("valid_from", F.col("entered_at")).unionByName(bare, allowMissingColumns=True)
-    return derive_valid_to(out.drop("valid_to"), key, "valid_from", ["valid_from", "stage"], time_chunk("valid_from"))
+    chunk = find_hot_keys(key, versions, entries).chunk(key, time_chunk("valid_from", grain))
+    return derive_valid_to(out.drop("valid_to"), key, "valid_from", ["valid_from", "stage"], chunk)
 
 
 def patch_open_ends(df: DataFrame, key: str, far_past: Column, horizon: Column | None = None,
@@ -101,7 +102,7 @@ def stamp_last(df: DataFrame, key: str, column: str, order: list[str], name: str
     return out.withColumn(name + "_only", F.when(F.col(column).eqNullSafe(F.col(name)), F.col(column)))
 
 
-def merge_histories(a: DataFrame, b: DataFrame, key: str, a_state: list[str], b_state: list[str], chunk: Column,
+def merge_histories(a: DataFrame, b: DataFrame, key: str, a_state: list[str], b_state: list[str], chunk: Column | None,
                     start: str = "valid_from") -> DataFrame:
     """Two histories of the same key on one timeline.
 

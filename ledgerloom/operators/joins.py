@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.context import spread
 from ledgerloom.functions.geo import ring_contains
 from ledgerloom.functions.text import norm_name
 
@@ -150,6 +151,18 @@ def expand_months(df: DataFrame, start: str | Column, end: str | Column, name: s
     return df.where(begin <= last).withColumn(name, F.explode(F.sequence(begin, last, F.expr("INTERVAL 1 MONTH"))))
 
 
+def expand_days_grouped(df: DataFrame, keys: list[str], start: str, end: str, name: str = "day",
+                        month: str = "month") -> DataFrame:
+    """Day expansion for a later ``groupBy(*keys, month, day)``: intervals are cut at month borders, shuffled
+    by (keys, month) while they are still intervals, and only then written out as days. The grouping finds
+    its rows in place, and a busy key is spread over its months."""
+    first, last = F.col(start).cast("date"), F.col(end).cast("date")
+    out = df.where(first <= last).withColumn(month, F.explode(
+        F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("INTERVAL 1 MONTH"))))
+    out = spread(out, *keys, month)
+    return expand_days(out, F.greatest(first, F.col(month)), F.least(last, F.last_day(F.col(month))), name)
+
+
 def point_in_polygon(points: DataFrame, polys: DataFrame, lon: str, lat: str, ring: str,
                      cell: float = 10.0, how: str = "inner") -> DataFrame:
     """Points to the areas that contain them.

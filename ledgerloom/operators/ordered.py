@@ -1,18 +1,20 @@
 """Ordered per-key computations that survive a key holding a large share of all rows.
 
-A plain ``Window.partitionBy(key).orderBy(ts)`` sorts a whole key in one task. Here every key is cut
-into *chunks* along its order (a day, a month, a number range). The window runs inside (key, chunk);
-what has to cross a chunk border - the last value, a row count, a running sum - is one small row per
-(key, chunk), built with map-side combine and carried forward by a second window over those rows only.
-The carry is joined back on (key, chunk), a partitioning the first window already produced.
+A plain ``Window.partitionBy(key).orderBy(ts)`` sorts a whole key in one task. That is the right plan for
+ordinary keys and a dead end for a hot one. ``find_hot_keys`` counts rows per key (map-side combined) and
+returns the few above a limit. Their rows are cut into *chunks* along the order (a day, a month, a number
+range), the window runs inside (key, chunk), and what has to cross a chunk border - the last value, a row
+count, a running sum - is one small row per (key, chunk), carried forward by a second window over those rows
+only. All other keys keep one chunk, ``NULL``, and never take part in the carrying. Without any hot key
+``chunk`` is None and the plain window is planned.
 
 The chunk expression must be a non-decreasing function of the first order column, and rows that tie on
 the full order list must fall in the same chunk (true for any function of the first order column).
-Rows whose key is NULL form one chunk of their own, so the border logic never applies to them.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +24,32 @@ CHUNK = "_chunk"
 _TO_HERE = (Window.unboundedPreceding, 0)
 
 
+HOT_KEY_ROWS = "spark.ledgerloom.hotKeyRows"   # rows of one key that one task should not have to sort
+MAX_HOT_KEYS = 20_000
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys with more rows than one task should handle."""
+
+    values: tuple = ()
+
+    def chunk(self, key: str, expr: Column) -> Column | None:
+        """``expr`` for hot keys, NULL for all others; None when there is nothing to split."""
+        return F.when(F.col(key).isin(*self.values), expr) if self.values else None
+
+
+def find_hot_keys(key: str, *dfs: DataFrame) -> HotKeys:
+    """Keys with more rows over all ``dfs`` than the limit. One aggregation over the key column alone; at most
+    ``MAX_HOT_KEYS`` come back, because the limit never drops below total / MAX_HOT_KEYS. Missing a key
+    could only cost time: results do not depend on which keys are split."""
+    limit = int(dfs[0].sparkSession.conf.get(HOT_KEY_ROWS, "1000000"))
+    counts = reduce(lambda a, b: a.union(b), [df.select(F.col(key).alias("k")) for df in dfs]).groupBy("k").count()
+    over = counts.where((F.col("count") > limit) & F.col("k").isNotNull())
+    top = over.orderBy(F.col("count").desc()).limit(MAX_HOT_KEYS).collect()
+    return HotKeys(tuple(r["k"] for r in top))
+
+
 def time_chunk(column: str, grain: str = "day") -> Column:
     """Chunk by calendar unit: day, week, month, quarter or year."""
     day = F.col(column).cast("date")
@@ -43,6 +71,11 @@ def _cut(df: DataFrame, keys: list[str], chunk: Column) -> DataFrame:
     return df.withColumn(CHUNK, F.when(~no_key, chunk))
 
 
+def _split_rows(df: DataFrame) -> DataFrame:
+    """Only the rows of split keys: nobody else needs anything carried."""
+    return df.where(F.col(CHUNK).isNotNull())
+
+
 def join_same(df: DataFrame, other: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Equi join on like-named keys where NULL matches NULL, as in grouping. Keeps the left keys."""
     right = other.select(*[F.col(k).alias("_k_" + k) for k in keys],
@@ -55,11 +88,15 @@ def _attach(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(small, [*keys, CHUNK], "left")
 
 
-def neighbours(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
+def neighbours(df: DataFrame, keys: list[str], order: list[str], chunk: Column | None,
                previous: dict[str, str] | None = None, following: dict[str, str] | None = None) -> DataFrame:
     """LAG / LEAD by one row. ``previous={"prev_stage": "stage"}`` adds the predecessor's stage.
 
     ``order`` has to be a total order within a key."""
+    if chunk is None:
+        w = Window.partitionBy(*keys).orderBy(*_asc(order))
+        return df.select("*", *[F.lag(src).over(w).alias(n) for n, src in (previous or {}).items()],
+                         *[F.lead(src).over(w).alias(n) for n, src in (following or {}).items()])
     out = _cut(df, keys, chunk)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*_asc(order))
     across = Window.partitionBy(*keys).orderBy(CHUNK)
@@ -70,7 +107,7 @@ def neighbours(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
             row = F.struct(*[F.col(src).alias(name) for name, src in wanted.items()])
             edges.append(pick(row, rank).alias(tag + "_edge"))
             steps.append((tag, list(wanted), row, move))
-    carry = out.where(F.col(CHUNK).isNotNull()).groupBy(*keys, CHUNK).agg(*edges)
+    carry = _split_rows(out).groupBy(*keys, CHUNK).agg(*edges)
     carry = carry.select(*keys, CHUNK, *[move(tag + "_edge").over(across).alias(tag + "_carry")
                                          for tag, _, _, move in steps])
     for tag, _, row, move in steps:
@@ -83,11 +120,13 @@ def neighbours(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
     return out.drop(CHUNK, *[t for tag, *_ in steps for t in (tag, tag + "_carry")])
 
 
-def row_numbers(df: DataFrame, keys: list[str], order: list[str], chunk: Column, name: str = "rn") -> DataFrame:
+def row_numbers(df: DataFrame, keys: list[str], order: list[str], chunk: Column | None, name: str = "rn") -> DataFrame:
     """ROW_NUMBER per key."""
+    if chunk is None:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*_asc(order))))
     out = _cut(df, keys, chunk)
     across = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    before = (out.where(F.col(CHUNK).isNotNull()).groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    before = (_split_rows(out).groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
               .select(*keys, CHUNK, F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_before")))
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*_asc(order))
     out = _attach(out.withColumn("_rn", F.row_number().over(inside)), before, keys)
@@ -95,12 +134,15 @@ def row_numbers(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
             .drop("_rn", "_before", CHUNK))
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list[str], chunk: Column, value: str,
+def running_sum(df: DataFrame, keys: list[str], order: list[str], chunk: Column | None, value: str,
                 name: str) -> DataFrame:
     """Cumulative sum per key up to and including the row."""
+    if chunk is None:
+        w = Window.partitionBy(*keys).orderBy(*_asc(order)).rowsBetween(*_TO_HERE)
+        return df.withColumn(name, F.sum(value).over(w))
     out = _cut(df, keys, chunk)
     across = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    before = (out.where(F.col(CHUNK).isNotNull()).groupBy(*keys, CHUNK).agg(F.sum(value).alias("_s"))
+    before = (_split_rows(out).groupBy(*keys, CHUNK).agg(F.sum(value).alias("_s"))
               .select(*keys, CHUNK, F.sum("_s").over(across).alias("_before")))
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*_asc(order)).rowsBetween(*_TO_HERE)
     out = _attach(out.withColumn("_local", F.sum(value).over(inside)), before, keys)
@@ -109,20 +151,26 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
     return out.withColumn(name, total).drop("_local", "_before", CHUNK)
 
 
-def dense_ranks(df: DataFrame, keys: list[str], column: str, chunk: Column, name: str,
+def dense_ranks(df: DataFrame, keys: list[str], column: str, chunk: Column | None, name: str,
                 desc_name: str | None = None) -> DataFrame:
     """DENSE_RANK of ``column`` per key, ascending and optionally descending.
 
     Ranks the distinct (key, value) pairs, so repeated values cost nothing after the map side."""
+    if chunk is None:
+        w = Window.partitionBy(*keys)
+        out = df.withColumn(name, F.dense_rank().over(w.orderBy(F.col(column).asc_nulls_last())))
+        return out.withColumn(desc_name, F.dense_rank().over(w.orderBy(F.col(column).desc_nulls_first()))) if desc_name else out
     pairs = _cut(df.select(*keys, column).distinct(), keys, chunk)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(F.col(column).asc_nulls_last())
     across = Window.partitionBy(*keys).orderBy(CHUNK)
-    sizes = pairs.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = _split_rows(pairs).groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
     sizes = sizes.select(
         *keys, CHUNK,
         (F.sum("_n").over(across.rowsBetween(*_TO_HERE)) - F.col("_n")).alias("_before"),
         F.sum("_n").over(Window.partitionBy(*keys)).alias("_all"))
-    ranked = _attach(pairs.withColumn("_rk", F.row_number().over(inside)), sizes, keys)
+    ranked = pairs.withColumn("_rk", F.row_number().over(inside)).withColumn(
+        "_here", F.count(F.lit(1)).over(Window.partitionBy(*keys, CHUNK)))
+    ranked = _attach(ranked, sizes, keys).withColumn("_all", F.coalesce("_all", "_here"))
     ranked = ranked.withColumn(name, F.col("_rk") + F.coalesce(F.col("_before"), F.lit(0)))
     cols = [*keys, column, name]
     if desc_name:
@@ -156,24 +204,29 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def collapse_islands(df: DataFrame, keys: list[str], state: list[str], start: str, end: str, chunk: Column,
+def collapse_islands(df: DataFrame, keys: list[str], state: list[str], start: str, end: str, chunk: Column | None,
                      order: list[str] | None = None, count: str | None = None,
                      sums: dict[str, str] | None = None, also: list[str] | None = None) -> DataFrame:
     """Gaps and islands: consecutive versions of a key with equal ``state`` become one interval.
     Columns in ``also`` do not start an island, but an island is reported once per combination of them.
 
-    Step 1 collapses inside (key, chunk). Only the first and last island of a chunk can continue in a
+    Step 1 collapses inside (key, chunk); without hot keys that is all. Only the first and last island of a chunk can continue in a
     neighbouring one, so step 2 lines up just those per key; inner islands are spread over all tasks."""
     order = order or [start, end]
     sums, also = sums or {}, also or []
     count = count or "_versions"
     here = F.struct(*[F.col(c) for c in state])
+    whole = chunk is None
     w = Window.partitionBy(*keys, CHUNK).orderBy(*_asc(order))
-    out = _cut(df, keys, chunk).withColumn("_new", (~here.eqNullSafe(F.lag(here).over(w))).cast("int"))
+    if whole:
+        w, df = Window.partitionBy(*keys).orderBy(*_asc(order)), df.withColumn(CHUNK, F.lit(None).cast("date"))
+    out = (df if whole else _cut(df, keys, chunk)).withColumn("_new", (~here.eqNullSafe(F.lag(here).over(w))).cast("int"))
     out = out.withColumn("_no", F.sum("_new").over(w.rowsBetween(*_TO_HERE)))
     out = out.groupBy(*keys, CHUNK, "_no", *state, *also).agg(
         F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias(count),
         *[F.sum(src).alias(name) for name, src in sums.items()])
+    if whole:
+        return out.drop(CHUNK, "_no", "_versions")
     out = out.withColumn("_top", F.max("_no").over(Window.partitionBy(*keys, CHUNK)))
     edge = (F.col("_no") == 1) | (F.col("_no") == F.col("_top"))
     out = out.withColumn("_lane", F.when(edge, F.lit(0)).otherwise(
@@ -189,14 +242,17 @@ def collapse_islands(df: DataFrame, keys: list[str], state: list[str], start: st
         *[F.sum(name).alias(name) for name in sums]).drop("_lane", "_island", "_versions")
 
 
-def carry_forward(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
+def carry_forward(df: DataFrame, keys: list[str], order: list[str], chunk: Column | None,
                   columns: list[str]) -> DataFrame:
     """Replace NULL by the last known value of the key, column by column."""
+    if chunk is None:
+        w = Window.partitionBy(*keys).orderBy(*_asc(order)).rowsBetween(*_TO_HERE)
+        return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
     out = _cut(df, keys, chunk)
     rank = F.struct(*[F.col(c) for c in order])
     across = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"))) for c in columns}
-    carry = out.where(F.col(CHUNK).isNotNull()).groupBy(*keys, CHUNK).agg(
+    carry = _split_rows(out).groupBy(*keys, CHUNK).agg(
         *[F.max_by(known[c], F.when(F.col(c).isNotNull(), rank)).alias("_e_" + c) for c in columns])
     carry = carry.select(*keys, CHUNK, *[F.last("_e_" + c, ignorenulls=True).over(across).alias("_c_" + c)
                                          for c in columns])

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import clock_minutes
 from ledgerloom.functions.logic import least_strict
-from ledgerloom.operators.aggregate import listagg_distinct
-from ledgerloom.operators.joins import expand_days, interval_join
+from ledgerloom.operators.joins import expand_days_grouped, interval_join
 from ledgerloom.operators.project import union_all
 
 
@@ -25,13 +24,13 @@ def absence_days(absences: DataFrame, remote: str = "offsite_work") -> DataFrame
     half = ((day == F.col("start_date")) & F.col("half_start")) | ((day == F.col("end_date")) & F.col("half_end"))
     fraction = F.when(half, F.lit(0.5)).otherwise(F.lit(1.0)).cast("decimal(4,1)")
     is_remote = F.col("kind") == remote
-    days = expand_days(absences, "start_date", "end_date")
+    days = expand_days_grouped(absences, ["employee_id"], "start_date", "end_date")
     days = days.withColumn("absence_type", F.when(~is_remote, F.col("kind"))).withColumn("fraction", fraction)
-    sums = days.groupBy("employee_id", "day").agg(
+    kinds = F.array_join(F.array_sort(F.collect_set("absence_type")), ";")   # a handful of kinds
+    return days.groupBy("employee_id", "month", "day").agg(
         F.sum(F.when(F.col("absence_type").isNotNull(), F.col("fraction"))).cast("double").alias("absence_days"),
-        F.sum(F.when(is_remote, F.col("fraction"))).cast("double").alias("homeoffice_days"))
-    kinds = listagg_distinct(days, ["employee_id", "day"], "absence_type", ";", "absence_type")
-    return sums.join(kinds, ["employee_id", "day"])
+        F.sum(F.when(is_remote, F.col("fraction"))).cast("double").alias("homeoffice_days"),
+        F.nullif(kinds, F.lit("")).alias("absence_type")).drop("month")
 
 
 def attendance(worked: DataFrame, absent: DataFrame) -> DataFrame:

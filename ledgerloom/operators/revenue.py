@@ -7,68 +7,89 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.context import spread
 from ledgerloom.functions.keys import surrogate_md5
 from ledgerloom.functions.logic import money
 from ledgerloom.operators.aggregate import sum_if
 from ledgerloom.operators.joins import expand_days, overlap_join
-from ledgerloom.operators.ordered import (carry_forward, collapse_islands, dense_ranks, first_per_key, neighbours,
+from ledgerloom.operators.ordered import (carry_forward, collapse_islands, dense_ranks, find_hot_keys, first_per_key, neighbours,
                                           running_sum, time_chunk, with_totals)
 from ledgerloom.operators.schedule import schedule
 
 
-def mrr_daily(subs: DataFrame, as_of: dt.date, key: str = "company_id", start: str = "start_date",
-              end: str = "end_date", amount: str = "monthly_amount") -> DataFrame:
-    """Company x day revenue between its first start and last end (open subscriptions: ``as_of``).
+def revenue_levels(subs: DataFrame, as_of: dt.date, key: str = "company_id", start: str = "start_date",
+                   end: str = "end_date", amount: str = "monthly_amount") -> DataFrame:
+    """Stretches of constant revenue per company, from its first start to its last end (open subscriptions:
+    ``as_of``), both days included.
 
     A subscription adds its amount on its first day and takes it off on its (exclusive) last. Summing those
-    steps per company gives constant stretches, which are then written out day by day: the work follows
-    the result, not subscriptions x days."""
-    end_day = F.coalesce(F.col(end), F.lit(as_of))
-    span = subs.groupBy(key).agg(F.max(end_day).alias("span_end"))
-    backwards = F.col(end).isNotNull() & (F.col(end) <= F.col(start))
-    steps = subs.select(key, F.when(backwards, F.array().cast("array<struct<day:date,delta:decimal(28,2)>>"))
-                        .otherwise(F.array(
-                            F.struct(F.col(start).alias("day"), F.col(amount).cast("decimal(28,2)").alias("delta")),
-                            F.struct(F.col(end).alias("day"), (-F.col(amount)).cast("decimal(28,2)").alias("delta")))).alias("s"))
-    steps = steps.select(key, F.explode("s").alias("s")).select(key, "s.day", "s.delta").where("day IS NOT NULL")
-    begins = subs.groupBy(key).agg(F.min(start).alias("day")).withColumn("delta", F.lit(0).cast("decimal(28,2)"))
-    points = steps.unionByName(begins).groupBy(key, "day").agg(F.sum("delta").alias("delta"))
-    chunk = time_chunk("day", "month")
-    level = running_sum(points, [key], ["day"], chunk, "delta", "monthly_revenue")
-    level = neighbours(level, [key], ["day"], chunk, following={"_next": "day"}).join(span, key)
-    level = level.withColumn("_last", F.coalesce(F.date_sub("_next", 1), F.col("span_end")))
-    daily = expand_days(level, "day", "_last", "date").drop("day", "delta", "_next", "_last")
-    daily = daily.withColumn("is_active", F.col("monthly_revenue") > 0)
-    active = F.when(F.col("is_active"), F.col("date"))
-    daily = with_totals(daily, [key], F.min(active).alias("first_active_date"), F.max(active).alias("last_active_date"))
-    return (daily.withColumn("is_first_date", F.coalesce(F.col("date") == F.col("first_active_date"), F.lit(False)))
-            .withColumn("is_last_date", F.coalesce(F.col("date") == F.col("last_active_date"), F.lit(False)))
-            .withColumn("date_customer_id", surrogate_md5(F.col(key), F.col("date"))))
-
-
-def churn_rows(mrr: DataFrame, as_of: dt.date) -> DataFrame:
+    steps gives the level after each change; nothing is written out day by day to get there."""
+    span = subs.groupBy(key).agg(F.max(F.coalesce(F.col(end), F.lit(as_of))).alias("span_end"),
+                                 F.min(start).alias("span_start"))
+    value = F.col(amount).cast("decimal(18,2)")
+    step = F.array(F.struct(F.col(start).alias("day"), value.alias("delta")),
+                   F.struct(F.col(end).alias("day"), (-value).cast("decimal(18,2)").alias("delta")))
+    forward = F.col(end).isNull() | (F.col(end) > F.col(start))
+    steps = subs.where(forward).select(key, F.explode(step).alias("s")).select(key, "s.*").where("day IS NOT NULL")
+    # a zero step opens the series and one on the day after its end closes it
+    edge = F.array(F.col("span_start"), F.date_add("span_end", 1))
+    edges = span.select(key, F.explode(edge).alias("day"), F.lit(0).cast("decimal(18,2)").alias("delta"))
+    points = steps.unionByName(edges).groupBy(key, "day").agg(F.sum("delta").alias("delta"))
+    chunk = find_hot_keys(key, subs).chunk(key, time_chunk("day", "month"))
+    out = running_sum(points, [key], ["day"], chunk, "delta", "monthly_revenue")
+    out = neighbours(out, [key], ["day"], chunk, following={"_next": "day"}).where(F.col("_next").isNotNull())
+    out = out.select(key, F.col("day").alias("level_from"), F.date_sub("_next", 1).alias("level_to"),
+                     F.col("monthly_revenue").cast("decimal(18,2)").alias("monthly_revenue"))
+    out = out.withColumn("is_active", F.col("monthly_revenue") > 0)
+    return with_totals(out, [key], F.max("level_to").alias("span_end"),
+                       F.min(F.when(F.col("is_active"), F.col("level_from"))).alias("first_active_date"),
+                       F.max(F.when(F.col("is_active"), F.col("level_to"))).alias("last_active_date"))
+
+
+def _daily(levels: DataFrame, key: str) -> DataFrame:
+    out = expand_days(spread(levels, key, "level_from"), "level_from", "level_to", "date")
+    for name, day in (("is_first_date", "first_active_date"), ("is_last_date", "last_active_date")):
+        out = out.withColumn(name, F.coalesce(F.col("date") == F.col(day), F.lit(False)))
+    return out.withColumn("date_customer_id", surrogate_md5(F.col(key), F.col("date")))
+
+
+def mrr_daily(levels: DataFrame, key: str = "company_id") -> DataFrame:
+    """Company x day revenue: the levels written out, without another shuffle."""
+    return _daily(levels, key).drop("level_from", "level_to", "span_end")
+
+
+def churn_rows(levels: DataFrame, as_of: dt.date, key: str = "company_id") -> DataFrame:
     """The zero row on the day after the last active day."""
     off = F.lit(False)
-    return (mrr.where(F.col("is_last_date") & (F.col("date") < F.lit(as_of)))
-            .withColumn("date", F.date_add("date", 1))
-            .withColumn("monthly_revenue", F.lit(0).cast(mrr.schema["monthly_revenue"].dataType))
-            .withColumn("is_active", off).withColumn("is_first_date", off).withColumn("is_last_date", off))
-
-
-def mrr_changes(mrr: DataFrame, as_of: dt.date, key: str = "company_id") -> DataFrame:
-    """Each day as new, churn, reactivation, upgrade, downgrade or none. Churn days that the daily series
-    already holds are not added again, so every (company, day) is there once before looking back."""
-    added = churn_rows(mrr, as_of).where(F.col("date") > F.col("span_end"))
-    out = neighbours(mrr.unionByName(added), [key], ["date"], time_chunk("date", "month"),
-                     previous={"previous_day_mrr": "monthly_revenue", "previous_day_is_active": "is_active"})
-    zero = F.lit(0).cast(mrr.schema["monthly_revenue"].dataType)
-    out = (out.withColumn("previous_day_mrr", F.coalesce("previous_day_mrr", zero))
-           .withColumn("previous_day_is_active", F.coalesce("previous_day_is_active", F.lit(False))))
+    last = levels.where(F.col("is_active") & (F.col("level_to") == F.col("last_active_date"))
+                        & (F.col("last_active_date") < F.lit(as_of)))
+    return last.select(key, F.date_add("last_active_date", 1).alias("date"),
+                       F.lit(0).cast("decimal(18,2)").alias("monthly_revenue"), off.alias("is_active"), "first_active_date",
+                       "last_active_date", off.alias("is_first_date"), off.alias("is_last_date"))
+
+
+def mrr_changes(levels: DataFrame, as_of: dt.date, key: str = "company_id") -> DataFrame:
+    """Each day as new, churn, reactivation, upgrade, downgrade or none.
+
+    Only the first day of a level can differ from the day before, so the look back runs over levels. A churn
+    day that lies within the series is part of it already; one after its end is appended as a level."""
+    extra = levels.where(F.col("is_active") & (F.col("level_to") == F.col("span_end")) & (F.col("span_end") < F.lit(as_of)))
+    extra = extra.withColumns({"level_from": F.date_add("span_end", 1), "level_to": F.date_add("span_end", 1),
+                               "monthly_revenue": F.lit(0).cast("decimal(18,2)"), "is_active": F.lit(False)})
+    chunk = find_hot_keys(key, levels).chunk(key, time_chunk("level_from", "month"))
+    out = neighbours(levels.unionByName(extra), [key], ["level_from"], chunk,
+                     previous={"_mrr": "monthly_revenue", "_active": "is_active"})
+    out = _daily(out, key)
+    begins = F.col("date") == F.col("level_from")
+    zero = F.lit(0).cast("decimal(18,2)")
+    out = out.withColumn("previous_day_mrr", F.when(begins, F.coalesce("_mrr", zero)).otherwise(F.col("monthly_revenue")))
+    out = out.withColumn("previous_day_is_active", F.when(begins, F.coalesce("_active", F.lit(False))).otherwise(F.col("is_active")))
     change = F.col("monthly_revenue") - F.col("previous_day_mrr")
     was, now = F.col("previous_day_is_active"), F.col("is_active")
     return out.withColumn("mrr_change", change).withColumn(
         "change_category", F.when(F.col("is_first_date"), "new").when(~now & was, "churn")
-        .when(now & ~was, "reactivation").when(change > 0, "upgrade").when(change < 0, "downgrade").otherwise("none"))
+        .when(now & ~was, "reactivation").when(change > 0, "upgrade").when(change < 0, "downgrade").otherwise("none")
+    ).drop("_mrr", "_active", "level_from", "level_to", "span_end")
 
 
 def subscriptions(invoices: DataFrame, items: DataFrame, deals: DataFrame, recurring: Column) -> DataFrame:
@@ -123,7 +144,8 @@ def contracted_revenue(items: DataFrame, deals: DataFrame, as_of: Column, span:
                 & (F.col("billing_start").isNull() | (F.col("billing_start") < F.col("valid_to"))))
     g = m.groupBy("deal_id", "deal_stage_sk", "line_item_id", "quantity", "billing_start", "billing_end").agg(
         F.min("valid_from").alias("valid_from"), F.max("valid_to").alias("valid_to"))
-    g = neighbours(g, ["deal_id", "line_item_id"], ["valid_from", "deal_stage_sk"], time_chunk("valid_from", grain),
+    chunk = find_hot_keys("deal_id", items, deals).chunk("deal_id", time_chunk("valid_from", grain))
+    g = neighbours(g, ["deal_id", "line_item_id"], ["valid_from", "deal_stage_sk"], chunk,
                    previous={"lag_quantity": "quantity"}, following={"_next": "valid_from"})
     g = g.withColumn("valid_to", F.coalesce("_next", "valid_to")).drop("_next")
     return (g.withColumn("is_active", (as_of >= F.col("valid_from")) & (as_of < F.col("valid_to")))
@@ -166,7 +188,8 @@ def next_invoices(contracts: DataFrame, invoices: DataFrame, as_of: Column, vat:
     marks = due.select("deal_id", F.col("date_key").alias("day"), F.lit(0).alias("_side"), F.lit(None).cast("date").alias("last_invoice_before"))
     past = invoices.select("deal_id", F.col("invoice_date").alias("day"), F.lit(1).alias("_side"),
                            F.col("invoice_date").alias("last_invoice_before")).distinct()
-    line = carry_forward(marks.unionByName(past), ["deal_id"], ["day", "_side"], time_chunk("day", "year"), ["last_invoice_before"])
+    chunk = find_hot_keys("deal_id", invoices).chunk("deal_id", time_chunk("day", "month"))
+    line = carry_forward(marks.unionByName(past), ["deal_id"], ["day", "_side"], chunk, ["last_invoice_before"])
     before = line.where("_side = 0").select("deal_id", F.col("day").alias("date_key"), "last_invoice_before")
     facts = invoices.groupBy("deal_id").agg(F.max("invoice_date").alias("last_invoice"),
                                             F.min(F.when(~F.col("is_paid"), F.col("invoice_date"))).alias("_unpaid"))
@@ -196,7 +219,8 @@ def recurring_invoiced(invoices: DataFrame) -> DataFrame:
     start and (later) end. Amounts are summed exactly per interval and only then divided."""
     inv = invoices.where("payment_interval <> 0 AND recurring_amount > 0")
     inv = inv.withColumn("_from", F.trunc("period_from", "month")).withColumn("_to", F.last_day("period_to"))
-    inv = dense_ranks(inv, ["deal_sk", "company_sk"], "_from", time_chunk("_from", "year"), "_rn", "_rn_desc")
+    hot = find_hot_keys("company_sk", inv)
+    inv = dense_ranks(inv, ["deal_sk", "company_sk"], "_from", hot.chunk("company_sk", time_chunk("_from", "quarter")), "_rn", "_rn_desc")
     first, last = F.col("_rn") == 1, (F.col("_rn_desc") == 1) & (F.col("contract_end") > F.col("_to"))
     inv = inv.withColumn("valid_from", F.when(first, F.coalesce("contract_start", "_from")).otherwise(F.col("_from")))
     inv = inv.withColumn("valid_to", F.when(last, F.col("contract_end")).otherwise(F.col("_to")))
@@ -208,15 +232,15 @@ def recurring_invoiced(invoices: DataFrame) -> DataFrame:
     g = g.withColumn("mrr_quarter", F.col("_q") / 3 + F.col("mrr_month"))
     g = g.withColumn("mrr_biannual", F.col("_b") / 6 + F.col("mrr_quarter"))
     g = g.withColumn("mrr_annual", F.col("_a") / 12 + F.col("mrr_biannual"))
-    g = _mrr_islands(g)
+    g = _mrr_islands(g, hot.chunk("company_sk", time_chunk("valid_from", "quarter")))
     return (g.withColumn("total_quarter", F.col("mrr_quarter") * 3).withColumn("total_biannual", F.col("mrr_biannual") * 6)
             .withColumn("total_annual", F.col("mrr_annual") * 12))
 
 
-def _mrr_islands(g: DataFrame) -> DataFrame:
+def _mrr_islands(g: DataFrame, chunk: Column | None) -> DataFrame:
     """Islands of equal annual-normalised revenue, reported per distinct level of the other three."""
-    return collapse_islands(g, ["company_sk"], ["mrr_annual"], "valid_from", "valid_to",
-                            time_chunk("valid_from", "quarter"), also=["mrr_biannual", "mrr_quarter", "mrr_month"])
+    return collapse_islands(g, ["company_sk"], ["mrr_annual"], "valid_from", "valid_to", chunk,
+                            also=["mrr_biannual", "mrr_quarter", "mrr_month"])
 
 
 def overdue(invoices: DataFrame, as_of: Column, days: int = 7) -> DataFrame:

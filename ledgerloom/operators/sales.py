@@ -114,7 +114,7 @@ def with_open(cohorts: DataFrame) -> DataFrame:
         "cohort_period", "period_delta", "cohort_type", "size_class")]))
 
 
-def funnel(hist: DataFrame, key: str, state: str, stages: list[str], chunk: Column) -> DataFrame:
+def funnel(hist: DataFrame, key: str, state: str, stages: list[str], chunk: Column | None) -> DataFrame:
     """Funnel entries per deal: the last time each stage was entered; stages skipped on the way get the
     deal's first date but no rank.
 
@@ -136,7 +136,7 @@ def funnel(hist: DataFrame, key: str, state: str, stages: list[str], chunk: Colu
     return out.where("valid_from IS NOT NULL")
 
 
-def stage_kpis(hist: DataFrame, key: str, state: str, value: str, stages: list[str], chunk: Column) -> DataFrame:
+def stage_kpis(hist: DataFrame, key: str, state: str, value: str, stages: list[str], chunk: Column | None) -> DataFrame:
     """Per week and stage entered: deals, their value and the mean days until the next stage, in long form.
     The value of a deal in a stage is its latest one there."""
     hist = with_first_last(hist, [key, state], ["valid_from", "valid_to"], last={"_value": value})

@@ -134,7 +134,7 @@ SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY
 FROM orders""")
 def w01(ctx: Context) -> DataFrame:
     orders = ctx.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return ordered.row_numbers(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], order_chunk()).drop("o_orderdate")
+    return ordered.row_numbers(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], order_chunk(ctx)).drop("o_orderdate")
 
 
 @query("w02_dense_rank", """
@@ -143,7 +143,7 @@ SELECT o_orderkey, o_custkey, dense_rank() OVER (PARTITION BY o_custkey ORDER BY
 FROM orders""")
 def w02(ctx: Context) -> DataFrame:
     orders = ctx.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return ordered.dense_ranks(orders, ["o_custkey"], "o_orderdate", order_chunk(), "rank_asc",
+    return ordered.dense_ranks(orders, ["o_custkey"], "o_orderdate", order_chunk(ctx), "rank_asc",
                                "rank_desc").drop("o_orderdate")
 
 
@@ -153,9 +153,9 @@ SELECT user_id, day, n, coalesce(lag(n) OVER w, 0) AS before, lead(n) OVER w AS
        lead(day) OVER w AS next_day
 FROM m WINDOW w AS (PARTITION BY user_id ORDER BY day)""", text="day next_day")
 def w03(ctx: Context) -> DataFrame:
-    """LAG with a default and LEAD over an aggregate."""
+    """LAG with a default and LEAD over an aggregate: one row per user and day, so no user is ever large."""
     daily = ctx.table("events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    out = ordered.neighbours(daily, ["user_id"], ["day"], ordered.time_chunk("day", "week"),
+    out = ordered.neighbours(daily, ["user_id"], ["day"], None,
                              previous={"before": "n"}, following={"after": "n", "next_day": "day"})
     return out.withColumn("before", F.coalesce("before", F.lit(0)))
 
@@ -177,7 +177,7 @@ SELECT o_orderkey, o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PAR
 FROM orders""", num="revenue_to_date")
 def w05(ctx: Context) -> DataFrame:
     orders = ctx.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", PRICE.alias("price"))
-    out = ordered.running_sum(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], order_chunk(), "price",
+    out = ordered.running_sum(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], order_chunk(ctx), "price",
                               "revenue_to_date")
     return out.select("o_orderkey", "o_custkey", "revenue_to_date")
 

@@ -88,7 +88,7 @@ SELECT company_id, CAST(date_trunc('month', date) AS DATE) AS month, count(*) AS
 FROM mrr GROUP BY 1, 2""", text="month", num="revenue_days")
 def i04(ctx: Context) -> DataFrame:
     """Daily recurring revenue of every company, reported per month."""
-    daily = rev.mrr_daily(_subs(ctx), ctx.as_of)
+    daily = rev.mrr_daily(rev.revenue_levels(_subs(ctx), ctx.as_of))
     return daily.groupBy("company_id", F.trunc("date", "month").alias("month")).agg(
         F.count(F.lit(1)).alias("days"), F.count_if("is_active").alias("active_days"), F.sum("monthly_revenue").alias("revenue_days"),
         F.count_if("is_first_date").alias("starts"), F.count_if("is_last_date").alias("ends"))
@@ -99,7 +99,7 @@ WITH {_MRR_SQL}
 SELECT company_id, CAST(date + 1 AS DATE) AS date, 0.0::DOUBLE AS monthly_revenue, FALSE AS is_active, first_active AS first_active_date,
   last_active AS last_active_date FROM mrr WHERE date = last_active AND date < {AS_OF}""", text="date first_active_date last_active_date")
 def i05(ctx: Context) -> DataFrame:
-    return rev.churn_rows(rev.mrr_daily(_subs(ctx), ctx.as_of), ctx.as_of).select(
+    return rev.churn_rows(rev.revenue_levels(_subs(ctx), ctx.as_of), ctx.as_of).select(
         "company_id", "date", "monthly_revenue", "is_active", "first_active_date", "last_active_date")
 
 
@@ -115,7 +115,7 @@ SELECT company_id, date, revenue AS monthly_revenue, mrr_change, change_category
        text="date", num="monthly_revenue mrr_change")
 def i06(ctx: Context) -> DataFrame:
     """Days on which a company's revenue changed, and how."""
-    out = rev.mrr_changes(rev.mrr_daily(_subs(ctx), ctx.as_of), ctx.as_of)
+    out = rev.mrr_changes(rev.revenue_levels(_subs(ctx), ctx.as_of), ctx.as_of)
     return out.where("change_category <> 'none'").select("company_id", "date", "monthly_revenue", "mrr_change", "change_category")
 
 
@@ -196,7 +196,7 @@ SELECT deal_id, line_item_id, quantity, vf AS valid_from, valid_to, lag_quantity
 def i09(ctx: Context) -> DataFrame:
     """Rate versions as line items under the intervals in which a user was in the won stage."""
     ts = lambda text: F.expr(f"TIMESTAMP_NTZ'{text}'")
-    won = collapse_islands(stage_hist(ctx), ["entity_id"], ["stage"], "valid_from", "valid_to", event_chunk()).where("stage = 'purchase'")
+    won = collapse_islands(stage_hist(ctx), ["entity_id"], ["stage"], "valid_from", "valid_to", event_chunk(ctx)).where("stage = 'purchase'")
     deals = won.select(c("entity_id").alias("deal_id"), F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("deal_stage_sk"),
                        ts("2024-01-05").alias("contract_start"), ts("2024-01-28").alias("contract_end"),
                        c("valid_from").alias("deal_from"), c("valid_to").alias("deal_to"))

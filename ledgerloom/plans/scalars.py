@@ -188,7 +188,7 @@ def f15(ctx: Context) -> DataFrame:
     t = ctx.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
                                    F.nullif(c("o_orderpriority"), F.lit("3-MEDIUM")).alias("prio"))
     t = t.withColumn("here", F.struct("o_orderstatus", "prio"))
-    out = neighbours(t, ["o_custkey"], ["o_orderdate", "o_orderkey"], order_chunk(),
+    out = neighbours(t, ["o_custkey"], ["o_orderdate", "o_orderkey"], order_chunk(ctx),
                      previous={"before": "here"})
     return out.select("o_orderkey", "o_custkey", (~c("here").eqNullSafe(c("before"))).alias("is_change"))
 

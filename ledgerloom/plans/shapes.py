@@ -11,17 +11,17 @@ from ledgerloom.context import Context
 from ledgerloom.functions.dates import open_end
 from ledgerloom.functions.geo import box_ring
 from ledgerloom.functions.logic import decode
-from ledgerloom.operators.ordered import neighbours, range_chunk, time_chunk
+from ledgerloom.operators.ordered import find_hot_keys, neighbours, time_chunk
 
 
-def event_chunk(column: str = "valid_from") -> Column:
-    """The event log spans one month: cut its histories by day."""
-    return time_chunk(column, "day")
+def event_chunk(ctx: Context, column: str = "valid_from", key: str = "entity_id") -> Column | None:
+    """The event log spans one month: histories of hot users are cut by day."""
+    return find_hot_keys("user_id", ctx.table("events")).chunk(key, time_chunk(column, "day"))
 
 
-def order_chunk(column: str = "o_orderdate") -> Column:
-    """Orders span years: cut them by month."""
-    return time_chunk(column, "month")
+def order_chunk(ctx: Context, column: str = "o_orderdate", key: str = "o_custkey") -> Column | None:
+    """Orders span years: those of hot customers are cut by month."""
+    return find_hot_keys("o_custkey", ctx.table("orders")).chunk(key, time_chunk(column, "month"))
 
 
 def stage_versions(ctx: Context) -> DataFrame:
@@ -33,7 +33,7 @@ def stage_versions(ctx: Context) -> DataFrame:
 
 def stage_hist(ctx: Context) -> DataFrame:
     """Stage history with half-open versions; the last one stays open."""
-    out = neighbours(stage_versions(ctx), ["entity_id"], ["valid_from", "event_id"], event_chunk(),
+    out = neighbours(stage_versions(ctx), ["entity_id"], ["valid_from", "event_id"], event_chunk(ctx),
                      following={"valid_to": "valid_from"})
     return out.withColumn("valid_to", F.coalesce("valid_to", open_end()))
 
@@ -106,6 +106,3 @@ def poly(ctx: Context) -> DataFrame:
 POLY = """poly AS (
   SELECT n_nationkey AS country_id, -180.0 + 14*n_nationkey AS min_lon, -180.0 + 14*n_nationkey + 14 AS max_lon,
          -60.0 AS min_lat, 60.0 AS max_lat FROM nation)"""
-
-__all__ = ["CONTRACT", "POLY", "RATE_HIST", "SITE", "STAGE_HIST", "contract", "event_chunk", "order_chunk", "poly",
-           "range_chunk", "rate_hist", "site", "stage_hist", "stage_versions"]

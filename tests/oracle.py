@@ -67,6 +67,8 @@ def main(argv: list[str]) -> int:
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
+    if "HOT_KEY_ROWS" in os.environ:   # force the path for hot keys
+        spark.conf.set("spark.ledgerloom.hotKeyRows", os.environ["HOT_KEY_ROWS"])
     import __spark_entry__ as entry
     plans, sqls, con = entry.queries(), entry.oracle_sql(), connect(root)
     picked = [k for k in plans if not argv or any(k.startswith(a) for a in argv)]
