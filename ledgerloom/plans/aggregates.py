@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.context import Context
 from ledgerloom.functions.dates import month_first
 from ledgerloom.functions.logic import div0, money
+from ledgerloom.functions.nested import associations, ids_of, size0
 from ledgerloom.operators import aggregate, ordered
 from ledgerloom.operators.ranks import row_number_keys, surrogate_rank
 from ledgerloom.plans.registry import query
 from ledgerloom.plans.shapes import order_chunk
 
-PRICE = money(F.col("o_totalprice"))
+
+def price() -> Column:
+    return money(F.col("o_totalprice"))
 
 
 @query("a01_group_agg", """
@@ -44,7 +47,7 @@ FROM orders GROUP BY o_custkey""", num="filled")
 def a03(ctx: Context) -> DataFrame:
     is_open = F.col("o_orderstatus") == "O"
     return ctx.table("orders").groupBy("o_custkey").agg(
-        aggregate.sum_if(F.col("o_orderstatus") == "F", PRICE).alias("filled"),
+        aggregate.sum_if(F.col("o_orderstatus") == "F", price()).alias("filled"),
         F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
         aggregate.count_distinct_if(is_open, F.col("o_orderpriority")).alias("open_priorities"))
 
@@ -75,7 +78,7 @@ GROUP BY year(o_orderdate), ROLLUP(p)""", num="revenue", ints="year")
 def a06(ctx: Context) -> DataFrame:
     orders = ctx.table("orders").select(
         F.year("o_orderdate").alias("year"), F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("priority"),
-        PRICE.alias("price"))
+        price().alias("price"))
     return aggregate.rollup_on(orders, ["year"], "priority",
                                [F.count(F.lit(1)).alias("orders"), F.sum("price").alias("revenue")])
 
@@ -102,16 +105,25 @@ def a08(ctx: Context) -> DataFrame:
 
 
 @query("a09_array_agg", """
-SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS order_ids, count(*) AS n_orders,
-       count(*) FILTER (WHERE o_orderstatus = 'O') AS n_open
-FROM orders GROUP BY o_custkey""")
+WITH t AS (SELECT o_orderkey, list_sort(list_filter([CASE WHEN o_orderstatus <> 'P' THEN o_custkey END, o_custkey + 7, CASE WHEN o_totalprice > 200000 THEN o_custkey - 3 END],
+             lambda x: x IS NOT NULL)) AS companies, CASE WHEN o_orderstatus = 'O' THEN [o_orderkey % 10] ELSE [] END AS tickets FROM orders)
+SELECT o_orderkey, companies AS company_ids, len(companies) AS n_companies, tickets AS ticket_ids, len(companies) + len(tickets) AS n_links FROM t""")
 def a09(ctx: Context) -> DataFrame:
-    """Ids of an association as one array per parent: the result is that array, so its size is the data's."""
-    ids = F.collect_list(F.struct("o_orderkey", "o_orderstatus"))
-    out = ctx.table("orders").groupBy("o_custkey").agg(ids.alias("a"))
-    kept = F.filter("a", lambda x: x["o_orderstatus"] == "O")
-    return out.select("o_custkey", F.array_sort(F.transform("a", lambda x: x["o_orderkey"])).alias("order_ids"),
-                      F.size("a").alias("n_orders"), F.size(kept).alias("n_open"))
+    """Ids per association type out of the JSON array of {id, type} a CRM row carries. The array belongs to its
+    row, so it is filtered and sorted in place and no group is ever collected."""
+    links = associations(F.to_json(F.filter(_links(), lambda a: a["id"].isNotNull())))
+    companies, tickets = ids_of(links, "company"), ids_of(links, "ticket")
+    return ctx.table("orders").select("o_orderkey", companies.alias("company_ids"), size0(companies).alias("n_companies"),
+                                      tickets.alias("ticket_ids"), size0(links).alias("n_links"))
+
+
+def _links() -> Column:
+    def link(ident: Column, kind: str) -> Column:
+        return F.struct(ident.cast("string").alias("id"), F.lit(kind).alias("type"))
+    cust, status = F.col("o_custkey"), F.col("o_orderstatus")
+    return F.array(link(cust + 7, "company"), link(F.when(status != "P", cust), "company"),
+                   link(F.when(F.col("o_totalprice") > 200000, cust - 3), "company"),
+                   link(F.when(status == "O", F.col("o_orderkey") % 10), "ticket"))
 
 
 @query("a10_debit_credit_long", """
@@ -176,7 +188,7 @@ SELECT o_orderkey, o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PAR
          ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS revenue_to_date
 FROM orders""", num="revenue_to_date")
 def w05(ctx: Context) -> DataFrame:
-    orders = ctx.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", PRICE.alias("price"))
+    orders = ctx.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", price().alias("price"))
     out = ordered.running_sum(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], order_chunk(ctx), "price",
                               "revenue_to_date")
     return out.select("o_orderkey", "o_custkey", "revenue_to_date")
@@ -191,7 +203,7 @@ SELECT month, priority, revenue, CASE WHEN CAST(sum(exact) OVER (PARTITION BY mo
 FROM m""", text="month")
 def w06(ctx: Context) -> DataFrame:
     monthly = ctx.table("orders").groupBy(month_first(F.col("o_orderdate")).alias("month"),
-                                          F.col("o_orderpriority").alias("priority")).agg(F.sum(PRICE).alias("exact"))
+                                          F.col("o_orderpriority").alias("priority")).agg(F.sum(price()).alias("exact"))
     out = ordered.with_totals(monthly, ["month"], F.sum("exact").alias("total"))
     return out.select("month", "priority", F.col("exact").cast("double").alias("revenue"),
                       div0(F.col("exact").cast("double"), F.col("total").cast("double")).alias("share"))

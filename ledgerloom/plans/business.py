@@ -380,8 +380,8 @@ def i29(ctx: Context) -> DataFrame:
 
 
 @query("i30_association_bridge", """
-WITH b AS (SELECT c_custkey AS ticket_id, 'deal' AS object_type, o_orderkey AS object_id FROM customer JOIN orders ON o_custkey = c_custkey
-   UNION ALL SELECT c_custkey, 'country', c_nationkey FROM customer),
+WITH b AS (SELECT o_orderkey AS ticket_id, 'company' AS object_type, unnest([o_custkey, o_custkey + 1]) AS object_id FROM orders WHERE o_orderstatus <> 'P'
+   UNION ALL SELECT o_orderkey, 'deal', o_orderkey % 100 FROM orders),
 p AS (SELECT l_orderkey AS event_id, l_partkey % 200 AS deal_id, nullif(l_suppkey % 3, 2) AS company_id FROM lineitem),
 dc AS (SELECT DISTINCT p_partkey % 200 AS deal_id, p_size % 2 AS own FROM part WHERE p_partkey < 150),
 k AS (SELECT p.event_id, p.deal_id, coalesce(p.company_id, dc.own) AS company_id FROM p LEFT JOIN dc ON dc.deal_id = p.deal_id
@@ -389,11 +389,12 @@ k AS (SELECT p.event_id, p.deal_id, coalesce(p.company_id, dc.own) AS company_id
 n AS (SELECT event_id, count(*) AS pairs, count(DISTINCT deal_id) AS num_deals, count(DISTINCT company_id) AS num_companies FROM k GROUP BY event_id)
 SELECT 'bridge' AS part, object_type AS label, ticket_id AS id, object_id AS a, CAST(NULL AS BIGINT) AS b FROM b UNION ALL SELECT 'pairs', NULL, event_id, pairs * 1000 + num_deals, num_companies FROM n""")
 def i30(ctx: Context) -> DataFrame:
-    """Association bridge of customers, and the pairing of line-item deals with companies."""
-    links = ctx.table("orders").groupBy("o_custkey").agg(F.collect_list("o_orderkey").alias("deals"))
-    arrays = ctx.table("customer").join(links, c("o_custkey") == c("c_custkey"), "left").select(
-        c("c_custkey").alias("ticket_id"), "deals", F.array("c_nationkey").alias("countries"))
-    b = crm.bridge(arrays, "ticket_id", {"deal": "deals", "country": "countries"}).select(
+    """Association bridge of orders, and the pairing of line-item deals with companies."""
+    cust = c("o_custkey")
+    arrays = ctx.table("orders").select(
+        c("o_orderkey").alias("ticket_id"), F.when(c("o_orderstatus") != "P", F.array(cust, cust + 1)).alias("companies"),
+        F.array(c("o_orderkey") % 100).alias("deals"))
+    b = crm.bridge(arrays, "ticket_id", {"company": "companies", "deal": "deals"}).select(
         F.lit("bridge").alias("part"), c("object_type").alias("label"), c("ticket_id").alias("id"), c("object_id").alias("a"), F.lit(None).cast("bigint").alias("b"))
     pairs = ctx.table("lineitem").select(c("l_orderkey").alias("event_id"), (c("l_partkey") % 200).alias("deal_id"),
                                          F.nullif(c("l_suppkey") % 3, F.lit(2)).alias("company_id"))

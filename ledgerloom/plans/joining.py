@@ -175,34 +175,32 @@ def d15(ctx: Context) -> DataFrame:
         "n_name", "status", F.coalesce("n", F.lit(0)).alias("orders"))
 
 
-def _orders_json(ctx: Context) -> DataFrame:
-    """Customers with their orders as an array of {id, type}, as a CRM delivers associations."""
-    links = ctx.table("orders").groupBy("o_custkey").agg(F.collect_list(F.struct(
-        c("o_orderkey").cast("string").alias("id"), c("o_orderstatus").alias("type"))).alias("deals"))
-    return ctx.table("customer").join(links, c("c_custkey") == c("o_custkey"), "left").select(
-        "c_custkey", F.to_json("deals").alias("deals"))
-
-
-@query("d16_flatten_inner", "SELECT o_custkey AS company_id, o_orderkey AS deal_id, o_orderstatus AS kind FROM orders")
+@query("d16_flatten_inner", """
+SELECT o_orderkey AS event_id, o_custkey AS linked_id, 'company' AS kind FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT o_orderkey, o_orderkey % 10, 'ticket' FROM orders WHERE o_totalprice > 200000""")
 def d16(ctx: Context) -> DataFrame:
-    arrays = _orders_json(ctx).select(c("c_custkey").alias("company_id"), associations(c("deals")).alias("deals"))
-    return joins.flatten(arrays, "deals", "deal").select(
-        "company_id", c("deal.id").cast("bigint").alias("deal_id"), c("deal.type").alias("kind"))
+    """JSON arrays of {id, type}: one row per element, none for rows without elements."""
+    def link(cond, ident, kind: str):
+        return F.when(cond, F.struct(ident.cast("string").alias("id"), F.lit(kind).alias("type")))
+    links = F.array(link(c("o_orderstatus") != "P", c("o_custkey"), "company"),
+                    link(c("o_totalprice") > 200000, c("o_orderkey") % 10, "ticket"))
+    raw = ctx.table("orders").select(c("o_orderkey").alias("event_id"), F.to_json(F.filter(links, lambda x: x.isNotNull())).alias("links"))
+    arrays = raw.select("event_id", associations(c("links")).alias("links"))
+    return joins.flatten(arrays, "links", "link").select(
+        "event_id", c("link.id").cast("bigint").alias("linked_id"), c("link.type").alias("kind"))
 
 
 @query("d17_flatten_outer", """
-SELECT c.c_custkey AS company_id, o.o_orderkey AS deal_id, s.s_suppkey AS contact_id FROM customer c
-LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) o ON o.o_custkey = c.c_custkey
-LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 5000) s ON s.s_suppkey = c.c_custkey""")
+WITH d AS (SELECT c_custkey, unnest(CASE WHEN c_nationkey % 4 = 0 THEN [NULL] ELSE range(1, c_nationkey % 4 + 1) END) AS deal_id FROM customer),
+k AS (SELECT c_custkey, unnest(CASE WHEN c_acctbal < 3000 THEN [NULL] ELSE [c_custkey * 2, c_custkey * 2 + 1] END) AS contact_id FROM customer)
+SELECT d.c_custkey AS company_id, deal_id, contact_id FROM d JOIN k ON k.c_custkey = d.c_custkey""", ints="deal_id")
 def d17(ctx: Context) -> DataFrame:
     """Two independent flattens keep the parent and multiply with each other."""
-    deals = ctx.table("orders").where("o_totalprice > 400000").groupBy(c("o_custkey").alias("k")).agg(
-        F.collect_list("o_orderkey").alias("deals"))
-    contacts = ctx.table("supplier").where("s_acctbal > 5000").groupBy(c("s_suppkey").alias("k")).agg(
-        F.collect_list("s_suppkey").alias("contacts"))
-    parents = ctx.table("customer").select(c("c_custkey").alias("k")).join(deals, "k", "left").join(contacts, "k", "left")
-    out = joins.flatten(joins.flatten(parents, "deals", "deal_id", outer=True), "contacts", "contact_id", outer=True)
-    return out.select(c("k").alias("company_id"), "deal_id", "contact_id")
+    n = c("c_nationkey") % 4
+    parents = ctx.table("customer").select(
+        c("c_custkey").alias("company_id"), F.when(n > 0, F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).alias("deals"),
+        F.when(c("c_acctbal") >= 3000, F.array(c("c_custkey") * 2, c("c_custkey") * 2 + 1)).alias("contacts"))
+    return joins.flatten(joins.flatten(parents, "deals", "deal_id", outer=True), "contacts", "contact_id", outer=True)
 
 
 @query("d18_sk_lookup", """

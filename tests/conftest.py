@@ -5,12 +5,13 @@ import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = (SparkSession.builder.master("local[8]").appName("ledgerloom-tests")
-               .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+               .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     from ledgerloom.context import tune
