@@ -114,13 +114,14 @@ def with_open(cohorts: DataFrame) -> DataFrame:
         "cohort_period", "period_delta", "cohort_type", "size_class")]))
 
 
-def funnel(hist: DataFrame, key: str, state: str, stages: list[str], chunk: Column | None) -> DataFrame:
+def funnel(hist: DataFrame, key: str, state: str, stages: list[str], chunk: Column | None,
+           order: list[str] | None = None) -> DataFrame:
     """Funnel entries per deal: the last time each stage was entered; stages skipped on the way get the
     deal's first date but no rank.
 
     After the islands everything is one aggregation per deal: the rank of a stage is the number of stages
     actually entered up to it, so no window is needed."""
-    islands = collapse_islands(hist, [key], [state], "valid_from", "valid_to", chunk)
+    islands = collapse_islands(hist, [key], [state], "valid_from", "valid_to", chunk, order)
     at = [F.max(F.when(F.col(state) == s, F.col("valid_from").cast("date"))).alias(f"_s{i}") for i, s in enumerate(stages)]
     wide = islands.where(F.col(state).isin(*stages)).groupBy(key).agg(
         F.min("valid_from").cast("date").alias("_first"), *at)
@@ -136,11 +137,13 @@ def funnel(hist: DataFrame, key: str, state: str, stages: list[str], chunk: Colu
     return out.where("valid_from IS NOT NULL")
 
 
-def stage_kpis(hist: DataFrame, key: str, state: str, value: str, stages: list[str], chunk: Column | None) -> DataFrame:
+def stage_kpis(hist: DataFrame, key: str, state: str, value: str, stages: list[str], chunk: Column | None,
+               order: list[str] | None = None) -> DataFrame:
     """Per week and stage entered: deals, their value and the mean days until the next stage, in long form.
     The value of a deal in a stage is its latest one there."""
-    hist = with_first_last(hist, [key, state], ["valid_from", "valid_to"], last={"_value": value})
-    islands = collapse_islands(hist, [key], [state], "valid_from", "valid_to", chunk, also=["_value"])
+    order = order or ["valid_from", "valid_to"]
+    hist = with_first_last(hist, [key, state], order, last={"_value": value})
+    islands = collapse_islands(hist, [key], [state], "valid_from", "valid_to", chunk, order, also=["_value"])
     islands = islands.where(F.col(state).isin(*stages))
     islands = neighbours(islands, [key], ["valid_from", state], chunk, following={"_next": "valid_from"})
     days = F.date_diff(F.col("_next").cast("date"), F.col("valid_from").cast("date"))
