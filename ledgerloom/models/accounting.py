@@ -168,7 +168,7 @@ def fact_expenses_invoiced(wh: Warehouse) -> DataFrame:
 
 
 def _deal_keys(wh: Warehouse) -> DataFrame:
-    return wh.ref("dim_deal").where("is_active AND deal_id > 0").select(
+    return wh.ref("dim_deal").where("is_active AND deal_id <> -1").select(
         "deal_id", "deal_sk", c("company_sk").alias("company_id"), c("payment_months").alias("months"), "contract_start", "contract_end")
 
 

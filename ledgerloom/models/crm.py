@@ -226,7 +226,7 @@ def fact_engagements(wh: Warehouse) -> DataFrame:
     """Engagements with the deal stage and owner version valid at their time."""
     out = wh.ref("staging_engagements")
     span = joins.time_span(out, "at")
-    deals = wh.ref("dim_deal").where("deal_id > 0").select("deal_id", "deal_sk", "deal_stage_sk", "stage_name", c("valid_from").alias("_df"), c("valid_to").alias("_dt"))
+    deals = wh.ref("dim_deal").where("deal_id <> -1").select("deal_id", "deal_sk", "deal_stage_sk", "stage_name", c("valid_from").alias("_df"), c("valid_to").alias("_dt"))
     out = joins.interval_join(out, deals, "deal_id", "at", "_df", "_dt", span=span)
     owners = wh.ref("dim_owner").where("owner_id IS NOT NULL").select("owner_id", "owner_sk", c("valid_from").alias("_of"), c("valid_to").alias("_ot"))
     out = joins.interval_join(out, owners, "owner_id", "at", "_of", "_ot", span=span)
