@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from ledgerloom.plans import catalogue
 from oracle import connect, difference
 
 ROOT = "/root/testdata/sf0.001"
-PLANS, SQL = entry.queries(), entry.oracle_sql()
+PLANS, SQL = catalogue.queries(), catalogue.oracle_sql()   # the llm subpackage brings its own tests
 
 
 @pytest.fixture(scope="module")
