@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, quality_rules
-from ledgerloom.llm.common import documents, word_count
+from ledgerloom.context import new_folder
+from ledgerloom.llm import bpe, language, mixing, quality_rules, token_counts, token_files
+from ledgerloom.llm.common import documents, stored, word_count
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -114,3 +115,47 @@ FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN kept USING (doc_id)
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines_failed", "n_words_kept", "base_failed", "kept")
+
+
+@register("op3_token_files")
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "token-files")
+    token_files.write_token_files(documents(spark, sf_dir), path)
+    return token_files.checksums(token_files.read_token_files(spark, path))
+
+
+@register("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after five batches over all documents: both tokenizers' counts, counts revised for texts without their repeated
+    lines, and deletion of exact copies; two of the batches are sent twice."""
+    docs = documents(spark, sf_dir)
+    text, lean = F.col("text"), token_counts.without_repeated_lines(F.col("text"))
+    shorter = F.when(F.length(lean) < F.length(text), lean)
+    counted = stored(docs.select("doc_id", "source", "lang", F.md5("text").alias("text_key"), shorter.isNotNull().alias("changed"),
+                                 token_counts.word_tokens(text).alias("word"), token_counts.byte_tokens(text).alias("byte"),
+                                 token_counts.word_tokens(shorter).alias("lean")), "token-counts")
+    feed = lambda rows, tokenizer, op, n, seq: rows.select("doc_id", "source", "lang", F.lit(tokenizer).alias("tokenizer"), F.lit(op).alias("op"),
+                                                           n.cast("bigint").alias("n_tokens"), F.lit(seq).cast("bigint").alias("seq"))
+    rollup = token_counts.TokenRollup(spark, new_folder(spark, "token-rollup"))
+    gone = counted.join(token_counts.copies(counted), "doc_id", "left_semi")
+    first = feed(counted, "word_bpe_49k", "insert", F.col("word"), 1)
+    rollup.apply("1-insert", first)
+    rollup.apply("2-second-tokenizer", feed(counted, "byte_bpe_50k", "insert", F.col("byte"), 2))
+    rollup.apply("3-revise", feed(counted.where("changed"), "word_bpe_49k", "revise", F.col("lean"), 3))
+    deletes = feed(gone, "word_bpe_49k", "delete", F.lit(None), 4).unionByName(feed(gone, "byte_bpe_50k", "delete", F.lit(None), 4))
+    rollup.apply("4-delete", deletes)
+    rollup.apply("4-delete", deletes)
+    rollup.apply("1-insert", first)
+    return rollup.totals()
+
+
+@register("op8_bpe")
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.roundtrip(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@register("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", language.held_out())
+    model = language.fit(docs.where("NOT held_out").select("text", "lang"))
+    return language.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
