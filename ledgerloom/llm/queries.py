@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.context import new_folder
-from ledgerloom.llm import bpe, language, mixing, quality_rules, token_counts, token_files
+from ledgerloom.llm import bpe, language, mixing, quality_rules, simhash, token_counts, token_files
 from ledgerloom.llm.common import documents, stored, word_count
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", language.held_out())
     model = language.fit(docs.where("NOT held_out").select("text", "lang"))
     return language.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@register("op5_simhash")
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
