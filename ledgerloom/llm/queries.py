@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.context import new_folder
-from ledgerloom.llm import bpe, language, mixing, quality_rules, simhash, token_counts, token_files
+from ledgerloom.llm import bpe, language, line_dedup, mixing, quality_rules, simhash, token_counts, token_files
 from ledgerloom.llm.common import documents, stored, word_count
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,27 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, md5(text) AS k, text, string_split(text, chr(10)) AS l,
+         list_transform(string_split(text, chr(10)), lambda x: len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))) AS n FROM documents),
+placed AS (
+  SELECT doc_id, k, i, 1 AS size, l[i] AS run FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM lines) WHERE n[i] >= 8
+  UNION ALL
+  SELECT doc_id, k, i, 2, l[i] || chr(10) || l[i + 1] FROM (SELECT *, unnest(range(1, len(l))) AS i FROM lines) WHERE n[i] + n[i + 1] > 0),
+later AS (
+  SELECT doc_id, k, i, size, dense_rank() OVER (PARTITION BY size, run ORDER BY doc_id NULLS FIRST, k, i) AS place FROM placed),
+gone AS (
+  SELECT doc_id, k, list(DISTINCT g) AS g FROM (SELECT doc_id, k, unnest(range(i, i + size)) AS g FROM later WHERE place > 1) GROUP BY ALL)
+SELECT d.doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(g), 0)::BIGINT AS n_lines_removed,
+       coalesce(len(list_filter(g, lambda x: NOT list_contains(g, x - 1))), 0)::BIGINT AS n_runs_removed,
+       CASE WHEN g IS NULL THEN text ELSE coalesce(array_to_string(list_transform(list_filter(range(1, len(l) + 1), lambda x: NOT list_contains(g, x)), lambda x: l[x]), chr(10)), '') END AS clean_text
+FROM lines d LEFT JOIN gone ON d.doc_id IS NOT DISTINCT FROM gone.doc_id AND d.k IS NOT DISTINCT FROM gone.k
+"""
+
+
+@register("op2_line_dedup", LINES_SQL)
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_lines_removed", "n_runs_removed", "clean_text")
