@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.context import new_folder
-from ledgerloom.llm import bpe, language, line_dedup, mixing, quality_rules, simhash, token_counts, token_files
+from ledgerloom.llm import bpe, embeddings, language, line_dedup, mixing, quality_rules, simhash, token_counts, token_files
 from ledgerloom.llm.common import documents, stored, word_count
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +189,8 @@ FROM lines d LEFT JOIN gone ON d.doc_id IS NOT DISTINCT FROM gone.doc_id AND d.k
 @register("op2_line_dedup", LINES_SQL)
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_lines_removed", "n_runs_removed", "clean_text")
+
+
+@register("op9_embedding_dedup")
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.linked_vectors(documents(spark, sf_dir, "embeddings"))
