@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.context import new_folder
-from ledgerloom.llm import bpe, embeddings, language, line_dedup, mixing, quality_rules, simhash, token_counts, token_files
+from ledgerloom.llm import bpe, embeddings, language, line_dedup, mixing, quality_rules, simhash, suffix_dedup, token_counts, token_files
 from ledgerloom.llm.common import documents, stored, word_count
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,3 +194,9 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_embedding_dedup")
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.linked_vectors(documents(spark, sf_dir, "embeddings"))
+
+
+@register("op1_repeated_passages")
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (suffix_dedup.repeated_passages(documents(spark, sf_dir))
+            .select("doc_id", "start", "n_words", "first_doc_id", F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, x: n + x["n_words"]).alias("n_removed"), "removed"))
