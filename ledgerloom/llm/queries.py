@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerloom.context import new_folder
 from ledgerloom.llm import bpe, embeddings, language, line_dedup, mixing, quality_rules, simhash, suffix_dedup, token_counts, token_files
 from ledgerloom.llm.common import documents, stored, word_count
@@ -200,3 +201,8 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (suffix_dedup.repeated_passages(documents(spark, sf_dir))
             .select("doc_id", "start", "n_words", "first_doc_id", F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, x: n + x["n_words"]).alias("n_removed"), "removed"))
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
