@@ -229,7 +229,8 @@ def repeated_passages(docs: DataFrame, passage: Passage = Passage()) -> DataFram
     small_batches(docs.sparkSession)
     keyed = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("key"), "text").withColumn("words", _word_hashes(F.col("text"))).drop("text")
     found = stored(keyed.mapInArrow(_anchor_rows(passage), "doc_id bigint, key bigint, pos int, gram bigint"), "suffix-anchors")
-    twice = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # what is joined to hot grams and classes is written first: the join then shuffles both sides anew and can split them
+    twice = stored(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "suffix-grams")
     wanted = (found.join(twice, "gram", "left_semi").groupBy("doc_id", "key").agg(F.collect_set(F.struct("pos", "gram")).alias("_at"))
               .select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("_at.pos").alias("at"), F.col("_at.gram").alias("grams")))
     texts = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("key"), "text")
@@ -250,13 +251,13 @@ def repeated_passages(docs: DataFrame, passage: Passage = Passage()) -> DataFram
     length = lambda c: (F.length(F.regexp_replace(F.hex(c), "(?:0{16})+$", "")) / 16).cast("int")
     own = (classes.where("again").select("gram", "class", length("before").alias("back"), length("after").alias("ahead"), spot.alias("other"))
            .where(F.col("back") + F.col("ahead") >= passage.min_words))
-    many = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("gram")
+    many = stored(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("gram"), "suffix-grams")
     windows = stored(classes.join(many, "gram", "left_semi").drop("again").mapInArrow(
         _window_rows(passage), "window bigint, back int, gram bigint, class bigint, doc_id bigint, key bigint, pos int"), "suffix-windows")
-    equal = windows.groupBy("gram", "window").agg(F.min(spot).alias("other"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    equal = stored(windows.groupBy("gram", "window").agg(F.min(spot).alias("other"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "suffix-windows")
     exact = (windows.join(equal, ["gram", "window"]).groupBy("gram", "class", "other")
              .agg(F.max("back").alias("back"), (F.lit(passage.min_words) - F.min("back")).alias("ahead")).select("gram", "class", "back", "ahead", "other"))
-    reach = matched.unionByName(own).unionByName(exact)
+    reach = stored(matched.unionByName(own).unionByName(exact).distinct(), "suffix-reach")
     gone = spot > F.col("other")
     reached = (suffixes.select("doc_id", "key", "pos", "gram", "class").distinct().join(reach, ["gram", "class"])
                .select("doc_id", "key", (F.col("pos") - F.col("back")).alias("start"), (F.col("pos") + F.col("ahead")).alias("end"),
