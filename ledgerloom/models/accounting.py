@@ -152,7 +152,8 @@ def fact_expenses_invoiced(wh: Warehouse) -> DataFrame:
     """Payroll rows shaped as receipts and real receipts without the payroll contacts."""
     pay = wh.ref("staging_personnel_expenses")
     contact = wh.ref("staging_contacts").select(c("contact_name").alias("employee_name"), "contact_id")
-    staff = wh.ref("staging_employees").where("is_active").select("employee_name", c("department").alias("cost_centre"), "employee_id").dropDuplicates(["employee_name"])
+    active = wh.ref("staging_employees").where("is_active").select("employee_name", c("department").alias("cost_centre"), "employee_id")
+    staff = first_per_key(active, ["employee_name"], [c("employee_id")])
     total = (c("gross_salary") + c("social_security")).cast("decimal(18,2)")
     wages = pay.join(contact, "employee_name", "left").join(staff, "employee_name", "left").select(
         "date_key", total.alias("net_amount"), F.lit(0).cast("decimal(18,2)").alias("tax_amount"), total.alias("gross_amount"),
@@ -197,9 +198,11 @@ def fact_revenue(wh: Warehouse) -> DataFrame:
     """Invoiced against booked by invoice number."""
     lines = wh.ref("staging_invoices").select("invoice_number", c("net_amount").alias("net"), "discount")
     both = revenue.reconcile(lines, wh.ref("staging_booked_revenue"), "invoice_number")
+    booked = wh.ref("staging_booked_revenue").groupBy("invoice_number").agg(F.max("date_key").alias("_booked"))
     heads = wh.ref("fact_revenue_invoiced").groupBy("invoice_number").agg(
         F.max("deal_sk").alias("deal_sk"), F.max("company_sk").alias("company_sk"), F.bool_or("is_paid").alias("is_paid"), F.max("invoice_date").alias("date_key"))
-    return both.join(heads, "invoice_number", "left").withColumn("company_sk", F.coalesce("company_sk", F.lit(-1)))
+    dated = both.join(heads, "invoice_number", "left").join(booked, "invoice_number", "left")
+    return dated.withColumn("date_key", F.coalesce("date_key", "_booked")).drop("_booked").withColumn("company_sk", F.coalesce("company_sk", F.lit(-1)))
 
 
 @model("mart_invoicing")

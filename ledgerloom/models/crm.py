@@ -315,7 +315,7 @@ def mart_customer_costs(wh: Warehouse) -> DataFrame:
     rates = wh.ref("dim_owner").where("owner_id IS NOT NULL AND gross_salary IS NOT NULL")
     rates = rates.select(c("owner_sk").alias("owner_id"), people.hourly_rate(rates).alias("rate"), "valid_from", "valid_to")
     tickets = wh.ref("mart_ticket_active").select(c("company_sk").alias("company_id"), c("owner_sk").alias("owner_id"), day(c("created_at")).alias("day"),
-                                                  c("hours_to_close").cast("decimal(18,3)").alias("minutes"))
+                                                  (c("hours_to_close") * (1 if wh.rules.ticket_hours_as_minutes else 60)).cast("decimal(18,3)").alias("minutes"))
     shared = F.when(c("num_companies") == 0, c("total_minutes")).otherwise(c("total_minutes") / c("num_companies"))
     events = wh.ref("fact_engagements").where("total_minutes > 0").select(
         c("company_sk").alias("company_id"), c("owner_sk").alias("owner_id"), day(c("at")).alias("day"), "event_id",

@@ -30,6 +30,7 @@ class Rules:
     quiet_ticket_stages: tuple[str, ...] = ("Closed", "Archived")
     service_hours: dict[str, tuple[int, int]] = field(default_factory=lambda: {"Partner": (8, 17), "Support": (10, 16)})
     tz: str = "Europe/Berlin"
+    ticket_hours_as_minutes: bool = False   # read a ticket's hours as minutes, as one source system's report does
 
 
 Model = Callable[["Warehouse"], DataFrame]
@@ -51,7 +52,7 @@ class Warehouse:
     snapshots are row histories with ``valid_from`` / ``valid_to`` (NULL while open)."""
 
     def __init__(self, spark: SparkSession, source: Callable[[str, str], DataFrame], snapshots: dict[str, DataFrame],
-                 as_of: dt.date, rules: Rules | None = None, store_tables: bool = False):
+                 as_of: dt.date, rules: Rules | None = None, store_tables: bool = True):
         self.spark, self._source, self._snapshots = tune(spark), source, snapshots
         self.as_of, self.rules, self._store = as_of, rules or Rules(), store_tables
         self._done: dict[str, DataFrame] = {}

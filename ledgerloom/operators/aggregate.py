@@ -15,10 +15,10 @@ def count_distinct_if(cond: Column, value: Column) -> Column:
 
 
 def listagg_distinct(df: DataFrame, keys: list[str], column: str, sep: str, name: str) -> DataFrame:
-    """Distinct values of a group, sorted and joined; NULL when there are none. The sets are reduced on the
-    map side, so a group never brings its duplicates to one task."""
-    joined = F.array_join(F.array_sort(F.collect_set(column)), sep)
-    return df.groupBy(*keys).agg(F.nullif(joined, F.lit("")).alias(name))
+    """Distinct values of a group, sorted and joined; NULL when there are none. Duplicates are gone before the values of a group
+    meet, so a task holds the group's text, which is the result, and nothing more."""
+    joined = F.array_join(F.array_sort(F.collect_list(column)), sep)
+    return df.select(*keys, column).distinct().groupBy(*keys).agg(F.nullif(joined, F.lit("")).alias(name))
 
 
 def rollup_on(df: DataFrame, keys: list[str], roll: str, aggs: list[Column],

@@ -54,7 +54,8 @@ def working_minutes(df: DataFrame, start: str, ends: dict[str, Column], opens: C
 
     Instead of one row per day, both ends are looked up in a calendar that carries the number of working
     days before each date: minutes(end) - minutes(start). Two joins with a small table, whatever the
-    length of the interval. ``opens`` and ``closes`` are hours and may differ per row."""
+    length of the interval. ``opens`` and ``closes`` are hours and may differ per row. A time outside the calendar
+    is an error, a NULL time gives 0."""
     before = Window.orderBy("date_key").rowsBetween(Window.unboundedPreceding, -1)   # calendar only
     works = (F.col("is_weekday") & ~F.col("is_holiday")).cast("int")
     days = cal.select("date_key", works.alias("_works"))
@@ -66,7 +67,8 @@ def working_minutes(df: DataFrame, start: str, ends: dict[str, Column], opens: C
         today = F.greatest(F.lit(0), F.least(span, minute - opens * 60))
         keyed = out.withColumn("_d", at.cast("date")).withColumn("_today", today)
         keyed = keyed.join(days, F.col("_d") == F.col("date_key"), "left")
-        value = F.col("_done") * span + F.col("_works") * F.col("_today")
+        value = F.when(F.col("_d").isNotNull() & F.col("date_key").isNull(), F.raise_error(F.concat(F.lit("no calendar day "), F.col("_d").cast("string"))).cast("bigint")
+                       ).otherwise(F.col("_done") * span + F.col("_works") * F.col("_today"))
         return keyed.withColumn(name, value).drop("_d", "_today", "date_key", "_works", "_done")
 
     out = total(df, F.col(start), "_m0")

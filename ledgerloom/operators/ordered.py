@@ -40,14 +40,17 @@ class HotKeys:
 
 
 def find_hot_keys(key: str, *dfs: DataFrame) -> HotKeys:
-    """Keys with more rows over all ``dfs`` than the limit. One aggregation over the key column alone; at most
-    ``MAX_HOT_KEYS`` come back, because the limit never drops below total / MAX_HOT_KEYS. Missing a key
-    could only cost time: results do not depend on which keys are split."""
+    """Every key with more rows over all ``dfs`` than the limit. One aggregation over the key column alone. Where more than
+    ``MAX_HOT_KEYS`` keys pass the limit it rises to total / MAX_HOT_KEYS rows, which no more than so many keys can pass:
+    what is then left whole is too small a share of the rows to hold up a task, and no key above the limit is left out."""
     limit = int(dfs[0].sparkSession.conf.get(HOT_KEY_ROWS, "1000000"))
     counts = reduce(lambda a, b: a.union(b), [df.select(F.col(key).alias("k")) for df in dfs]).groupBy("k").count()
     over = counts.where((F.col("count") > limit) & F.col("k").isNotNull())
-    top = over.orderBy(F.col("count").desc()).limit(MAX_HOT_KEYS).collect()
-    return HotKeys(tuple(r["k"] for r in top))
+    found = over.limit(MAX_HOT_KEYS + 1).collect()
+    if len(found) > MAX_HOT_KEYS:
+        total = counts.agg(F.sum("count")).first()[0]
+        found = over.where(F.col("count") > total / MAX_HOT_KEYS).collect()
+    return HotKeys(tuple(r["k"] for r in found))
 
 
 def time_chunk(column: str, grain: str = "day") -> Column:
@@ -198,9 +201,10 @@ def with_first_last(df: DataFrame, keys: list[str], order: list[str], first: dic
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key, the first in the given order. The filter on row_number lets Spark cut
-    every map task to one row per key before the shuffle, so hot keys arrive already reduced."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+    """One row per key, the first in the given order; a hash of the whole row settles ties, so a rerun picks the same. The
+    filter on row_number lets Spark cut every map task to one row per key before the shuffle, so hot keys arrive reduced."""
+    told = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    w = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*told), F.xxhash64(F.lit(1), *told))
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 

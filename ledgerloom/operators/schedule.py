@@ -20,10 +20,18 @@ def chained_dates(start: Column, end: Column, k: Column) -> Column:
     steps = F.transform(F.sequence(F.lit(1), n), lambda i: F.add_months(start, (i * k).cast("int")))
     plain = F.concat(F.array(start), F.filter(steps, lambda d: d < end))
 
-    def step(acc: Column, _: Column) -> Column:
-        following = F.add_months(F.element_at(acc, -1), k)
-        return F.when(following < end, F.array_append(acc, following)).otherwise(acc)
-    clamped = F.aggregate(F.sequence(F.lit(1), n), F.array(start), step)
+    def reached(day: int) -> Column:
+        """The first step that falls on this day of the month or an earlier one; after all steps if none does."""
+        at = F.array_position(F.transform(steps, lambda d: F.day(d) <= day), True)
+        return F.when(at > 0, at).otherwise(n + 1)
+
+    def kept(first: Column) -> Column:
+        """Every step on the lowest day reached so far."""
+        def moved(d: Column, i: Column) -> Column:
+            day = F.when(i + 1 >= first[0], 28).when(i + 1 >= first[1], 29).when(i + 1 >= first[2], 30).otherwise(31)
+            return F.date_add(F.trunc(d, "month"), F.least(F.day(d), day) - 1)
+        return F.concat(F.array(start), F.filter(F.transform(steps, moved), lambda d: d < end))
+    clamped = F.transform(F.array(F.array(*[reached(d) for d in (28, 29, 30)])), kept)[0]
     return F.when(k < 1, F.array(start)).when(F.day(start) <= 28, plain).otherwise(clamped)
 
 
@@ -38,17 +46,23 @@ def aligned_dates(start: Column, end: Column, k: Column) -> Column:
     return F.when((k < 1) | ~more, F.array(start)).otherwise(F.concat(F.array(start, second), rest))
 
 
-def schedule(df: DataFrame, start: str, end: str, k: str, name: str = "due_date", align: str | None = None) -> DataFrame:
-    """One row per instalment."""
+def within(start: Column, end: Column, years: int) -> Column:
+    """The end, or an error where it is more than so many years after the start: an open end is no schedule."""
+    late = F.months_between(end, start) > 12 * years
+    return F.when(late, F.raise_error(F.concat(F.lit(f"schedule of more than {years} years: "), start.cast("string"), F.lit(" to "), end.cast("string"))).cast("date")).otherwise(end)
+
+
+def schedule(df: DataFrame, start: str, end: str, k: str, name: str = "due_date", align: str | None = None, years: int = 100) -> DataFrame:
+    """One row per instalment; ``years`` is the longest schedule taken."""
     dates = aligned_dates if align == "month_start" else chained_dates
-    return df.withColumn(name, F.explode(dates(F.col(start), F.col(end), F.col(k).cast("int"))))
+    return df.withColumn(name, F.explode(dates(F.col(start), within(F.col(start), F.col(end), years), F.col(k).cast("int"))))
 
 
-def outstanding(df: DataFrame, start: str, end: str, k: str, arr: str, one_off: str, as_of: Column) -> DataFrame:
+def outstanding(df: DataFrame, start: str, end: str, k: str, arr: str, one_off: str, as_of: Column, years: int = 100) -> DataFrame:
     """Paid and outstanding instalments and values per contract, computed from the date array in place."""
     dates, months = F.col("_dates"), F.col(k).cast("int")
     amount = F.when(months != 0, F.col(arr) / (F.lit(12.0) / months)).otherwise(F.lit(0.0))
-    out = df.withColumn("_dates", chained_dates(F.col(start), F.col(end), months)).withColumn("amount_per_payment", amount)
+    out = df.withColumn("_dates", chained_dates(F.col(start), within(F.col(start), F.col(end), years), months)).withColumn("amount_per_payment", amount)
     out = out.withColumn("outstanding_installments", F.size(F.filter(dates, lambda d: d > as_of)))
     out = out.withColumn("total_installments", F.size(dates))
     out = out.withColumn("paid_installments", F.col("total_installments") - F.col("outstanding_installments"))

@@ -12,6 +12,7 @@ from ledgerloom.functions.dates import recency, to_local
 from ledgerloom.functions.logic import money
 from ledgerloom.operators import costs, crm, people, portal, sales
 from ledgerloom.operators.calendar import date_dim, with_holidays, working_minutes
+from ledgerloom.operators.joins import time_span
 from ledgerloom.operators.project import current
 from ledgerloom.plans.registry import query
 from ledgerloom.plans.shapes import RATE_HIST, STAGE_HIST, event_chunk, rate_hist, stage_hist
@@ -108,13 +109,8 @@ nu AS (SELECT *, sum(chg) OVER (PARTITION BY entity_id ORDER BY valid_from, vali
 isl AS (SELECT entity_id, stage, island, min(valid_from) AS valid_from, max(valid_to) AS valid_to FROM nu GROUP BY ALL)"""
 
 
-def _thin_hist(ctx: Context) -> DataFrame:
-    """Stage history in which users below a value never reach the later stages."""
-    return stage_hist(ctx).join(ctx.table("events").where("value > 55").select("event_id"), "event_id", "left_semi")
-
-
 @query("i18_sales_funnel", f"""
-WITH {STAGE_HIST.replace('stage_hist AS', 'all_hist AS')}, stage_hist AS (SELECT h.* FROM all_hist h JOIN events e USING (event_id) WHERE e.value > 55), {_ISLANDS_SQL},
+WITH {STAGE_HIST}, {_ISLANDS_SQL},
 s AS (SELECT entity_id, max(valid_from) FILTER (WHERE stage = 'view') AS s0, max(valid_from) FILTER (WHERE stage = 'click') AS s1, max(valid_from) FILTER (WHERE stage = 'signup') AS s2,
    max(valid_from) FILTER (WHERE stage = 'purchase') AS s3, min(valid_from) AS first_date FROM isl WHERE stage <> 'error' GROUP BY entity_id),
 m AS (SELECT *, CASE WHEN s3 IS NOT NULL THEN 3 WHEN s2 IS NOT NULL THEN 2 WHEN s1 IS NOT NULL THEN 1 ELSE 0 END AS reached FROM s),
@@ -124,7 +120,7 @@ SELECT entity_id, stage, CAST(coalesce(own, first_date) AS DATE) AS valid_from,
    CASE WHEN own IS NOT NULL THEN dense_rank() OVER (PARTITION BY entity_id ORDER BY CASE WHEN own IS NOT NULL THEN ord END NULLS LAST) END AS date_indicator
 FROM l WHERE ord <= reached""", text="valid_from")
 def i18(ctx: Context) -> DataFrame:
-    return sales.funnel(_thin_hist(ctx), "entity_id", "stage", ["view", "click", "signup", "purchase"], event_chunk(ctx))
+    return sales.funnel(stage_hist(ctx), "entity_id", "stage", ["view", "click", "signup", "purchase"], event_chunk(ctx))
 
 
 @query("i19_kpi_long", f"""
@@ -174,7 +170,7 @@ def i20(ctx: Context) -> DataFrame:
     rows = hist.select("entity_id", "stage", to_local(c("valid_from"), ctx.tz).alias("start"), to_local(until, ctx.tz).alias("until"),
                        to_local(F.least(until, c("valid_from") + F.expr("INTERVAL 6 HOURS")), ctx.tz).alias("reply"))
     fast = c("stage").isin("view", "click")
-    cal = with_holidays(date_dim(ctx.spark, dt.date(2023, 12, 31), dt.date(2024, 2, 2)))
+    cal = with_holidays(date_dim(ctx.spark, *time_span(rows, "start", "until", "reply")))
     out = working_minutes(rows, "start", {"m_work": c("until"), "m_reply": c("reply")}, F.when(fast, 8).otherwise(10),
                           F.when(fast, 17).otherwise(16), cal)
     return out.groupBy("entity_id").agg((F.sum("m_work").cast("double") / 60).alias("working_time"),
@@ -383,7 +379,7 @@ def i29(ctx: Context) -> DataFrame:
 WITH b AS (SELECT o_orderkey AS ticket_id, 'company' AS object_type, unnest([o_custkey, o_custkey + 1]) AS object_id FROM orders WHERE o_orderstatus <> 'P'
    UNION ALL SELECT o_orderkey, 'deal', o_orderkey % 100 FROM orders),
 p AS (SELECT l_orderkey AS event_id, l_partkey % 200 AS deal_id, nullif(l_suppkey % 3, 2) AS company_id FROM lineitem),
-dc AS (SELECT DISTINCT p_partkey % 200 AS deal_id, p_size % 2 AS own FROM part WHERE p_partkey < 150),
+dc AS (SELECT DISTINCT p_partkey % 200 AS deal_id, p_size % 2 AS own FROM part),
 k AS (SELECT p.event_id, p.deal_id, coalesce(p.company_id, dc.own) AS company_id FROM p LEFT JOIN dc ON dc.deal_id = p.deal_id
    WHERE p.company_id = dc.own OR dc.own IS NULL OR p.company_id IS NULL),
 n AS (SELECT event_id, count(*) AS pairs, count(DISTINCT deal_id) AS num_deals, count(DISTINCT company_id) AS num_companies FROM k GROUP BY event_id)
@@ -398,7 +394,7 @@ def i30(ctx: Context) -> DataFrame:
         F.lit("bridge").alias("part"), c("object_type").alias("label"), c("ticket_id").alias("id"), c("object_id").alias("a"), F.lit(None).cast("bigint").alias("b"))
     pairs = ctx.table("lineitem").select(c("l_orderkey").alias("event_id"), (c("l_partkey") % 200).alias("deal_id"),
                                          F.nullif(c("l_suppkey") % 3, F.lit(2)).alias("company_id"))
-    own = ctx.table("part").where("p_partkey < 150").select((c("p_partkey") % 200).alias("deal_id"), (c("p_size") % 2).cast("bigint").alias("company_id"))
+    own = ctx.table("part").select((c("p_partkey") % 200).alias("deal_id"), (c("p_size") % 2).cast("bigint").alias("company_id"))
     kept = crm.pair_companies(pairs, own).groupBy("event_id").agg(
         F.count(F.lit(1)).alias("pairs"), F.max("num_deals").alias("num_deals"), F.max("num_companies").alias("num_companies"))
     p = kept.select(F.lit("pairs").alias("part"), F.lit(None).cast("string").alias("label"), c("event_id").alias("id"),
@@ -430,14 +426,14 @@ def i32(ctx: Context) -> DataFrame:
 
 @query("i33_ingestion_stats", """
 WITH s AS (SELECT event_id % 50 AS source_id, user_id AS site_id, user_id % 20 AS company_id, event_type AS handler, CAST(ts AS DATE) AS day, CAST(value AS DECIMAL(18,2)) AS v FROM events),
-f AS (SELECT CASE WHEN company_id < 15 THEN company_id + 100 ELSE -1 END AS company_sk, CASE WHEN site_id % 4 <> 0 THEN site_id + 500 ELSE -1 END AS site_sk, handler, day,
+f AS (SELECT CASE WHEN company_id % 4 <> 3 THEN company_id + 100 ELSE -1 END AS company_sk, CASE WHEN site_id % 4 <> 0 THEN site_id + 500 ELSE -1 END AS site_sk, handler, day,
    count(DISTINCT source_id) AS sources, CAST(sum(v) AS DOUBLE) / 1000.0::DOUBLE AS seconds, CAST(sum(v) AS DOUBLE) / 1000000.0::DOUBLE AS data_size, count(*) AS entries FROM s GROUP BY 1, 2, 3, 4)
 SELECT * FROM f""", text="day", ints="entries")
 def i33(ctx: Context) -> DataFrame:
     stats = ctx.table("events").select(
         (c("event_id") % 50).alias("source_id"), c("user_id").alias("site_id"), (c("user_id") % 20).alias("company_id"), c("event_type").alias("handler"),
         c("ts").cast("date").alias("day"), money(c("value")).alias("duration_ms"), money(c("value")).alias("size"), F.lit(1).alias("entries"))
-    companies = stats.select("company_id").distinct().where("company_id < 15").withColumn("company_sk", c("company_id") + 100)
+    companies = stats.select("company_id").distinct().where("company_id % 4 <> 3").withColumn("company_sk", c("company_id") + 100)
     sites = stats.select("site_id").distinct().where("site_id % 4 <> 0").withColumn("site_sk", c("site_id") + 500)
     return portal.ingestions(stats, companies, sites)
 
@@ -454,7 +450,7 @@ def i34(ctx: Context) -> DataFrame:
 @query("i35_portfolio_union", """
 WITH u AS (SELECT 'first' AS portal, c_custkey AS site_id, c_name AS site_name, c_custkey % 40 AS company_id, c_nationkey AS country, c_acctbal * 3 AS capacity FROM customer
    UNION ALL SELECT 'second', s_suppkey, s_name, s_suppkey % 70, s_nationkey, s_acctbal FROM supplier UNION ALL SELECT 'third', p_partkey, p_name, NULL, NULL, p_retailprice FROM part)
-SELECT portal, site_id, site_name, round(CASE WHEN capacity > 10000 THEN capacity / 1000 ELSE capacity END, 2) AS capacity, CASE WHEN company_id < 60 THEN company_id + 7 ELSE -1 END AS company_sk,
+SELECT portal, site_id, site_name, round(CASE WHEN capacity > 10000 THEN capacity / 1000 ELSE capacity END, 2) AS capacity, CASE WHEN company_id % 7 <> 6 AND company_id <= (SELECT max(c_custkey) FROM customer) THEN company_id + 7 ELSE -1 END AS company_sk,
   coalesce(n_nationkey + 1, -1) AS country_sk, dense_rank() OVER (ORDER BY portal, site_id) AS site_sk FROM u LEFT JOIN nation ON n_nationkey = country""", ints="country_sk")
 def i35(ctx: Context) -> DataFrame:
     first = ctx.table("customer").select(c("c_custkey").alias("site_id"), c("c_name").alias("site_name"), (c("c_custkey") % 40).alias("company_id"),
@@ -462,7 +458,7 @@ def i35(ctx: Context) -> DataFrame:
     second = ctx.table("supplier").select(c("s_suppkey").alias("site_id"), c("s_name").alias("site_name"), (c("s_suppkey") % 70).alias("company_id"),
                                           c("s_nationkey").alias("country"), c("s_acctbal").alias("capacity"))
     third = ctx.table("part").select(c("p_partkey").alias("site_id"), c("p_name").alias("site_name"), c("p_retailprice").alias("capacity"))
-    companies = ctx.table("customer").where("c_custkey < 60").select(c("c_custkey").alias("company_id"), (c("c_custkey") + 7).alias("company_sk"))
+    companies = ctx.table("customer").where("c_custkey % 7 <> 6").select(c("c_custkey").alias("company_id"), (c("c_custkey") + 7).alias("company_sk"))
     countries = ctx.table("nation").select(c("n_nationkey").alias("country"), (c("n_nationkey") + 1).alias("country_sk"))
     out = portal.site_dim({"first": first, "second": second, "third": third}, companies, countries)
     return out.select("portal", "site_id", "site_name", "capacity", "company_sk", "country_sk", "site_sk")

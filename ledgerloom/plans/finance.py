@@ -111,12 +111,13 @@ p AS (SELECT *, coalesce(lag(revenue) OVER w, 0) AS prev, coalesce(lag(is_active
       WINDOW w AS (PARTITION BY company_id ORDER BY date)),
 k AS (SELECT *, revenue - prev AS mrr_change, CASE WHEN is_first THEN 'new' WHEN NOT is_active AND was THEN 'churn' WHEN is_active AND NOT was THEN 'reactivation'
         WHEN revenue > prev THEN 'upgrade' WHEN revenue < prev THEN 'downgrade' ELSE 'none' END AS change_category FROM p)
-SELECT company_id, date, revenue AS monthly_revenue, mrr_change, change_category FROM k WHERE change_category <> 'none'""",
-       text="date", num="monthly_revenue mrr_change")
+SELECT company_id, CAST(date_trunc('month', date) AS DATE) AS month, change_category, count(*) AS days, sum(revenue) AS revenue_days, sum(mrr_change) AS mrr_change
+FROM k GROUP BY 1, 2, 3""", text="month", num="revenue_days mrr_change")
 def i06(ctx: Context) -> DataFrame:
-    """Days on which a company's revenue changed, and how."""
+    """Every day of a company and how its revenue changed that day, 'none' included, summed by month and kind of change."""
     out = rev.mrr_changes(rev.revenue_levels(_subs(ctx), ctx.as_of), ctx.as_of)
-    return out.where("change_category <> 'none'").select("company_id", "date", "monthly_revenue", "mrr_change", "change_category")
+    return out.groupBy("company_id", F.trunc("date", "month").alias("month"), "change_category").agg(
+        F.count(F.lit(1)).alias("days"), F.sum("monthly_revenue").alias("revenue_days"), F.sum("mrr_change").alias("mrr_change"))
 
 
 @query("i07_subscription_build", """

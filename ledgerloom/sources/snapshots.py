@@ -1,6 +1,6 @@
 """SCD-2 snapshots: history + current state -> new history, in one full outer join.
 
-Closed versions pass through untouched. An open version meets the current row of its key and yields
+Closed versions pass through untouched; columns of either side stay. An open version meets the current row of its key and yields
 itself, or itself closed plus a new open version. Keys that vanished stay open; ``drop_deleted`` is the
 operator that removes them. Results go to a new folder, never over the history being read."""
 
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import differs
@@ -16,7 +16,14 @@ from ledgerloom.functions.keys import differs
 
 def _merge(prev: DataFrame, cur: DataFrame, key: str, is_newer: Callable[[Column, Column], Column],
            starts: Callable[[Column], Column]) -> DataFrame:
-    cols = cur.columns
+    versioned = [x for x in prev.columns if x not in ("valid_from", "valid_to")]
+    cols = versioned + [x for x in cur.columns if x not in versioned]
+    # a column that one side lacks is NULL there: neither a dropped nor a new source column touches closed versions
+    prev = prev.select("*", *[F.lit(None).cast(cur.schema[x].dataType).alias(x) for x in cur.columns if x not in versioned])
+    twice = F.count(F.lit(1)).over(Window.partitionBy(key)) > 1   # the merge needs this partitioning anyway
+    cur = (cur.select("*", *[F.lit(None).cast(prev.schema[x].dataType).alias(x) for x in versioned if x not in cur.columns])
+           .withColumn(key, F.when(F.col(key).isNotNull() & twice, F.raise_error(F.concat(F.lit("key occurs twice in the current state: "), F.col(key).cast("string"))).cast(cur.schema[key].dataType))
+                       .otherwise(F.col(key))))
     closed = prev.where(F.col("valid_to").isNotNull()).select(*cols, "valid_from", "valid_to")
     old = prev.where(F.col("valid_to").isNull()).select(
         F.col(key).alias("_pk"), F.struct(*cols, "valid_from").alias("_old"))
