@@ -154,12 +154,11 @@ class ByteBpe:
         """ids as little-endian unsigned 32-bit integers; special strings in a text become their ids."""
         parted = [self.specials.split(t) if self.specials and any(s in t for s in self.special) else [t] for t in texts]
         cut = [[self._cut(x) for x in parts[::2]] for parts in parted]
-        self.cache.prepare([x for parts in cut for x in parts])
+        ids = iter(self.cache.found([x for parts in cut for x in parts]))
         out = []
         for parts, plain in zip(parted, cut, strict=True):
-            ids = [self.cache.ids(x) for x in plain]
             marks = [np.asarray([self.special[x]], "<u4").tobytes() for x in parts[1::2]]
-            out.append(b"".join(x for pair in zip(ids, [*marks, b""], strict=True) for x in pair))
+            out.append(b"".join(x for mark in (*marks, b"") for x in (*next(ids), mark)))
         return out
 
     def decode(self, ids: bytes) -> str:

@@ -6,6 +6,7 @@ Texts are cut where no token can reach across, and each piece is encoded once pe
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -23,36 +24,51 @@ def kept(make: Callable, *key):
     return _KEPT[(make, *key)]
 
 
-class PieceCache:
-    """Piece -> ids as bytes. ``encode`` gets the pieces that are missing, many at once."""
+class _Known(dict):
+    """Pieces and their ids. A piece that is asked for first gets an empty place, which is filled once its ids are there."""
 
-    def __init__(self, encode: Callable[[list], Iterable[bytes]], most: int = 600_000):
-        self.encode, self.most, self.known = encode, most, {}
+    def __init__(self, old: dict):
+        super().__init__()
+        self.old, self.open = old, {}
 
-    def prepare(self, texts: Iterable[list]) -> None:
-        """Encodes what is missing of a batch of cut texts in one go."""
-        missing: set = set()
-        for pieces in texts:
-            missing.update(pieces)
-        missing.difference_update(self.known)
-        if len(self.known) + len(missing) > self.most:
-            self.known.clear()
-            missing = {p for pieces in texts for p in pieces}
-        some = list(missing)
-        self.known.update(zip(some, self.encode(some), strict=True))
+    def __missing__(self, piece):
+        place = self.old.get(piece)
+        if place is None:
+            place = self.open[piece] = bytearray()
+        self[piece] = place
+        return place
 
-    def ids(self, pieces: list) -> bytes:
-        return b"".join([self.known[p] for p in pieces])
 
-    def count(self, pieces: list) -> int:
-        return sum(map(len, [self.known[p] for p in pieces])) // WIDTH
+class PieceCache:
+    """Piece -> ids as bytes. ``encode`` gets the pieces that are missing, many at once. A full cache becomes the old one, from
+    which pieces still in use come back; the one before it goes."""
+
+    def __init__(self, encode: Callable[[list], Iterable[bytes]], most: int = 500_000):
+        self.encode, self.most, self.known = encode, most, _Known({})
+
+    def found(self, texts: list[list]) -> list[list]:
+        """The ids of every piece of each text: one look-up a piece."""
+        if len(self.known) > self.most // 2:
+            self.known.old = {}
+            self.known = _Known(self.known)
+        out = [list(map(self.known.__getitem__, pieces)) for pieces in texts]
+        new = list(self.known.open)
+        for piece, ids in zip(new, self.encode(new) if new else (), strict=True):
+            self.known.open[piece][:] = ids   # what the lists of this call hold
+            self.known[piece] = ids           # what stays, which takes less room
+        self.known.open.clear()
+        return out
 
 
 class WordTokens:
-    """A tokenizer of the tokenizers library that drops white space: words are encoded by the library, one by one.
+    """A tokenizer of the tokenizers library that lower-cases and drops white space: the library encodes words, each once.
 
     ASCII blanks end every match of its splitting pattern, its normaliser changes characters inside words only, and its
-    special strings hold no blank, so a text's ids are those of its words in turn."""
+    special strings hold no blank, so a text's ids are those of its words in turn. For the same reason a full stop or comma
+    after an ASCII letter, where a match ends too, may stand apart, and A-Z may be lower-cased beforehand, which leaves fewer
+    different words; a text in which a special string might stand is left as it is."""
+
+    APART = re.compile(rb"[.,](?<=[a-z][.,])(?=[ \n]|$)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark runs a task per core already
@@ -64,26 +80,27 @@ class WordTokens:
 
         self.end = next(t for t in self.tokenizer.get_added_tokens_decoder().items() if t[1].special)
 
-    def _encode(self, words: list[bytes]) -> Iterable[bytes]:
-        """One call for all words, with a special string between them, whose id then parts the ids of the words."""
+    def _encode(self, words: list[bytes], group: int = 500) -> Iterable[bytes]:
+        """Words go through the library in groups with a special string between them, whose id then parts the ids of the words."""
         mark, text = self.end[0], self.end[1].content
-        plain = [w for w in words if b"<|" not in w]
-        ids = np.asarray(self.tokenizer.encode(text.join(w.decode() for w in plain), add_special_tokens=False).ids if plain else [], "<u4")
-        ends = np.flatnonzero(ids == mark).tolist()
-        raw = ids.tobytes()
-        parts = iter([raw[WIDTH * x:WIDTH * y] for x, y in zip([0, *(e + 1 for e in ends)], [*ends, len(ids)], strict=True)])
+        plain = [w.decode() for w in words if b"<|" not in w]
+        groups = [text.join(plain[i:i + group]) for i in range(0, len(plain), group)]
+        ids = [x for e in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False) for x in (*e.ids, mark)]
+        flat = np.asarray(ids, "<u4")
+        ends = np.flatnonzero(flat == mark).tolist()
+        raw = flat.tobytes()
+        parts = iter([raw[WIDTH * x:WIDTH * y] for x, y in zip([0, *(e + 1 for e in ends)], ends)])
         for w in words:   # a word that may itself hold a special string is encoded alone
             yield next(parts) if b"<|" not in w else np.asarray(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _cut(self, text: bytes) -> list[bytes]:
+        return text.split() if b"<|" in text else self.APART.sub(rb" \g<0>", text.lower()).split()
+
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        cut = [t.split() for t in texts]
-        self.cache.prepare(cut)
-        return [self.cache.ids(c) for c in cut]
+        return [b"".join(x) for x in self.cache.found([self._cut(t) for t in texts])]
 
     def count_all(self, texts: list[bytes]) -> list[int]:
-        cut = [t.split() for t in texts]
-        self.cache.prepare(cut)
-        return [self.cache.count(c) for c in cut]
+        return [sum(map(len, x)) // WIDTH for x in self.cache.found([self._cut(t) for t in texts])]
 
 
 def tokenizer_path(name: str) -> str:
