@@ -58,10 +58,11 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("_m"))
+        # written, so that the join shuffles both sides anew and a vertex of very many links can be split
+        least = stored(both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("_m")), "least")
         large = both.join(least, "a").where("b > a AND b <> _m").select(F.col("b").alias("a"), F.col("_m").alias("b")).distinct()
         large = stored(large, "links")
-        lower = large.groupBy("a").agg(F.min("b").alias("_m"))
+        lower = stored(large.groupBy("a").agg(F.min("b").alias("_m")), "least")
         joined = large.join(lower, "a")
         small = joined.where("b <> _m").select(F.col("b").alias("a"), F.col("_m").alias("b")).union(lower.select("a", F.col("_m").alias("b"))).distinct()
         edges = stored(small, "links")

@@ -103,7 +103,7 @@ def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 def blocked(rows: DataFrame, by: list[str], vertex: str, block: int) -> DataFrame:
     """``rows`` with a ``_meet`` key: rows of one ``by`` meet in one place, or, where they are more than ``block``, in one place for each
     pair of their blocks, a row in as many as there are blocks. ``_own`` is a row's block, ``_pair`` the pair's."""
-    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*by, F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
+    sizes = stored(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*by, F.ceil(F.col("_n") / block).cast("int").alias("_blocks")), "block-sizes")
     own = F.pmod(F.xxhash64(vertex, F.lit("block")), F.col("_blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda x: F.struct(F.least(x, F.col("_own")).alias("x"), F.greatest(x, F.col("_own")).alias("y")))
     return (rows.join(sizes, by).withColumn("_own", own).withColumn("_pair", F.explode(pairs))

@@ -176,9 +176,9 @@ def links(classes: DataFrame, radius: int = 3, block: int = 1024) -> DataFrame:
     fills a task: the work on it grows with its square, the rows only with its square over ``block``."""
     looked = plan(classes, radius)
     keyed = stored(classes.select("fp", F.explode(_keys(looked)).alias("key")), "simhash-keys")
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    sizes = stored(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-sizes")
     large = sizes.where(F.col("n") > block).select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    small = keyed.join(sizes.where((F.col("n") > 1) & (F.col("n") <= block)).select("key"), "key", "left_semi")
+    small = keyed.join(sizes.where(F.col("n") <= block).select("key"), "key", "left_semi")
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.xxhash64("key", F.least(x, F.col("own")), F.greatest(x, F.col("own"))))
     cut = keyed.join(large, "key").withColumn("own", own).select("fp", F.explode(pairs).alias("key"))
