@@ -8,7 +8,8 @@ the right and min_words - k to the left, which is as far as a window with this a
 Suffixes with equal contexts are one class. Classes are sorted by gram and following words, neighbours are compared, and their
 match is extended to the right and to the left; min_words words or more are a repeat. Between two classes of a gram that is
 all there is to know. Where a gram has three or more, the longest match to the right need not be the longest in all, nor
-a neighbour the earliest copy; there an exact check follows, which compares the windows themselves."""
+a neighbour the earliest copy. There an exact check follows: each class against the gram's first one, then the windows
+that differ from it among themselves."""
 
 from __future__ import annotations
 
@@ -86,13 +87,13 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _chars(rows: np.ndarray) -> pa.Array:
-    """Rows of 64-bit numbers as binary values."""
+    """Rows of 32-bit numbers as binary values."""
     n, width = rows.shape
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * width * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * width * 4).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
 
 
 def _numbers(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, width)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, width)
 
 
 def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -124,12 +125,12 @@ def _context_rows(passage: Passage):
             for i in range(0, whole.num_rows, 200):
                 b = whole.slice(i, 200)
                 words, lengths = _lists(b.column(2))
-                words = np.where(words == 0, 1, words).astype(np.int64).view(np.uint64)
+                words = np.maximum(words.astype(np.int64).view(np.uint64) >> np.uint64(32), np.uint64(1)).astype(np.uint32)
                 pos, many = _lists(b.column(3))
                 gram, _ = _lists(b.column(4))
                 doc = np.repeat(np.arange(b.num_rows), many)
                 start, size = (np.cumsum(lengths) - lengths)[doc], lengths[doc]
-                flat = np.append(words, np.uint64(0))
+                flat = np.append(words, np.uint32(0))
 
                 def around(steps: np.ndarray) -> np.ndarray:
                     place = pos[:, None] + steps
@@ -189,30 +190,44 @@ def _compared(rows: pa.RecordBatch, passage: Passage) -> Iterator[pa.RecordBatch
 
 
 def _window_rows(passage: Passage):
-    """Every window of a class, as a hash of its words, with the words of it that stand before the anchor."""
+    """A class against the first class of its gram. What they share is settled: no copy is earlier (``window`` is null, one row for the
+    class and one for the first). Of the rest, every window as a hash of its words; a window that differs from
+    the first class's differs in all classes that hold it, so equal ones are all among these rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, 2000):
                 b = whole.slice(i, 2000)
                 after, before = _numbers(b["after"], passage.min_words), _numbers(b["before"], passage.left)
+                ahead, behind = _same(after, _numbers(b["lead_after"], passage.min_words)), _same(before, _numbers(b["lead_before"], passage.left))
+                first = b["class"].to_numpy() == b["lead_class"].to_numpy()
+                shared = np.flatnonzero((ahead + behind >= passage.min_words) & ~first)
+                take = pa.array(shared)
+                lead = [b[c].take(take) for c in ("lead_doc_id", "lead_key", "lead_pos")]
+                for cls in ("class", "lead_class"):
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(shared), pa.int64()), pa.array(behind[shared].astype(np.int32)), pa.array(ahead[shared].astype(np.int32)),
+                                                      b["gram"].take(take), b[cls].take(take), *lead], names=_WINDOW)
                 chain = lambda x: np.stack(_prefixes(x), axis=1)
                 right, left = chain(after), chain(before)
-                has_right, has_left = (after != 0).sum(axis=1), (before != 0).sum(axis=1)
+                has_right, has_left = (after != 0).sum(axis=1)[:, None], (before != 0).sum(axis=1)[:, None]
                 o = np.arange(passage.left + 1)
-                fits = (o <= has_left[:, None]) & (passage.min_words - o <= has_right[:, None])
+                fits = (o <= has_left) & (passage.min_words - o <= has_right) & ~first[:, None]
+                fits &= (o > behind[:, None]) | (passage.min_words - o > ahead[:, None])
                 hashes = _join(_join(left[:, o], right[:, passage.min_words - o]), np.broadcast_to(o.astype(np.uint64), fits.shape))
                 row, back = np.nonzero(fits)
                 take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[row, back].view(np.int64)), pa.array(back.astype(np.int32)),
-                                                  *[b[c].take(take) for c in ("gram", "class", "doc_id", "key", "pos")]], names=["window", "back", "gram", "class", "doc_id", "key", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[row, back].view(np.int64)), pa.array(back.astype(np.int32)), pa.array((passage.min_words - back).astype(np.int32)),
+                                                  *[b[c].take(take) for c in ("gram", "class", "doc_id", "key", "pos")]], names=_WINDOW)
     return run
 
 
+_WINDOW = ["window", "back", "ahead", "gram", "class", "doc_id", "key", "pos"]
+
+
 def _prefixes(words: np.ndarray) -> list[np.ndarray]:
     """Hashes of the first 0, 1, 2, .. words of each row."""
     out = [np.full(len(words), 0x1234567, np.uint64)]
     for j in range(words.shape[1]):
-        out.append(_join(out[-1], words[:, j]))
+        out.append(_join(out[-1], words[:, j].astype(np.uint64)))
     return out
 
 
@@ -222,7 +237,7 @@ def repeated_passages(docs: DataFrame, passage: Passage = Passage()) -> DataFram
 
     ``removed`` lists (start, n_words) of the stretches in it of which an earlier copy exists, by doc_id (null first), then text, then
     place; it is empty in the first copy. ``first_doc_id`` is the least doc_id among the earlier copies that were met, or the document
-    itself. ``key`` tells texts of one doc_id apart; rows that agree in both are one document. Null, empty and shorter texts have no passages. Words are compared by 64-bit hashes.
+    itself. ``key`` tells texts of one doc_id apart; rows that agree in both are one document. Null, empty and shorter texts have no passages. Grams are compared by 64-bit hashes, the words around them by 32 bits each.
 
     Grams and classes that very many documents share are combined before they are shuffled; joins on them are split by adaptive
     execution; the sort is by range over classes that are all different."""
@@ -248,15 +263,20 @@ def repeated_passages(docs: DataFrame, passage: Passage = Passage()) -> DataFram
     edges = (side.where("after IS NOT NULL").select(*ordered.columns).repartition(1)   # two rows for each partition of the sort
              .sortWithinPartitions("gram", "after", "before").mapInArrow(_neighbours(passage), layout))
     matched = side.unionByName(edges).where("after IS NULL").select("gram", "class", "back", "ahead", F.struct("doc_id", "key", "pos").alias("other"))
-    length = lambda c: (F.length(F.regexp_replace(F.hex(c), "(?:0{16})+$", "")) / 16).cast("int")
+    length = lambda c: (F.length(F.regexp_replace(F.hex(c), "(?:0{8})+$", "")) / 8).cast("int")
     own = (classes.where("again").select("gram", "class", length("before").alias("back"), length("after").alias("ahead"), spot.alias("other"))
            .where(F.col("back") + F.col("ahead") >= passage.min_words))
     many = stored(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("gram"), "suffix-grams")
-    windows = stored(classes.join(many, "gram", "left_semi").drop("again").mapInArrow(
-        _window_rows(passage), "window bigint, back int, gram bigint, class bigint, doc_id bigint, key bigint, pos int"), "suffix-windows")
-    equal = stored(windows.groupBy("gram", "window").agg(F.min(spot).alias("other"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "suffix-windows")
+    several = classes.join(many, "gram", "left_semi").drop("again")
+    lead = stored(several.groupBy("gram").agg(F.min(spot).alias("_lead")).select(F.col("gram").alias("_gram"), "_lead")
+                  .join(several, (F.col("gram") == F.col("_gram")) & (spot == F.col("_lead")))
+                  .select("gram", F.col("class").alias("lead_class"), *[F.col(c).alias("lead_" + c) for c in ("doc_id", "key", "pos", "after", "before")]), "suffix-first")
+    windows = stored(several.join(lead, "gram").mapInArrow(
+        _window_rows(passage), "window bigint, back int, ahead int, gram bigint, class bigint, doc_id bigint, key bigint, pos int"), "suffix-windows")
+    equal = stored(windows.where("window IS NOT NULL").groupBy("gram", "window").agg(F.min(spot).alias("other"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "suffix-windows")
     exact = (windows.join(equal, ["gram", "window"]).groupBy("gram", "class", "other")
-             .agg(F.max("back").alias("back"), (F.lit(passage.min_words) - F.min("back")).alias("ahead")).select("gram", "class", "back", "ahead", "other"))
+             .agg(F.max("back").alias("back"), F.max("ahead").alias("ahead")).select("gram", "class", "back", "ahead", "other"))
+    exact = exact.unionByName(windows.where("window IS NULL").select("gram", "class", "back", "ahead", spot.alias("other")))
     reach = stored(matched.unionByName(own).unionByName(exact).distinct(), "suffix-reach")
     gone = spot > F.col("other")
     reached = (suffixes.select("doc_id", "key", "pos", "gram", "class").distinct().join(reach, ["gram", "class"])
