@@ -206,7 +206,8 @@ def _predictor(model: LanguageModel):
                 scores += np.where(some, p.max(axis=1), 0.0).tolist()
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
                                               pa.array([x < model.reject_below for x in scores], pa.bool_())], names=["lang_pred", "score", "rejected"])
-    return F.arrow_udf(run, "lang_pred string, score double, rejected boolean")
+    # marked so that a filter on its result is not pushed below it, which would run it twice
+    return F.arrow_udf(run, "lang_pred string, score double, rejected boolean").asNondeterministic()
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: Column | None = None) -> DataFrame:
