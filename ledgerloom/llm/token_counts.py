@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bpe import ByteBpe, encoded
+from ledgerloom.llm.common import stored
 from ledgerloom.llm.token_files import small_batches
 from ledgerloom.llm.tokens import WIDTH, WordTokens, kept, tokenizer_path
 
@@ -113,6 +114,6 @@ def copies(docs: DataFrame) -> DataFrame:
     """doc_id of every document whose text an earlier doc_id has. Texts meet by their digest, the first one of each found by a
     combining aggregate."""
     keyed = docs.where("text_key IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text_key")
-    first = keyed.groupBy("text_key").agg(F.min("doc_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    first = stored(keyed.groupBy("text_key").agg(F.min("doc_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "text-firsts")
     return keyed.join(first, "text_key").where("doc_id > _first").select("doc_id")
 
