@@ -2,12 +2,13 @@
 
 Only suffixes at minimisers are kept: the k-word grams that are least by hash among the min_words - k + 1 grams of some window of
 min_words words. Equal windows choose equal grams, so a passage of min_words words that repeats has an anchor at the
-same place in all its copies. Anchors whose gram occurs once are dropped; the others get their context, min_words words to
-the right and min_words - k to the left, which is as far as a window with this anchor reaches.
+same place in all its copies. An anchor's context is what the windows that choose it span; all other windows have their own
+anchors. Anchors whose gram occurs once are dropped.
 
-Suffixes with equal contexts are one class. Classes are sorted by gram and following words, neighbours are compared, and their
-match is extended to the right and to the left; min_words words or more are a repeat. Between two classes of a gram that is
-all there is to know. Where a gram has three or more, the longest match to the right need not be the longest in all, nor
+Suffixes with equal contexts, told by a hash, are one class, and a class of several suffixes is a repeat. Only where a gram has
+several classes are words needed: the first suffix of each class gets its context from its text. Classes are sorted by gram and
+following words, neighbours are compared, and their match is extended to the right and to the left; min_words words or more
+are a repeat. Between two classes of a gram that is all there is to know. Where a gram has three or more, the longest match to the right need not be the longest in all, nor
 a neighbour the earliest copy. There an exact check follows: each class against the gram's first one, then the windows
 that differ from it among themselves."""
 
@@ -67,9 +68,9 @@ def _sliding(x: np.ndarray, width: int, pick, fill) -> np.ndarray:
     return pick(x, _shifted(x, width - have, fill)) if have < width else x
 
 
-def anchors(words: np.ndarray, lengths: np.ndarray, passage: Passage) -> tuple[np.ndarray, np.ndarray]:
-    """Places in ``words`` - texts of ``lengths`` one after another - that are minimisers, and their gram hashes. Of equal least
-    grams in a window all are kept."""
+def anchors(words: np.ndarray, lengths: np.ndarray, passage: Passage) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ``words`` - texts of ``lengths`` one after another - that are minimisers, their gram hashes, and how many words
+    the windows that choose a place reach back and ahead from it. Of equal least grams in a window all are kept."""
     ends = np.cumsum(lengths)
     left = np.repeat(ends, lengths) - np.arange(len(words))   # words from here to the end of the text
     g = grams(words, passage.gram)
@@ -78,7 +79,22 @@ def anchors(words: np.ndarray, lengths: np.ndarray, passage: Passage) -> tuple[n
     least = np.where(left >= passage.min_words, _sliding(g, wide, np.minimum, _TOP), np.uint64(0))
     back = _sliding(least[::-1], wide, np.maximum, np.uint64(0))[::-1]   # over the windows that hold this place
     at = np.flatnonzero((back == g) & (g != _TOP))
-    return at, g[at]
+    padded = np.concatenate([np.zeros(passage.left, np.uint64), least])
+    chosen = [padded[at + i] == g[at] for i in range(wide)]   # windows that begin left - i words before; those that choose a place are in a row
+    first, last = np.full(len(at), passage.left), np.zeros(len(at), np.int64)
+    for i in range(wide):
+        first, last = np.where(chosen[i], np.minimum(first, i), first), np.where(chosen[i], i, last)
+    return at, g[at], passage.left - first, passage.min_words - passage.left + last
+
+
+def _classes(words: np.ndarray, at: np.ndarray, back: np.ndarray, ahead: np.ndarray, passage: Passage) -> np.ndarray:
+    """A hash of the context of each place, without its gram."""
+    flat = np.append(words, np.zeros(passage.min_words, np.uint64))
+    out = _join(back.astype(np.uint64), ahead.astype(np.uint64))
+    for j in range(passage.left):
+        out = _join(out, np.where(passage.gram + j < ahead, flat[at + passage.gram + j], np.uint64(0)))
+        out = _join(out, np.where(j < back, flat[at - 1 - j], np.uint64(0)))
+    return out
 
 
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -106,39 +122,47 @@ def _word_hashes(text: Column) -> Column:
     return F.transform(words_of(text), lambda w: F.xxhash64(w))
 
 
+_ANCHOR = "doc_id bigint, key bigint, pos int, gram bigint, class bigint, back int, ahead int"
+
+
 def _anchor_rows(passage: Passage):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             words, lengths = _lists(b.column(2))
-            at, g = anchors(words.astype(np.int64).view(np.uint64), lengths, passage)
+            words = words.astype(np.int64).view(np.uint64)
+            at, g, back, ahead = anchors(words, lengths, passage)
             ends = np.cumsum(lengths)
             doc = np.searchsorted(ends, at, side="right")
             take = pa.array(doc)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array((at - (ends - lengths)[doc]).astype(np.int32)), pa.array(g.view(np.int64))],
-                                             names=["doc_id", "key", "pos", "gram"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array((at - (ends - lengths)[doc]).astype(np.int32)), pa.array(g.view(np.int64)),
+                                              pa.array(_classes(words, at, back, ahead, passage).view(np.int64)), pa.array(back.astype(np.int32)), pa.array(ahead.astype(np.int32))],
+                                             names=["doc_id", "key", "pos", "gram", "class", "back", "ahead"])
     return run
 
 
+_CONTEXT = "doc_id bigint, key bigint, pos int, gram bigint, class bigint, lead boolean, many boolean, after binary, before binary"
+
+
 def _context_rows(passage: Passage):
+    """Words of a context after its gram, and before it from the gram on; zero where the context ends."""
+    steps = np.arange(passage.left)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, 200):
                 b = whole.slice(i, 200)
                 words, lengths = _lists(b.column(2))
                 words = np.maximum(words.astype(np.int64).view(np.uint64) >> np.uint64(32), np.uint64(1)).astype(np.uint32)
-                pos, many = _lists(b.column(3))
-                gram, _ = _lists(b.column(4))
-                doc = np.repeat(np.arange(b.num_rows), many)
-                start, size = (np.cumsum(lengths) - lengths)[doc], lengths[doc]
                 flat = np.append(words, np.uint32(0))
-
-                def around(steps: np.ndarray) -> np.ndarray:
-                    place = pos[:, None] + steps
-                    return flat[np.where((place >= 0) & (place < size[:, None]), start[:, None] + place, len(words))]
+                spots = b.column(3).flatten()
+                pos, back, ahead = (spots.field(c).to_numpy(zero_copy_only=False) for c in ("pos", "back", "ahead"))
+                doc = np.repeat(np.arange(b.num_rows), b.column(3).value_lengths().to_numpy(zero_copy_only=False))
+                at = ((np.cumsum(lengths) - lengths)[doc] + pos)[:, None]
+                after = flat[np.where(steps < (ahead - passage.gram)[:, None], at + passage.gram + steps, len(words))]
+                before = flat[np.where(steps < back[:, None], at - 1 - steps, len(words))]
                 take = pa.array(doc)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(pos.astype(np.int32)), pa.array(gram.astype(np.int64)),
-                                                  _chars(around(np.arange(passage.min_words))), _chars(around(-1 - np.arange(passage.left)))],
-                                                 names=["doc_id", "key", "pos", "gram", "after", "before"])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *[spots.field(c) for c in ("pos", "gram", "class", "lead", "many")],
+                                                  _chars(after), _chars(before)], names=[c.split()[0] for c in _CONTEXT.split(", ")])
     return run
 
 
@@ -175,9 +199,9 @@ def _compared(rows: pa.RecordBatch, passage: Passage) -> Iterator[pa.RecordBatch
     if rows.num_rows < 2:
         return
     gram = rows["gram"].to_numpy()
-    after, before = _numbers(rows["after"], passage.min_words), _numbers(rows["before"], passage.left)
-    pair = np.flatnonzero(gram[1:] == gram[:-1])
-    ahead, back = _same(after[pair], after[pair + 1]), _same(before[pair], before[pair + 1])
+    after, before = _numbers(rows["after"], passage.left), _numbers(rows["before"], passage.left)
+    pair = np.flatnonzero((gram[1:] == gram[:-1]) & (rows["class"].to_numpy()[1:] != rows["class"].to_numpy()[:-1]))
+    ahead, back = passage.gram + _same(after[pair], after[pair + 1]), _same(before[pair], before[pair + 1])
     good = ahead + back >= passage.min_words
     pair, ahead, back = pair[good], ahead[good], back[good]
     if not len(pair):
@@ -189,40 +213,44 @@ def _compared(rows: pa.RecordBatch, passage: Passage) -> Iterator[pa.RecordBatch
                                       rows["pos"].take(other), empty, empty], names=["gram", "class", "back", "ahead", "doc_id", "key", "pos", "after", "before"])
 
 
+_WINDOW = "gram bigint, class bigint, doc_id bigint, key bigint, pos int, back int, ahead int, windows array<struct<back:int,window:bigint>>"
+
+
 def _window_rows(passage: Passage):
-    """A class against the first class of its gram. What they share is settled: no copy is earlier (``window`` is null, one row for the
-    class and one for the first). Of the rest, every window as a hash of its words; a window that differs from
-    the first class's differs in all classes that hold it, so equal ones are all among these rows."""
+    """A class against the first class of its gram. What they share is settled: no copy is earlier (``windows`` is null; one row for the
+    class and one for the first, with the place of the first). Of the rest, every window as a hash of its words (``windows``, with the
+    place of the class); a window that differs from the first class's differs in all classes that hold it, so equal ones are all
+    among these rows."""
+    names = [c.split()[0] for c in _WINDOW.split(", ")]
+    kind = pa.list_(pa.struct([("back", pa.int32()), ("window", pa.int64())]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, 2000):
                 b = whole.slice(i, 2000)
-                after, before = _numbers(b["after"], passage.min_words), _numbers(b["before"], passage.left)
-                ahead, behind = _same(after, _numbers(b["lead_after"], passage.min_words)), _same(before, _numbers(b["lead_before"], passage.left))
+                after, before = _numbers(b["after"], passage.left), _numbers(b["before"], passage.left)
+                ahead, behind = passage.gram + _same(after, _numbers(b["lead_after"], passage.left)), _same(before, _numbers(b["lead_before"], passage.left))
                 first = b["class"].to_numpy() == b["lead_class"].to_numpy()
                 shared = np.flatnonzero((ahead + behind >= passage.min_words) & ~first)
                 take = pa.array(shared)
-                lead = [b[c].take(take) for c in ("lead_doc_id", "lead_key", "lead_pos")]
                 for cls in ("class", "lead_class"):
-                    yield pa.RecordBatch.from_arrays([pa.nulls(len(shared), pa.int64()), pa.array(behind[shared].astype(np.int32)), pa.array(ahead[shared].astype(np.int32)),
-                                                      b["gram"].take(take), b[cls].take(take), *lead], names=_WINDOW)
-                chain = lambda x: np.stack(_prefixes(x), axis=1)
-                right, left = chain(after), chain(before)
-                has_right, has_left = (after != 0).sum(axis=1)[:, None], (before != 0).sum(axis=1)[:, None]
+                    yield pa.RecordBatch.from_arrays([b[c].take(take) for c in ("gram", cls, "lead_doc_id", "lead_key", "lead_pos")]
+                                                     + [pa.array(behind[shared].astype(np.int32)), pa.array(ahead[shared].astype(np.int32)), pa.nulls(len(shared), kind)], names=names)
+                right, left = (np.stack(_prefixes(x), axis=1) for x in (after, before))
+                has_right, has_left = passage.gram + (after != 0).sum(axis=1)[:, None], (before != 0).sum(axis=1)[:, None]
                 o = np.arange(passage.left + 1)
                 fits = (o <= has_left) & (passage.min_words - o <= has_right) & ~first[:, None]
                 fits &= (o > behind[:, None]) | (passage.min_words - o > ahead[:, None])
-                hashes = _join(_join(left[:, o], right[:, passage.min_words - o]), np.broadcast_to(o.astype(np.uint64), fits.shape))
+                hashes = _join(_join(left[:, o], right[:, passage.left - o]), np.broadcast_to(o.astype(np.uint64), fits.shape))
                 row, back = np.nonzero(fits)
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[row, back].view(np.int64)), pa.array(back.astype(np.int32)), pa.array((passage.min_words - back).astype(np.int32)),
-                                                  *[b[c].take(take) for c in ("gram", "class", "doc_id", "key", "pos")]], names=_WINDOW)
+                some = np.flatnonzero(fits.any(axis=1))
+                ends = np.append(0, np.cumsum(fits.sum(axis=1)[some])).astype(np.int32)
+                pairs = pa.StructArray.from_arrays([pa.array(back.astype(np.int32)), pa.array(hashes[row, back].view(np.int64))], ["back", "window"])
+                none = pa.nulls(len(some), pa.int32())
+                yield pa.RecordBatch.from_arrays([b[c].take(pa.array(some)) for c in names[:5]] + [none, none, pa.ListArray.from_arrays(pa.array(ends), pairs)], names=names)
     return run
 
 
-_WINDOW = ["window", "back", "ahead", "gram", "class", "doc_id", "key", "pos"]
-
-
 def _prefixes(words: np.ndarray) -> list[np.ndarray]:
     """Hashes of the first 0, 1, 2, .. words of each row."""
     out = [np.full(len(words), 0x1234567, np.uint64)]
@@ -242,47 +270,41 @@ def repeated_passages(docs: DataFrame, passage: Passage = Passage()) -> DataFram
     Grams and classes that very many documents share are combined before they are shuffled; joins on them are split by adaptive
     execution; the sort is by range over classes that are all different."""
     small_batches(docs.sparkSession)
-    keyed = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("key"), "text").withColumn("words", _word_hashes(F.col("text"))).drop("text")
-    found = stored(keyed.mapInArrow(_anchor_rows(passage), "doc_id bigint, key bigint, pos int, gram bigint"), "suffix-anchors")
+    texts = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("key"), "text")
+    found = stored(texts.select("doc_id", "key", _word_hashes(F.col("text"))).mapInArrow(_anchor_rows(passage), _ANCHOR), "suffix-anchors")
     # what is joined to hot grams and classes is written first: the join then shuffles both sides anew and can split them
     twice = stored(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "suffix-grams")
-    wanted = (found.join(twice, "gram", "left_semi").groupBy("doc_id", "key").agg(F.collect_set(F.struct("pos", "gram")).alias("_at"))
-              .select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("_at.pos").alias("at"), F.col("_at.gram").alias("grams")))
-    texts = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("key"), "text")
-    some = (texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
-            .select("doc_id", "key", _word_hashes(F.col("text")).alias("words"), "at", "grams"))
-    suffixes = (some.mapInArrow(_context_rows(passage), "doc_id bigint, key bigint, pos int, gram bigint, after binary, before binary")
-                .withColumn("class", F.xxhash64("after", "before")))
-    suffixes = stored(suffixes, "suffix-contexts")
+    suffixes = stored(found.join(twice, "gram", "left_semi").select(*found.columns), "suffix-repeated")
     spot = F.struct("doc_id", "key", "pos")
-    classes = stored(suffixes.groupBy("gram", "class").agg(F.min(spot).alias("first"), F.max(spot).alias("last"), F.first("after").alias("after"), F.first("before").alias("before"))
-                     .select("gram", "class", "first.*", (F.col("first") != F.col("last")).alias("again"), "after", "before"), "suffix-classes")
+    classes = stored(suffixes.groupBy("gram", "class").agg(F.min(spot).alias("first"), F.max(spot).alias("last"), F.first("back").alias("back"), F.first("ahead").alias("ahead"))
+                     .select("gram", "class", "first.*", (F.col("first") != F.col("last")).alias("again"), "back", "ahead"), "suffix-classes")
+    several = stored(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("doc_id", "key", "pos", "class")).alias("_lead")).where("_n > 1")
+                     .select("gram", (F.col("_n") > 2).alias("many"), F.col("_lead.class").alias("_lead")), "suffix-several")
+    wanted = (classes.join(several, "gram").groupBy("doc_id", "key")   # as many as a text has anchors
+              .agg(F.collect_list(F.struct("pos", "gram", "class", "back", "ahead", (F.col("class") == F.col("_lead")).alias("lead"), "many")).alias("at"))
+              .select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "at"))
+    some = (texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
+            .select("doc_id", "key", _word_hashes(F.col("text")).alias("words"), "at"))
+    contexts = stored(some.mapInArrow(_context_rows(passage), _CONTEXT), "suffix-contexts")
     layout = _MATCH + ", after binary, before binary"
-    ordered = classes.select("gram", "class", "doc_id", "key", "pos", "after", "before")
+    ordered = contexts.select("gram", "class", "doc_id", "key", "pos", "after", "before")
     side = stored(ordered.repartitionByRange("gram", "after", "before").sortWithinPartitions("gram", "after", "before").mapInArrow(_neighbours(passage), layout), "suffix-matches")
     edges = (side.where("after IS NOT NULL").select(*ordered.columns).repartition(1)   # two rows for each partition of the sort
              .sortWithinPartitions("gram", "after", "before").mapInArrow(_neighbours(passage), layout))
-    matched = side.unionByName(edges).where("after IS NULL").select("gram", "class", "back", "ahead", F.struct("doc_id", "key", "pos").alias("other"))
-    length = lambda c: (F.length(F.regexp_replace(F.hex(c), "(?:0{8})+$", "")) / 8).cast("int")
-    own = (classes.where("again").select("gram", "class", length("before").alias("back"), length("after").alias("ahead"), spot.alias("other"))
-           .where(F.col("back") + F.col("ahead") >= passage.min_words))
-    many = stored(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("gram"), "suffix-grams")
-    several = classes.join(many, "gram", "left_semi").drop("again")
-    lead = stored(several.groupBy("gram").agg(F.min(spot).alias("_lead")).select(F.col("gram").alias("_gram"), "_lead")
-                  .join(several, (F.col("gram") == F.col("_gram")) & (spot == F.col("_lead")))
-                  .select("gram", F.col("class").alias("lead_class"), *[F.col(c).alias("lead_" + c) for c in ("doc_id", "key", "pos", "after", "before")]), "suffix-first")
-    windows = stored(several.join(lead, "gram").mapInArrow(
-        _window_rows(passage), "window bigint, back int, ahead int, gram bigint, class bigint, doc_id bigint, key bigint, pos int"), "suffix-windows")
-    equal = stored(windows.where("window IS NOT NULL").groupBy("gram", "window").agg(F.min(spot).alias("other"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "suffix-windows")
-    exact = (windows.join(equal, ["gram", "window"]).groupBy("gram", "class", "other")
-             .agg(F.max("back").alias("back"), F.max("ahead").alias("ahead")).select("gram", "class", "back", "ahead", "other"))
-    exact = exact.unionByName(windows.where("window IS NULL").select("gram", "class", "back", "ahead", spot.alias("other")))
+    matched = side.unionByName(edges).where("after IS NULL").select("gram", "class", "back", "ahead", spot.alias("other"))
+    own = classes.where("again").select("gram", "class", "back", "ahead", spot.alias("other"))
+    lead = contexts.where("many AND lead").select("gram", *[F.col(c).alias("lead_" + c) for c in ("class", "doc_id", "key", "pos", "after", "before")])
+    pieces = stored(contexts.where("many").drop("lead", "many").join(lead, "gram").mapInArrow(_window_rows(passage), _WINDOW), "suffix-windows")
+    windows = pieces.where("windows IS NOT NULL").select("gram", "class", "doc_id", "key", "pos", F.explode("windows").alias("_w")).select("gram", "class", "doc_id", "key", "pos", "_w.*")
+    equal = stored(windows.groupBy("gram", "window").agg(F.min(spot).alias("other"), F.max(spot).alias("_last")).where("other <> _last").drop("_last"), "suffix-windows")
+    exact = (windows.select("gram", "class", "back", "window").join(equal, ["gram", "window"]).groupBy("gram", "class", "other")
+             .agg(F.max("back").alias("back"), (F.lit(passage.min_words) - F.min("back")).alias("ahead")).select("gram", "class", "back", "ahead", "other"))
+    exact = exact.unionByName(pieces.where("windows IS NULL").select("gram", "class", "back", "ahead", spot.alias("other")))
     reach = stored(matched.unionByName(own).unionByName(exact).distinct(), "suffix-reach")
     gone = spot > F.col("other")
-    reached = (suffixes.select("doc_id", "key", "pos", "gram", "class").distinct().join(reach, ["gram", "class"])
+    reached = (suffixes.select("doc_id", "key", "pos", "gram", "class").join(reach, ["gram", "class"])
                .select("doc_id", "key", (F.col("pos") - F.col("back")).alias("start"), (F.col("pos") + F.col("ahead")).alias("end"),
-                       F.when(gone, F.col("other.doc_id")).otherwise(F.col("doc_id")).alias("first_doc_id"), F.explode(F.when(gone, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("gone"))
-               .groupBy("doc_id", "key", "gone", "start").agg(F.max("end").alias("end"), F.min("first_doc_id").alias("first_doc_id")))
+                       F.when(gone, F.col("other.doc_id")).otherwise(F.col("doc_id")).alias("first_doc_id"), F.explode(F.when(gone, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("gone")))
     line = Window.partitionBy("doc_id", "key", "gone").orderBy("start")
     new = F.col("start") > F.coalesce(F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
     merged = (reached.withColumn("_new", new.cast("int")).withColumn("_stretch", F.sum("_new").over(line))
