@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -166,7 +167,8 @@ def _context_rows(passage: Passage):
     return run
 
 
-_MATCH = "gram bigint, class bigint, back int, ahead int, doc_id bigint, key bigint, pos int"
+#: A row's match with a neighbour. ``gone``: the other one is earlier and nothing but these two is in the gram; ``doc_id`` is the other's.
+_MATCH = "gram bigint, class bigint, back int, ahead int, gone boolean, doc_id bigint, after binary, before binary"
 
 
 def _neighbours(passage: Passage):
@@ -190,38 +192,38 @@ def _neighbours(passage: Passage):
 def _with_edge(row: pa.RecordBatch) -> pa.RecordBatch:
     """A row of classes in the layout of matches: no match, contexts attached."""
     none = pa.nulls(row.num_rows, pa.int32())
-    return pa.RecordBatch.from_arrays([row["gram"], row["class"], none, none, row["doc_id"], row["key"], row["pos"], row["after"], row["before"]],
-                                      names=["gram", "class", "back", "ahead", "doc_id", "key", "pos", "after", "before"])
+    return pa.RecordBatch.from_arrays([row["gram"], row["class"], none, none, row["gone"], row["doc_id"], row["after"], row["before"]],
+                                      names=[c.split()[0] for c in _MATCH.split(", ")])
 
 
 def _compared(rows: pa.RecordBatch, passage: Passage) -> Iterator[pa.RecordBatch]:
-    """Matches of neighbouring rows: for each of the two, how far it reaches and where the other one stands."""
+    """Matches of neighbouring rows: for each of the two, how far it reaches and which document the other one is from."""
     if rows.num_rows < 2:
         return
-    gram = rows["gram"].to_numpy()
+    gram, cls = rows["gram"].to_numpy(), rows["class"].to_numpy()
     after, before = _numbers(rows["after"], passage.left), _numbers(rows["before"], passage.left)
-    pair = np.flatnonzero((gram[1:] == gram[:-1]) & (rows["class"].to_numpy()[1:] != rows["class"].to_numpy()[:-1]))
+    pair = np.flatnonzero((gram[1:] == gram[:-1]) & (cls[1:] != cls[:-1]))
     ahead, back = passage.gram + _same(after[pair], after[pair + 1]), _same(before[pair], before[pair + 1])
     good = ahead + back >= passage.min_words
     pair, ahead, back = pair[good], ahead[good], back[good]
     if not len(pair):
         return
-    me, other = np.concatenate([pair, pair + 1]), pa.array(np.concatenate([pair + 1, pair]))
+    me, other = (pa.array(np.concatenate(x)) for x in ((pair, pair + 1), (pair + 1, pair)))
     both = lambda x: pa.array(np.concatenate([x, x]).astype(np.int32))
     empty = pa.nulls(len(me), pa.binary())
-    yield pa.RecordBatch.from_arrays([rows["gram"].take(pa.array(me)), rows["class"].take(pa.array(me)), both(back), both(ahead), rows["doc_id"].take(other), rows["key"].take(other),
-                                      rows["pos"].take(other), empty, empty], names=["gram", "class", "back", "ahead", "doc_id", "key", "pos", "after", "before"])
+    yield pa.RecordBatch.from_arrays([*[rows[c].take(me) for c in ("gram", "class")], both(back), both(ahead), rows["gone"].take(me), rows["doc_id"].take(other), empty, empty],
+                                     names=[c.split()[0] for c in _MATCH.split(", ")])
 
 
-_WINDOW = "gram bigint, class bigint, doc_id bigint, key bigint, pos int, back int, ahead int, windows array<struct<back:int,window:bigint>>"
+_WINDOW = "gram bigint, class bigint, doc_id bigint, back int, ahead int, gone boolean, spot struct<doc_id:bigint,key:bigint,pos:int>, windows array<struct<back:int,window:bigint>>"
 
 
 def _window_rows(passage: Passage):
-    """A class against the first class of its gram. What they share is settled: no copy is earlier (``windows`` is null; one row for the
-    class and one for the first, with the place of the first). Of the rest, every window as a hash of its words (``windows``, with the
-    place of the class); a window that differs from the first class's differs in all classes that hold it, so equal ones are all
-    among these rows."""
+    """A class against the first class of its gram. What they share is settled: it is gone from the class and repeats in the first one
+    (``windows`` is null). Of the rest, every window as a hash of its words (``windows``, with the place of the class); a window
+    that differs from the first class's differs in all classes that hold it, so equal ones are all among these rows."""
     names = [c.split()[0] for c in _WINDOW.split(", ")]
+    place = pa.struct([("doc_id", pa.int64()), ("key", pa.int64()), ("pos", pa.int32())])
     kind = pa.list_(pa.struct([("back", pa.int32()), ("window", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,10 +234,10 @@ def _window_rows(passage: Passage):
                 ahead, behind = passage.gram + _same(after, _numbers(b["lead_after"], passage.left)), _same(before, _numbers(b["lead_before"], passage.left))
                 first = b["class"].to_numpy() == b["lead_class"].to_numpy()
                 shared = np.flatnonzero((ahead + behind >= passage.min_words) & ~first)
-                take = pa.array(shared)
-                for cls in ("class", "lead_class"):
-                    yield pa.RecordBatch.from_arrays([b[c].take(take) for c in ("gram", cls, "lead_doc_id", "lead_key", "lead_pos")]
-                                                     + [pa.array(behind[shared].astype(np.int32)), pa.array(ahead[shared].astype(np.int32)), pa.nulls(len(shared), kind)], names=names)
+                take, n = pa.array(shared), len(shared)
+                for cls, gone in (("class", True), ("lead_class", False)):
+                    yield pa.RecordBatch.from_arrays([*[b[c].take(take) for c in ("gram", cls, "lead_doc_id")], pa.array(behind[shared].astype(np.int32)),
+                                                      pa.array(ahead[shared].astype(np.int32)), pa.array(np.full(n, gone)), pa.nulls(n, place), pa.nulls(n, kind)], names=names)
                 right, left = (np.stack(_prefixes(x), axis=1) for x in (after, before))
                 has_right, has_left = passage.gram + (after != 0).sum(axis=1)[:, None], (before != 0).sum(axis=1)[:, None]
                 o = np.arange(passage.left + 1)
@@ -246,8 +248,10 @@ def _window_rows(passage: Passage):
                 some = np.flatnonzero(fits.any(axis=1))
                 ends = np.append(0, np.cumsum(fits.sum(axis=1)[some])).astype(np.int32)
                 pairs = pa.StructArray.from_arrays([pa.array(back.astype(np.int32)), pa.array(hashes[row, back].view(np.int64))], ["back", "window"])
-                none = pa.nulls(len(some), pa.int32())
-                yield pa.RecordBatch.from_arrays([b[c].take(pa.array(some)) for c in names[:5]] + [none, none, pa.ListArray.from_arrays(pa.array(ends), pairs)], names=names)
+                take, n = pa.array(some), len(some)
+                spot = pa.StructArray.from_arrays([b[c].take(take) for c in ("doc_id", "key", "pos")], ["doc_id", "key", "pos"])
+                yield pa.RecordBatch.from_arrays([b["gram"].take(take), b["class"].take(take), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()),
+                                                  pa.nulls(n, pa.bool_()), spot, pa.ListArray.from_arrays(pa.array(ends), pairs)], names=names)
     return run
 
 
@@ -286,25 +290,33 @@ def repeated_passages(docs: DataFrame, passage: Passage = Passage()) -> DataFram
     some = (texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
             .select("doc_id", "key", _word_hashes(F.col("text")).alias("words"), "at"))
     contexts = stored(some.mapInArrow(_context_rows(passage), _CONTEXT), "suffix-contexts")
-    layout = _MATCH + ", after binary, before binary"
-    ordered = contexts.select("gram", "class", "doc_id", "key", "pos", "after", "before")
-    side = stored(ordered.repartitionByRange("gram", "after", "before").sortWithinPartitions("gram", "after", "before").mapInArrow(_neighbours(passage), layout), "suffix-matches")
+    ordered = contexts.select("gram", "class", "doc_id", (~F.col("lead") & ~F.col("many")).alias("gone"), "after", "before")
+    side = stored(ordered.repartitionByRange("gram", "after", "before").sortWithinPartitions("gram", "after", "before").mapInArrow(_neighbours(passage), _MATCH), "suffix-matches")
     edges = (side.where("after IS NOT NULL").select(*ordered.columns).repartition(1)   # two rows for each partition of the sort
-             .sortWithinPartitions("gram", "after", "before").mapInArrow(_neighbours(passage), layout))
-    matched = side.unionByName(edges).where("after IS NULL").select("gram", "class", "back", "ahead", spot.alias("other"))
-    own = classes.where("again").select("gram", "class", "back", "ahead", spot.alias("other"))
-    lead = contexts.where("many AND lead").select("gram", *[F.col(c).alias("lead_" + c) for c in ("class", "doc_id", "key", "pos", "after", "before")])
+             .sortWithinPartitions("gram", "after", "before").mapInArrow(_neighbours(passage), _MATCH))
+    lead = contexts.where("many AND lead").select("gram", *[F.col(c).alias("lead_" + c) for c in ("class", "doc_id", "after", "before")])
     pieces = stored(contexts.where("many").drop("lead", "many").join(lead, "gram").mapInArrow(_window_rows(passage), _WINDOW), "suffix-windows")
-    windows = pieces.where("windows IS NOT NULL").select("gram", "class", "doc_id", "key", "pos", F.explode("windows").alias("_w")).select("gram", "class", "doc_id", "key", "pos", "_w.*")
-    equal = stored(windows.groupBy("gram", "window").agg(F.min(spot).alias("other"), F.max(spot).alias("_last")).where("other <> _last").drop("_last"), "suffix-windows")
-    exact = (windows.select("gram", "class", "back", "window").join(equal, ["gram", "window"]).groupBy("gram", "class", "other")
-             .agg(F.max("back").alias("back"), (F.lit(passage.min_words) - F.min("back")).alias("ahead")).select("gram", "class", "back", "ahead", "other"))
-    exact = exact.unionByName(pieces.where("windows IS NULL").select("gram", "class", "back", "ahead", spot.alias("other")))
-    reach = stored(matched.unionByName(own).unionByName(exact).distinct(), "suffix-reach")
-    gone = spot > F.col("other")
+    windows = pieces.where("windows IS NOT NULL").select("gram", "class", "spot", F.explode("windows").alias("_w")).select("gram", "class", "spot", "_w.*")
+    equal = stored(windows.groupBy("gram", "window").agg(F.min(F.struct("spot", "class")).alias("_first"), F.max("class").alias("_max"), F.min("class").alias("_min")).where("_min <> _max")
+                   .select("gram", "window", F.col("_first.class").alias("_lead"), F.col("_first.spot.doc_id").alias("doc_id")), "suffix-windows")
+    exact = (windows.select("gram", "class", "back", "window").join(equal, ["gram", "window"])
+             .select("gram", "class", "back", (F.lit(passage.min_words) - F.col("back")).alias("ahead"), (F.col("class") != F.col("_lead")).alias("gone"), "doc_id"))
+    matches = [side.unionByName(edges).where("after IS NULL"), exact, pieces.where("windows IS NULL")]
+    none = F.lit(None)
+    own = classes.where("again").select("gram", "class", "back", "ahead", none.cast("int").alias("gone_back"), none.cast("int").alias("gone_ahead"), none.cast("bigint").alias("first_id"), spot.alias("own"))
+    # the windows of one anchor all hold its gram, so any of them together are one stretch
+    reach = [m.groupBy("gram", "class").agg(F.max("back").alias("back"), F.max("ahead").alias("ahead"), F.max(F.when(F.col("gone"), F.col("back"))).alias("gone_back"),
+                                            F.max(F.when(F.col("gone"), F.col("ahead"))).alias("gone_ahead"), F.min(F.when(F.col("gone"), F.col("doc_id"))).alias("first_id"))
+             .withColumn("own", none.cast("struct<doc_id:bigint,key:bigint,pos:int>")) for m in matches]
+    reach = stored(reduce(DataFrame.unionByName, reach, own).groupBy("gram", "class").agg(
+        *[F.max(c).alias(c) for c in ("back", "ahead", "gone_back", "gone_ahead", "own")], F.min("first_id").alias("first_id")), "suffix-reach")
+    again = F.coalesce(spot > F.col("own"), F.lit(False))   # a later suffix of a class: the first one has all of it
+    first_id = F.least("doc_id", "first_id", F.when(again, F.col("own.doc_id")))
+    stretch = lambda back, ahead, gone: F.when(F.col(back).isNotNull(), F.struct((F.col("pos") - F.col(back)).alias("start"), (F.col("pos") + F.col(ahead)).alias("end"), F.lit(gone).alias("gone")))
+    both = F.array(stretch("back", "ahead", False), F.when(again, stretch("back", "ahead", True)).otherwise(stretch("gone_back", "gone_ahead", True)))
     reached = (suffixes.select("doc_id", "key", "pos", "gram", "class").join(reach, ["gram", "class"])
-               .select("doc_id", "key", (F.col("pos") - F.col("back")).alias("start"), (F.col("pos") + F.col("ahead")).alias("end"),
-                       F.when(gone, F.col("other.doc_id")).otherwise(F.col("doc_id")).alias("first_doc_id"), F.explode(F.when(gone, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("gone")))
+               .select("doc_id", "key", first_id.alias("first_doc_id"), F.explode(F.filter(both, lambda x: x.isNotNull())).alias("_s"))
+               .select("doc_id", "key", "first_doc_id", "_s.*"))
     line = Window.partitionBy("doc_id", "key", "gone").orderBy("start")
     new = F.col("start") > F.coalesce(F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
     merged = (reached.withColumn("_new", new.cast("int")).withColumn("_stretch", F.sum("_new").over(line))
