@@ -265,14 +265,14 @@ def staging_tickets(wh: Warehouse) -> DataFrame:
                       F.get(ids_in_order(c("companies")), F.lit(0)).alias("company_id"), c("subject").alias("ticket_name"),
                       c("created_at").cast("timestamp_ntz").alias("created_at"), c("closed_at").cast("timestamp_ntz").alias("closed_at"),
                       c("first_reply_at").cast("timestamp_ntz").alias("first_reply_at"), (typed(c("time_to_close"), "double") / 3600000).alias("hours_to_close"),
-                      "valid_from", "valid_to")
+                      typed(c("solution_time"), "double").alias("hours_to_solution"), "valid_from", "valid_to")
     base = with_totals(base, ["ticket_id"], F.min("valid_from").alias("_first"))
     base = base.withColumn("is_first", c("valid_from") == c("_first")).drop("_first")
     out = history.merge_entries(base, entries, "ticket_id", "is_first", "month").withColumn("stage_id", F.coalesce("stage", "old_stage"))
     state = ["stage_id", "pipeline_id", "owner_id", "company_id", "ticket_name"]
     chunk = find_hot_keys("ticket_id", out).chunk("ticket_id", time_chunk("valid_from", "day"))
     spans = collapse_islands(out, ["ticket_id"], state, "valid_from", "valid_to", chunk,
-                             also=["created_at", "closed_at", "first_reply_at", "hours_to_close"])
+                             also=["created_at", "closed_at", "first_reply_at", "hours_to_close", "hours_to_solution"])
     return spans.withColumn("is_active", _is_open(c("valid_to")))
 
 
@@ -311,13 +311,15 @@ def mart_ticket_working_time(wh: Warehouse) -> DataFrame:
 
 @model("mart_customer_costs", "table")
 def mart_customer_costs(wh: Warehouse) -> DataFrame:
-    """Hours and cost of tickets and engagements per company, owner and day."""
+    """Hours and cost of tickets, engagements and sprint issues per company, owner and day. A ticket's solution time goes before its time to close."""
     rates = wh.ref("dim_owner").where("owner_id IS NOT NULL AND gross_salary IS NOT NULL")
     rates = rates.select(c("owner_sk").alias("owner_id"), people.hourly_rate(rates).alias("rate"), "valid_from", "valid_to")
     tickets = wh.ref("mart_ticket_active").select(c("company_sk").alias("company_id"), c("owner_sk").alias("owner_id"), day(c("created_at")).alias("day"),
-                                                  (c("hours_to_close") * (1 if wh.rules.ticket_hours_as_minutes else 60)).cast("decimal(18,3)").alias("minutes"))
+                                                  (F.coalesce("hours_to_solution", "hours_to_close") * (1 if wh.rules.ticket_hours_as_minutes else 60)).cast("decimal(18,3)").alias("minutes"))
     shared = F.when(c("num_companies") == 0, c("total_minutes")).otherwise(c("total_minutes") / c("num_companies"))
     events = wh.ref("fact_engagements").where("total_minutes > 0").select(
         c("company_sk").alias("company_id"), c("owner_sk").alias("owner_id"), day(c("at")).alias("day"), "event_id",
         shared.cast("decimal(18,3)").alias("minutes")).distinct().drop("event_id")
-    return people.service_costs({"Ticket": tickets, "Engagement": events}, rates, closed="left")
+    issues = wh.ref("fact_sprint_issues").select(c("company_sk").alias("company_id"), c("owner_sk").alias("owner_id"), c("resolution_date").alias("day"),
+                                                 (c("time_hours") * 60).cast("decimal(18,3)").alias("minutes"))
+    return people.service_costs({"Ticket": tickets, "Engagement": events, "Tech issues": issues}, rates, closed="left")
