@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerloom.context import new_folder
-from ledgerloom.llm import bpe, embeddings, language, line_dedup, mixing, quality_rules, simhash, suffix_dedup, token_counts, token_files
+from ledgerloom.llm import bpe, debruijn, embeddings, language, line_dedup, merkle, mixing, quality_rules, simhash, suffix_dedup, token_counts, token_files, vector_codes
 from ledgerloom.llm.common import documents, stored, word_count
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,6 +203,111 @@ def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "start", "n_words", "first_doc_id", F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, x: n + x["n_words"]).alias("n_removed"), "removed"))
 
 
+SPANS_SQL = r"""
+WITH texts AS MATERIALIZED (
+  SELECT doc_id, md5(text) AS k, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, k, p, array_to_string(words[p:p + 12], ' ') AS g FROM (SELECT *, unnest(range(1, len(words) - 11)) AS p FROM texts WHERE len(words) > 12)),
+gone AS (
+  SELECT DISTINCT doc_id, k, unnest(range(p, p + 13)) AS i FROM (SELECT doc_id, k, p, min(doc_id) OVER (PARTITION BY g) AS least FROM windows) WHERE least < doc_id),
+placed AS (
+  SELECT doc_id, k, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM texts),
+kept AS (
+  SELECT p.doc_id, p.k, string_agg(word, ' ' ORDER BY p.i) FILTER (g.i IS NULL) AS text, count(g.i) AS n
+  FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.k = g.k AND p.i = g.i GROUP BY ALL)
+SELECT t.doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept ON t.doc_id = kept.doc_id AND t.k = kept.k
+"""
+
+
+@register("op11_substring_dedup", SPANS_SQL)
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = debruijn.without_repeats(documents(spark, sf_dir))
+    return done.select("doc_id", "n_words", "n_removed", debruijn.text_digest(F.col("kept")).alias("kept_sha256"))
+
+
+MERKLE_SQL = r"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+fields AS (
+  SELECT doc_id, source, text, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+           lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1]))) AS sum32,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+           || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS front FROM documents, crc),
+leaves AS (
+  SELECT doc_id, source, sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(front || coalesce(strlen(t) || ':' || t, '-')) AS seen
+  FROM (SELECT *, CASE WHEN sum32 % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS t FROM fields)),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+sub AS (
+  SELECT source, 0 AS level, pos, count(*) OVER (PARTITION BY source) AS n, leaf AS h FROM placed
+  UNION ALL
+  SELECT source, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM sub WHERE n > 1 GROUP BY source, level, n, pos // 3),
+subroots AS MATERIALIZED (
+  SELECT source, level AS levels, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS spos FROM sub WHERE n = 1),
+top AS (
+  SELECT 0 AS level, spos AS pos, count(*) OVER () AS n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, n, pos // 3),
+nodes AS MATERIALIZED (
+  SELECT source, level, pos, h FROM sub WHERE n > 1
+  UNION ALL SELECT s.source, s.levels + t.level, t.pos, t.h FROM subroots s, top t WHERE t.n > 1),
+steps AS (
+  SELECT p.doc_id, p.leaf, p.seen, p.source, s.subroot, l AS level,
+         CASE WHEN l < s.levels THEN p.pos // (3 ** l)::BIGINT ELSE s.spos // (3 ** (l - s.levels))::BIGINT END AS place
+  FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source, (SELECT max(level) AS most FROM top) m, unnest(range(0, s.levels + m.most)) AS u(l)),
+sides AS (
+  SELECT doc_id, leaf, seen, s.source, subroot, s.level, coalesce(string_agg(h, '' ORDER BY pos) FILTER (pos < place), '') AS l, coalesce(string_agg(h, '' ORDER BY pos) FILTER (pos > place), '') AS r
+  FROM steps s JOIN nodes n ON s.source IS NOT DISTINCT FROM n.source AND s.level = n.level AND n.pos // 3 = s.place // 3 GROUP BY ALL),
+paths AS (
+  SELECT doc_id, leaf, seen, subroot, list({'l': l, 'r': r, 'c': ''} ORDER BY level) AS path FROM sides GROUP BY ALL)
+SELECT p.doc_id, p.leaf, s.subroot, top.h AS root, sha256(coalesce(array_to_string(list_transform(path, lambda x: x.l || x.r), ''), '')) AS proof_sha256,
+       CASE WHEN path IS NULL THEN p.seen ELSE list_reduce(list_prepend({'l': '', 'r': '', 'c': p.seen}, path), lambda a, x: {'l': '', 'r': '', 'c': sha256(x.l || a.c || x.r)}).c END AS folded_root,
+       folded_root = top.h AS verified
+FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source LEFT JOIN paths ON p.doc_id = paths.doc_id AND p.leaf = paths.leaf, top WHERE top.n = 1
+"""
+
+
+@register("op12_merkle_manifest", MERKLE_SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir), merkle.without_line_ends(F.col("text"))).proofs()
+
+
+def _codes_sql(rounds: int = 2) -> str:
+    """The Lloyd rounds written out: every part against every entry."""
+    nearest = """at{i} AS MATERIALIZED (
+  SELECT vec_id, part, x, arg_min(entry, {{'d': d, 'e': entry}}) AS entry, min(d) AS d
+  FROM (SELECT p.vec_id, p.part, p.x, b.entry, list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM parts p JOIN books{i} b ON p.part = b.part) GROUP BY ALL),"""
+    moved = """books{j} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM books{i} b LEFT JOIN (
+    SELECT part, entry, list(y ORDER BY k) AS x FROM (
+      SELECT part, entry, k, ((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS y
+      FROM (SELECT part, entry, unnest(x) AS v, unnest(range(len(x))) AS k FROM at{i}) GROUP BY part, entry, k) GROUP BY part, entry) m
+  ON b.part = m.part AND b.entry = m.entry),"""
+    steps = "".join(nearest.format(i=i) + (moved.format(i=i, j=i + 1) if i < rounds else "") for i in range(rounds + 1))
+    return f"""WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda v: floor(v::DOUBLE * 256)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, part, x[part * (len(x) // 16) + 1:(part + 1) * (len(x) // 16)] AS x FROM kept, unnest(range(16)) AS u(part)),
+books0 AS MATERIALIZED (
+  SELECT part, x, rank - 1 AS entry FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS rank FROM kept) USING (vec_id) WHERE rank <= 64),
+{steps}
+digest AS (
+  SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, k)) AS codebooks_sha256 FROM (SELECT part, entry, unnest(x) AS v, unnest(range(len(x))) AS k FROM books{rounds})),
+coded AS (
+  SELECT vec_id, string_agg(lpad(to_hex(entry), 2, '0'), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM at{rounds} GROUP BY vec_id)
+SELECT vec_id, lower(code) AS code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), digest"""
+
+
+@register("op13_vector_codes", _codes_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(documents(spark, sf_dir, "embeddings"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -29,7 +29,7 @@ def texts():
 
 def test_all_are_registered():
     assert set(llm.queries()) <= set(entry.queries())
-    assert [k for k in llm.queries() if k == "pipeline" or k.startswith("op")] == list(llm.queries()) and len(llm.queries()) == 11
+    assert [k for k in llm.queries() if k == "pipeline" or k.startswith("op")] == list(llm.queries()) and len(llm.queries()) == 14
 
 
 @pytest.mark.parametrize("key", sorted(llm.oracle_sql()))
