@@ -122,14 +122,14 @@ def test_codes_of_odd_tables(spark):
 
 def test_trees_hold_every_point_once_and_settle_whole_subtrees():
     rng = np.random.default_rng(3)
-    points = rng.normal(0, 60, (6000, 4)).round().astype(np.int64)
+    points = (rng.normal(0, 400, (12, 4))[rng.integers(12, size=6000)] + rng.normal(0, 20, (6000, 4))).round().astype(np.int64)
     order, nodes = vector_codes.cover_tree(points)
     assert sorted(order.tolist()) == list(range(6000))
     p = points[order]
     for lo, hi, first, last, radius in nodes:
         assert ((p[lo:hi] - p[lo]) ** 2).sum(1).max() == radius
         assert first == last or (nodes[first:last, 0].tolist() == [lo, *nodes[first:last - 1, 1].tolist()] and nodes[last - 1, 1] == hi)
-    at, _, single, _ = vector_codes.settled(p, nodes, rng.normal(0, 120, (8, 4)).round().astype(np.int64))
+    at, _, single, _ = vector_codes.settled(p, nodes, rng.normal(0, 400, (8, 4)).round().astype(np.int64))
     assert len(single) < 3000 and len(single) + (nodes[at, 1] - nodes[at, 0]).sum() == 6000
 
 
