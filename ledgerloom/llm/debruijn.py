@@ -3,7 +3,8 @@
 Every window of ``window`` words is an edge between the nodes of its first and its last window - 1 words; an edge is told by the hashes of
 both nodes, 128 bits. Only edges that stand in two documents matter. To find them without shuffling a row for each window:
 
-1. Each window chooses the least of its short grams by hash. Equal windows choose equal grams, so a window whose gram no other
+1. A document whose text an earlier one has is a copy: it is told by a digest of its text, loses all its windows to that one and takes no
+   further part. Each window of the others chooses the least of its short grams by hash. Equal windows choose equal grams, so a window whose gram no other
    document chose does not repeat. About one gram in five words is chosen; documents are counted for each.
 2. Neighbouring windows that choose the same gram at the same place are one stretch, a row with its nodes. Equal stretches are merged before
    their edges are counted. An edge keeps its source: the first document and place where it stands. No two edges share a source.
@@ -16,7 +17,6 @@ both nodes, 128 bits. Only edges that stand in two documents matter. To find the
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +27,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import stored
 from ledgerloom.llm.suffix_dedup import grams
 from ledgerloom.llm.token_files import small_batches
+from ledgerloom.llm.words import PORTION, hashed_portions
 
-PORTION = 1 << 20     # bytes of text that are hashed at once
-_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _EACH = "_doc", "_key"
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -45,67 +44,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
         conf.set(FREE_SHUFFLES, before)
 
 
-def _mixed(h: np.ndarray, x: np.ndarray) -> np.ndarray:
-    h = (h ^ x) * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
-
-
-def word_hashes(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of texts that stand in ``raw`` one after another, and the number of words of each; ``cuts`` are the texts' borders.
-    Words are read eight bytes at a time, all words at once."""
-    solid = ~_BLANK[raw]
-    edge = np.zeros(len(raw) + 1, bool)
-    edge[cuts] = True
-    blank = np.concatenate([[True], ~solid, [True]])
-    starts = np.flatnonzero(solid & (edge[:-1] | blank[:-2]))
-    ends = np.flatnonzero(solid & (edge[1:] | blank[2:])) + 1
-    size = ends - starts
-    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
-    eight = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
-    h = size.astype(np.uint64)
-    short = np.flatnonzero(size <= 64)
-    for i in np.flatnonzero(size > 64):
-        h[i] = xxhash.xxh3_64_intdigest(raw[starts[i]:ends[i]].tobytes())
-    for done in range(0, 64, 8):
-        short = short[size[short] > done]
-        if not len(short):
-            break
-        left = np.minimum(size[short] - done, 8).astype(np.uint64)
-        x = eight[starts[short] + done]
-        h[short] = _mixed(h[short], x & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left)))
-    return h, np.searchsorted(starts, cuts[1:]) - np.searchsorted(starts, cuts[:-1])
-
-
-def _portions(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, word hashes and word counts of runs of rows with about ``PORTION`` bytes of text. A longer text is a run of its own and hashed
-    in pieces that end at blanks."""
-    offsets = np.asarray(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1], np.int64)
-    data = texts.buffers()[2]
-    raw = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
-    row = 0
-    while row < len(texts):
-        to = max(row + 1, int(np.searchsorted(offsets, offsets[row] + PORTION, "right")) - 1)
-        part, cuts = raw[offsets[row]:offsets[to]], offsets[row:to + 1] - offsets[row]
-        if len(part) <= 2 * PORTION:
-            yield row, *word_hashes(part, cuts)
-        else:
-            found, at = [], 0
-            while at < len(part):
-                end = at + PORTION
-                blank = np.flatnonzero(_BLANK[part[end:end + PORTION]])
-                while not len(blank) and end < len(part):
-                    end += PORTION
-                    blank = np.flatnonzero(_BLANK[part[end:end + PORTION]])
-                end = min(len(part), end + int(blank[0])) if len(blank) else len(part)
-                found.append(word_hashes(part[at:end], np.array([0, end - at]))[0])
-                at = end
-            words = np.concatenate(found)
-            yield row, words, np.array([len(words)])
-        row = to
-
-
 def chosen(words: np.ndarray, lengths: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For windows that lie in one text, in order: first word, place of the gram they choose - the leftmost of the least - and its hash."""
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(words))
@@ -123,7 +61,7 @@ def _gram_rows(window: int, gram: int):
     """Of each text the grams that its windows choose, each once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row, words, lengths in _portions(b.column(2)):
+            for row, words, lengths in hashed_portions(b.column(2)):
                 starts, at, g = chosen(words, lengths, window, gram)
                 first = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.empty(0, np.int64)
                 doc, g = np.searchsorted(np.cumsum(lengths), starts[first], "right"), g[first]
@@ -135,7 +73,7 @@ def _gram_rows(window: int, gram: int):
                 ends = np.searchsorted(doc, has, "right")
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(g.view(np.int64)))
                 take = pa.array(row + has)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), lists], names=["_doc", "_key", "grams"])
+                yield pa.RecordBatch.from_arrays([*[b.column(i).take(take) for i in (0, 1, 3)], lists], names=["_doc", "_key", "_digest", "grams"])
     return run
 
 
@@ -145,7 +83,7 @@ def _stretch_rows(window: int, gram: int):
         for b in batches:
             wanted, sizes = b.column(3).flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.asarray(b.column(3).value_lengths())
             ends = np.cumsum(sizes)
-            for row, words, lengths in _portions(b.column(2)):
+            for row, words, lengths in hashed_portions(b.column(2)):
                 starts, at, g = chosen(words, lengths, window, gram)
                 doc = np.searchsorted(np.cumsum(lengths), starts, "right")
                 mine = slice(ends[row] - sizes[row], ends[row + len(lengths) - 1])
@@ -168,7 +106,7 @@ def _stretch_rows(window: int, gram: int):
 def _texts(docs: DataFrame) -> DataFrame:
     """A row is told by its doc_id, the least where it is null, and a hash of its text: equal rows are one."""
     text = F.coalesce("text", F.lit("")).cast("binary")
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("_doc"), F.xxhash64("text").alias("_key"), text.alias("_text"), F.col("doc_id").cast("bigint").alias("doc_id"))
+    return docs.select(F.unhex(F.md5(text)).alias("_digest"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("_doc"), F.xxhash64("text").alias("_key"), text.alias("_text"), F.col("doc_id").cast("bigint").alias("doc_id"))
 
 
 class Graph:
@@ -178,8 +116,12 @@ class Graph:
         small_batches(docs.sparkSession)
         self.window, self.texts = window, _texts(docs)
         plain = self.texts.select("_doc", "_key", "_text")
-        grams_of = written(plain.mapInArrow(_gram_rows(window, gram), "_doc bigint, _key bigint, grams array<bigint>"), "bruijn-grams")
-        long_ = grams_of.select("_doc", "_key", F.explode("grams").alias("gram"))
+        found = "_doc bigint, _key bigint, _digest binary, grams array<bigint>"
+        grams_of = written(self.texts.select("_doc", "_key", "_text", "_digest").mapInArrow(_gram_rows(window, gram), found), "bruijn-grams")
+        firsts = written(grams_of.groupBy("_digest").agg(F.min("_doc").alias("_first")), "bruijn-firsts")   # of texts that have a window
+        known = written(grams_of.select("_doc", "_key", "_digest").join(firsts, "_digest").select("_doc", "_key", (F.col("_doc") > F.col("_first")).alias("copy")).distinct(), "bruijn-rows")
+        self.copies = known.where("copy").select(*_EACH)
+        long_ = grams_of.join(known.where("NOT copy"), [*_EACH], "left_semi").select("_doc", "_key", F.explode("grams").alias("gram"))
         shared = written(long_.groupBy("gram").count().where("count > 1").select("gram"), "bruijn-shared")
         hits = written(long_.join(shared, "gram", "left_semi").groupBy("_doc", "_key").agg(F.collect_set("gram").alias("grams")), "bruijn-hits")
         stretch = "_doc bigint, _key bigint, pos int, nodes array<bigint>"
@@ -274,7 +216,7 @@ _CLEANED = "doc_id bigint, n_words bigint, n_removed bigint, n_paths bigint, kep
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows, held = [], 0
-        for doc_id, text, spans in zip(*b.columns, strict=True):
+        for doc_id, text, spans, copy in zip(*b.columns, strict=True):
             words = text.as_py().split()
             gone = np.zeros(len(words) + 1, np.int64)
             paths = set()
@@ -283,8 +225,8 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     gone[s["start"]] += 1
                     gone[s["start"] + s["n_words"]] -= 1
                     paths.add(tuple(s["path"].values()))
-            covered = np.cumsum(gone[:-1]) > 0
-            kept = b" ".join([words[i] for i in np.flatnonzero(~covered)] if paths else words)
+            covered = np.full(len(words), True) if copy.as_py() else np.cumsum(gone[:-1]) > 0
+            kept = b" ".join([words[i] for i in np.flatnonzero(~covered)] if covered.any() else words)
             rows.append((doc_id.as_py(), len(words), int(covered.sum()), len(paths), kept))
             held += len(kept)
             if held > PORTION:
@@ -302,7 +244,7 @@ def _cleaned_batch(rows: list[tuple]) -> pa.RecordBatch:
 def without_repeats(docs: DataFrame, window: int = 13, gram: int = 5) -> DataFrame:
     """``doc_id, n_words, n_removed, n_paths, kept`` for every row of ``docs`` (doc_id, text): words that a window covers which also starts in a
     document with a smaller doc_id are removed, ``kept`` holds the others with one space between them, and ``n_paths`` counts the
-    paths of the graph they are from.
+    paths of the graph they are from; a copy of a whole earlier text is on none.
 
     Windows are judged on the input, whatever is removed. Repeats inside a document, or between rows of one doc_id, are no repeats. A null doc_id is
     the smallest of all, so its words stay. A null or blank text has no words; a text shorter than a window loses none. Equal rows get equal results.
@@ -312,9 +254,10 @@ def without_repeats(docs: DataFrame, window: int = 13, gram: int = 5) -> DataFra
     asked = spans.select("f_doc", "f_key", "f_pos", "n_words").distinct().groupBy("f_doc", "f_key").agg(F.collect_list(F.struct("f_pos", "n_words")).alias("at"))
     there = graph.texts.join(asked, (F.col("_doc") == F.col("f_doc")) & (F.col("_key") == F.col("f_key"))).select("f_doc", "f_key", "_text", "at")
     digests = written(there.mapInArrow(_source_digests, "f_doc bigint, f_key bigint, f_pos int, n_words int, digest binary"), "bruijn-digests").distinct()
-    told = written(spans.join(digests, ["f_doc", "f_key", "f_pos", "n_words"]).groupBy("_doc", "_key").agg(F.collect_list(F.struct("start", "n_words", "digest", "path")).alias("spans")), "bruijn-told")
+    told = spans.join(digests, ["f_doc", "f_key", "f_pos", "n_words"]).groupBy("_doc", "_key").agg(F.collect_list(F.struct("start", "n_words", "digest", "path")).alias("spans"))
+    told = written(told.withColumn("copy", F.lit(False)).unionByName(graph.copies.withColumn("copy", F.lit(True)), allowMissingColumns=True), "bruijn-told")
     rows = graph.texts.join(told.withColumnsRenamed({"_doc": "_d", "_key": "_k"}), (F.col("_doc") == F.col("_d")) & (F.col("_key") == F.col("_k")), "left")
-    return rows.select("doc_id", "_text", "spans").mapInArrow(_cleaned, _CLEANED)
+    return rows.select("doc_id", "_text", "spans", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_cleaned, _CLEANED)
 
 
 def text_digest(text: Column) -> Column:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import debruijn, merkle, vector_codes
+from ledgerloom.llm import debruijn, merkle, vector_codes, words
 
 H = lambda parts: hashlib.sha256("".join(parts).encode()).hexdigest()
 DOCS = "doc_id bigint, source string, lang string, n_chars bigint, text string"
@@ -139,7 +139,7 @@ def plain_spans(rows, n=13):
         w = (t or "").split()
         for p in range(len(w) - n + 1):
             k = tuple(w[p:p + n])
-            least[k] = min(least.get(k, (True, 0)), (d is not None, d or 0))
+            least[k] = min(least.get(k, (True, float("inf"))), (d is not None, d or 0))
     out = []
     for d, t in rows:
         w = (t or "").split()
@@ -153,8 +153,8 @@ def plain_spans(rows, n=13):
 
 def test_spans_where_paths_branch_and_circle(spark):
     rng = np.random.default_rng(11)
-    words = [f"w{i}" for i in range(3000)]
-    pick = lambda n: [words[i] for i in rng.integers(0, len(words), n)]
+    vocab = [f"w{i}" for i in range(3000)]
+    pick = lambda n: [vocab[i] for i in rng.integers(0, len(vocab), n)]
     shared = [pick(int(rng.integers(10, 90))) for _ in range(7)]
     rows = []
     for d in range(150):
@@ -164,7 +164,7 @@ def test_spans_where_paths_branch_and_circle(spark):
             w += pick(int(rng.integers(0, 9))) + s[int(rng.integers(5)):len(s) - int(rng.integers(5))] + ["a", "b", "c"] * int(rng.integers(0, 30) * (rng.random() < 0.2))
         rows.append((d, " ".join(w)))
     rows += [(d + 100, t) for d, t in rows[:60]] + [(None, rows[3][1]), (500, "\n".join(["x" * 300, "é ü"] * 20)), (501, " \t".join(["x" * 300, "é ü"] * 20)), (502, None), (503, ""), (504, " \n "),
-                                                    (505, " ".join(pick(70_000))), (506, " ".join(words[:12]))] + [(3, rows[3][1])]
+                                                    (505, " ".join(pick(70_000))), (506, " ".join(vocab[:12]))] + [(3, rows[3][1])]
     rows += [(507, rows[-4][1] + " tail")]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS gram", "2 AS _key", "3 AS u", "'x' AS kept").repartition(4)
     got = sorted([(r.doc_id, r.n_words, r.n_removed, r.kept) for r in debruijn.without_repeats(frame).collect()], key=str)
@@ -174,7 +174,7 @@ def test_spans_where_paths_branch_and_circle(spark):
 def test_paths_of_a_graph(spark):
     """Sources of one path lie in several documents; paths end where texts part."""
     w = [f"v{i}" for i in range(200)]
-    texts = {1: w[:60], 2: ["p", *w[30:120]], 3: ["q", *w[90:160], "r"], 4: w[0:160], 5: [*w[100:110], "fork", *w[111:160]], 6: [*w[100:110], "fork", *w[111:160]]}
+    texts = {1: w[:60], 2: ["p", *w[30:120]], 3: ["q", *w[90:160], "r"], 4: w[0:160], 5: [*w[100:110], "fork", *w[111:160]], 6: [*w[100:110], "fork", *w[111:160], "end"]}
     graph = debruijn.Graph(spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id bigint, text string"))
     windows = {}
     for d, t in texts.items():
@@ -202,8 +202,8 @@ def test_spans_of_nothing(spark):
 
 def test_hashes_do_not_depend_on_how_texts_are_cut():
     text = b" ".join(bytes([97 + i % 26]) * (i % 200) for i in range(30_000))
-    whole, n = debruijn.word_hashes(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    whole, n = words.word_hashes(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
     assert n.tolist() == [len(text.split())] and len(set(whole.tolist())) == len(set(text.split()))
     import pyarrow as pa
-    parts = [w for _, w, _ in debruijn._portions(pa.array([b"x", text, b"", b"a b"], pa.binary()))]
+    parts = [w for _, w, _ in words.hashed_portions(pa.array([b"x", text, b"", b"a b"], pa.binary()))]
     assert np.concatenate(parts)[1:-2].tolist() == whole.tolist()
