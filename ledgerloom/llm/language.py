@@ -10,10 +10,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import stored
 from ledgerloom.llm.token_files import small_batches
+from ledgerloom.llm.words import span_hashes, word_spans
 
 UNKNOWN = "und"
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -21,7 +23,8 @@ _WORDS = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class Settings:
-    per_language: int = 400        # bound of the training sample: whole texts for each language
+    per_language: int = 400        # bound of the training sample: different whole texts for each language
+    most_languages: int = 1000     # and of the languages that are learnt, the most frequent ones
     buckets: int = 1 << 15         # of hashed subwords
     dimensions: int = 16
     shortest: int = 2              # letters of a subword, word ends included
@@ -58,43 +61,74 @@ class LanguageModel:
         return e / e.sum(axis=1, keepdims=True)
 
 
-class _Features:
-    """Of each word, once: the sum of its subwords' rows of the table and their number."""
-
-    def __init__(self, model: LanguageModel, most: int = 400_000):
-        self.model, self.most = model, most
-        self.clear()
-
-    def clear(self) -> None:
-        self.places: dict[str, int] = {}
-        self.rows = np.zeros((1 << 12, len(self.model.languages) + 1), np.float64)
-
-    def _learn(self, words: set[str]) -> None:
-        words = words.difference(self.places)
-        if len(self.places) + len(words) > self.most:
-            raise OverflowError
-        for w in words:
-            if len(self.places) == len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            at = subwords(w, self.model.settings)
-            row = self.rows[len(self.places)]
-            row[:-1], row[-1] = self.model.table[at].sum(axis=0), len(at)
-            self.places[w] = len(self.places)
-
-    def sums(self, texts: list[list[str]]) -> np.ndarray:
-        words = {w for t in texts for w in t}
-        try:
-            self._learn(words)
-        except OverflowError:   # start anew with the words of these texts; one batch may pass the bound
-            keep, self.most = self.most, max(self.most, len(words))
-            self.clear()
-            self._learn(words)
-            self.most = keep
-        out = np.zeros((len(texts), self.rows.shape[1]))
-        for i, t in enumerate(texts):
-            if t:
-                out[i] = self.rows[[self.places[w] for w in t]].sum(axis=0)
+def _crc_table() -> np.ndarray:
+    t = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        t = np.where(t & 1, (t >> 1) ^ np.uint32(0xEDB88320), t >> 1)   # the reflected polynomial of zlib's checksum
+    return t
+
+
+_CRC = _crc_table()
+_LETTERS = bytes(b if b > 127 or bytes([b]).isalpha() else 32 for b in range(256))
+
+
+def letter_runs(text: str | None) -> bytes:
+    """The words of ``words_in`` in UTF-8 with blanks between them."""
+    low = (text or "").lower()
+    if not low.isascii():
+        other = [c for c in set(low) if c > "\x7f" and not c.isalpha()]
+        if any(c.isalnum() and not c.isdecimal() for c in other) or len(other) > 60:
+            return " ".join(words_in(text)).encode()
+        for c in other:
+            low = low.replace(c, " ")
+    return low.encode("utf-8", "replace").translate(_LETTERS)
+
+
+def subword_sums(words: list[bytes], model: LanguageModel) -> np.ndarray:
+    """For each word the sum of its subwords' rows of the model's table, and last their number. All subwords of all words are hashed
+    side by side, letter by letter, as ``subwords`` does one by one."""
+    s, out = model.settings, np.zeros((len(words), len(model.languages) + 1))
+    marked = [b"<%b>" % w for w in words]
+
+    def add(at: np.ndarray, crc: np.ndarray) -> None:
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        out[at[first], :-1] += np.add.reduceat(model.table[crc % np.uint32(s.buckets)], first, axis=0)
+        out[at[first], -1] += np.diff(np.append(first, len(at)))
+    if not words:
         return out
+    add(np.arange(len(words)), np.fromiter(map(zlib.crc32, marked), np.uint32, len(words)))
+    raw = np.frombuffer(b"".join(marked), np.uint8)
+    letter = np.flatnonzero((raw & 0xC0) != 0x80)     # first bytes of letters
+    wide = np.diff(np.append(letter, len(raw)))
+    word = np.searchsorted(np.cumsum([len(w) for w in marked]), letter, "right")
+    start, state = np.arange(len(letter)), np.full(len(letter), 0xFFFFFFFF, np.uint32)
+    for n in range(1, s.longest + 1):
+        inside = start + n <= len(letter)
+        inside[inside] = word[start[inside]] == word[start[inside] + n - 1]
+        start, state = start[inside], state[inside]
+        last = start + n - 1
+        for k in range(4):
+            has = slice(None) if k == 0 else np.flatnonzero(wide[last] > k)
+            state[has] = _CRC[(state[has] ^ raw[letter[last[has]] + k]) & np.uint32(255)] ^ (state[has] >> np.uint32(8))
+            if k == 0 and (wide[last] == 1).all():
+                break
+        if n >= s.shortest and len(start):
+            add(word[start], ~state)
+    return out
+
+
+def text_sums(texts: list[bytes], model: LanguageModel) -> np.ndarray:
+    """Sums over the words of each text. Each different word of the texts is looked at once; nothing is kept for later ones."""
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    starts, ends, n = word_spans(raw, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64))
+    out = np.zeros((len(texts), len(model.languages) + 1))
+    if len(starts):
+        _, first, which = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        data = raw.tobytes()
+        rows = subword_sums([data[starts[i]:ends[i]] for i in first.tolist()], model)
+        some = np.flatnonzero(n)
+        out[some] = np.add.reduceat(rows[which], (np.cumsum(n) - n)[some], axis=0)
+    return out
 
 
 def words_in(text: str | None) -> list[str]:
@@ -166,20 +200,18 @@ def _calibrate(model: LanguageModel, bags: list[tuple[np.ndarray, np.ndarray, in
 
 
 def training_rows(docs: DataFrame, s: Settings = Settings()) -> list[tuple[str, str]]:
-    """At most ``per_language`` whole texts for each non-null ``lang``, picked by a hash of the text: one pass counts the
-    languages, another takes so large a share of each that about as many rows reach the driver. The model's size does
-    not depend on them. The bound on the sample is the one documented bound of this operator."""
-    labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}   # a row for each language
-    if not counts:
+    """At most ``per_language`` different whole texts for each of the ``most_languages`` most frequent non-null values of ``lang``, picked by
+    a hash of the text among the different texts, so that copies neither fill the sample nor reach the driver. No more rows than
+    that are ever collected, and the model's size does not depend on them. These two bounds are the operator's only ones."""
+    labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text", F.xxhash64("text", F.lit(s.seed)).alias("draw"))
+    known = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(s.most_languages).select("lang").collect()
+    if not known:
         return []
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.1 * s.per_language / n))])
-    draw = (F.pmod(F.xxhash64("text", F.lit(s.seed)), F.lit(1 << 30)) / float(1 << 30)).alias("draw")
-    rows = labelled.withColumn("draw", draw).where(F.col("draw") < share[F.col("lang")]).collect()
-    picked: dict[str, list] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["draw"], r["text"])):
-        picked.setdefault(r["lang"], []).append((r["text"], r["lang"]))
-    return [x for texts in picked.values() for x in texts[:s.per_language]]
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    drawn = labelled.select("lang", "draw").distinct().withColumn("place", place).where(F.col("place") <= s.per_language).drop("place")
+    drawn = stored(drawn.where(F.col("lang").isin([r["lang"] for r in known])), "language-sample")
+    rows = labelled.join(drawn, ["lang", "draw"]).groupBy("lang", "draw").agg(F.min("text").alias("text")).collect()
+    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["draw"]))]
 
 
 def fit(docs: DataFrame, s: Settings = Settings()) -> LanguageModel:
@@ -188,18 +220,27 @@ def fit(docs: DataFrame, s: Settings = Settings()) -> LanguageModel:
     return train(training_rows(docs, s), s)
 
 
-def _predictor(model: LanguageModel):
-    kept: list[_Features] = []
+def _portions(texts: list[str | None], most: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The letter runs of texts, about ``most`` bytes at once; a longer text comes alone."""
+    part, held = [], 0
+    for t in texts:
+        runs = letter_runs(t)
+        if part and held + len(runs) > most:
+            yield part
+            part, held = [], 0
+        part.append(runs)
+        held += len(runs)
+    if part:
+        yield part
 
+
+def _predictor(model: LanguageModel):
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if not kept:
-            kept.append(_Features(model))
         names = np.array([*model.languages, UNKNOWN], object)
         for batch in texts:
             langs, scores = [], []
-            for i in range(0, len(batch), 256):
-                part = [words_in(t) for t in batch.slice(i, 256).to_pylist()]
-                sums = kept[0].sums(part)
+            for part in _portions(batch.to_pylist()):
+                sums = text_sums(part, model)
                 some = (sums[:, -1] > 0) & bool(model.languages)
                 p = model.scores(sums[:, :-1], sums[:, -1]) if model.languages else np.zeros((len(part), 1))
                 langs += np.where(some, names[p.argmax(axis=1)], UNKNOWN).tolist()
