@@ -203,6 +203,28 @@ def _texts(name: str):
     return F.arrow_udf(run, "string")
 
 
+def _checked(name: str):
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = kept(ByteBpe, tokenizer_path(name))
+        for batch in texts:
+            ids, shas = [], []
+            for x in encoded(bpe, batch):
+                ids.append(np.frombuffer(x, "<u4").astype(np.int32))
+                shas.append(hashlib.sha256(bpe.decode(x).encode()).hexdigest())
+            ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*ids, np.empty(0, np.int32)]), pa.int32()))
+            yield pa.StructArray.from_arrays([lists, pa.array(shas, pa.string())], names=["ids", "decoded_sha256"])
+    return F.arrow_udf(run, "ids array<int>, decoded_sha256 string").asNondeterministic()
+
+
+def encode_checked(docs: DataFrame, text: str = "text", tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
+    """``docs`` with n_tokens, ids and decoded_sha256, the digest of the text decoded from the ids, in one pass by one Python worker.
+    A null text counts as empty. Columns of these names and one named ``_bpe`` are replaced."""
+    small_batches(docs.sparkSession)
+    done = docs.withColumn("_bpe", _checked(tokenizer)(F.col(f"`{text}`")))
+    return done.withColumns({"n_tokens": F.size("_bpe.ids").cast("bigint"), "ids": F.col("_bpe.ids"), "decoded_sha256": F.col("_bpe.decoded_sha256")}).drop("_bpe")
+
+
 def encode_bpe(docs: DataFrame, text: str = "text", out: str = "ids", tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
     """``docs`` with the ids of a text column. A null text counts as empty and gives an empty list; other columns stay as they are."""
     small_batches(docs.sparkSession)

@@ -114,10 +114,10 @@ def mix(docs: DataFrame, size: Column, weights: tuple[int, ...] = (5, 2, 1), cap
 
 def mixed(docs: DataFrame, size: Column, **settings) -> DataFrame:
     """The rows of ``docs`` as the mix takes them, all columns kept: each row as many whole times as it is taken, and once
-    more where the rest is at least half of it. Rows of one doc_id and size are taken alike."""
+    more where the rest is at least half of it. Rows of one doc_id, source and size are taken alike, as the one taken most."""
     with_size = docs.withColumn("_size", size.cast("bigint"))
-    taken = (mix(docs, size, **settings).groupBy("doc_id", "size").agg(F.first("taken").alias("_taken"))
-             .where("size > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_s"), F.floor(F.col("_taken") / F.col("size") + 0.5).alias("_times"))
+    taken = (mix(docs, size, **settings).groupBy("doc_id", "source", "size").agg(F.max("taken").alias("_taken"))
+             .where("size > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_from"), F.col("size").alias("_s"), F.floor(F.col("_taken") / F.col("size") + 0.5).alias("_times"))
              .where("_times > 0"))
-    return (with_size.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_s")))
+    return (with_size.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_from")) & (F.col("_size") == F.col("_s")))
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import stored
 from ledgerloom.llm.components import components, forest
 from ledgerloom.llm.token_files import small_batches
+from ledgerloom.operators.ordered import first_per_key
 
 BITS = 64
 
@@ -201,21 +202,37 @@ def links(classes: DataFrame, radius: int = 3, block: int = 1024) -> DataFrame:
     return met.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(compare, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs`` (doc_id, text): the least doc_id that links of fingerprints reach.
-
-    Rows with equal fingerprints are one class from the start, found by a combining aggregate, so large groups of copies
-    cost nothing more. A null doc_id takes part but is no one's component_id unless its component has no other."""
+def _grouped(docs: DataFrame, radius: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, key, fp`` of every row, ``key`` a hash of its text, and ``fp, root, component_id`` of every fingerprint."""
     small_batches(docs.sparkSession)
-    marked = stored(docs.select("doc_id", fingerprints(F.col("text"), shingle).alias("fp")), "simhash")
+    marked = stored(docs.select("doc_id", F.xxhash64("text").alias("key"), fingerprints(F.col("text"), shingle).alias("fp")), "simhash")
     classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     roots = components(links(classes, radius))
     placed = classes.join(roots.withColumnRenamed("v", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(placed.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return marked, placed.join(ids, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFrame:
+    """``doc_id, fp, component_id`` for every row of ``docs`` (doc_id, text): the least doc_id that links of fingerprints reach.
+
+    Rows with equal fingerprints are one class from the start, found by a combining aggregate, so large groups of copies
+    cost nothing more. A null doc_id takes part but is no one's component_id unless its component has no other."""
+    marked, groups = _grouped(docs, radius, shingle)
+    return marked.join(groups, "fp").select("doc_id", "fp", "component_id")
 
 
 def first_of_groups(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFrame:
-    """The rows of ``docs`` that stand for their group: those with its least doc_id. Rows that share a doc_id stay or go together."""
-    keep = near_duplicates(docs, radius, shingle).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """One row of ``docs`` for each group of near-duplicates, all columns kept: the one of least doc_id, null last, and of least text hash
+    where several share it. Of rows that agree in doc_id and text any one stays. An empty table gives no rows. A column
+    named ``_key`` is replaced."""
+    marked, groups = _grouped(docs, radius, shingle)
+    rows = marked.join(groups.select("fp", "root"), "fp").groupBy("root", "doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    firsts = stored(rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "n")).alias("x")).select("x.*"), "simhash-firsts")
+    mine = docs.withColumn("_key", F.xxhash64("text"))
+
+    def those(which: DataFrame) -> DataFrame:
+        named = which.select(F.col("doc_id").alias("_id"), F.col("key").alias("_k"))
+        return mine.join(named, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left_semi")
+    several = first_per_key(those(firsts.where("n > 1")), ["doc_id", "_key"], [])   # rows that repeat are few, and no others are moved
+    return those(firsts.where("n = 1")).unionByName(several).drop("_key")
