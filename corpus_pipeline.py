@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.context import tune
-from ledgerloom.llm import bpe, language, line_dedup, mixing, near_text
+from ledgerloom.llm import bpe, language, line_dedup, mixing, simhash
 from ledgerloom.llm.common import documents, stored, word_count
 
 
@@ -30,8 +30,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least doc_id of each near-duplicate group: texts that share four fifths of their five-word shingles."""
-    return near_text.first_of_groups(docs, shingle=5)
+    """Keeps one document of each group that SimHash links: the one of least doc_id. Three-word shingles, at most 3 of 64 bits."""
+    return simhash.first_of_groups(docs, radius=3, shingle=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of the text decoded from them, which is the text's own."""
-    done = bpe.decode_bpe(bpe.encode_bpe(docs.select("doc_id", "source", "lang", "text")))
-    return done.select("doc_id", "source", "lang", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return bpe.encode_checked(docs.select("doc_id", "source", "lang", "text")).select("doc_id", "source", "lang", "n_tokens", "ids", "decoded_sha256")
 
 
 STAGES = [("language ID", identify_language), ("line dedup", dedup_lines), ("near dedup", dedup_near), ("source mix", mix_sources), ("BPE", encode)]
