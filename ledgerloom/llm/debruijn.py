@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored
+from ledgerloom.context import new_folder
 from ledgerloom.llm.suffix_dedup import grams
 from ledgerloom.llm.token_files import small_batches
 from ledgerloom.llm.words import PORTION, hashed_portions
@@ -35,13 +35,24 @@ FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written and read back; the shuffle files of this one write are freed with it, since nothing reads them again."""
-    conf = df.sparkSession.conf
-    before = conf.get(FREE_SHUFFLES, "false")
-    conf.set(FREE_SHUFFLES, "true")
+    spark = df.sparkSession
+    before, path = spark.conf.get(FREE_SHUFFLES, "false"), new_folder(spark, name)
+    spark.conf.set(FREE_SHUFFLES, "true")
     try:
-        return stored(df, name)
+        df.write.parquet(path)
     finally:
-        conf.set(FREE_SHUFFLES, before)
+        spark.conf.set(FREE_SHUFFLES, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def chosen(words: np.ndarray, lengths: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,46 +138,57 @@ class Graph:
         stretch = "_doc bigint, _key bigint, pos int, nodes array<bigint>"
         # rows that are equal in doc_id and text give the same stretches, which the merge below counts once
         self.stretches = written(plain.join(hits, [*_EACH]).mapInArrow(_stretch_rows(window, gram), stretch), "bruijn-stretches")
-        ends = F.col("nodes")[0].alias("a"), F.element_at("nodes", -1).alias("b")
-        merged = self.stretches.select("*", *ends).groupBy("a", "b").agg(
-            F.min(F.struct("_doc", "_key", "pos")).alias("at"), F.max("_doc").alias("last"), F.first("nodes").alias("nodes"))
-        self.classes = written(merged, "bruijn-classes")
+        self.known = known
+        discard(grams_of, firsts, shared, hits)
+        at = F.struct("_doc", "_key", "pos")
+        merged = self._told_apart(self.stretches).groupBy("a", "b", "n").agg(F.min(at).alias("at"), F.max("_doc").alias("last"), F.first("nodes").alias("nodes"))
+        self.classes = written(merged.select("a", "b", "n", F.col("at._doc").alias("f_doc"), F.col("at._key").alias("f_key"), F.col("at.pos").alias("f_pos"), "last", "nodes"), "bruijn-classes")
         self.edges = self._edges()
-        self.pieces = self._pieces()
+        self.placed, self.pieces = self._pieces()
         self.paths = self._paths()
 
+    @staticmethod
+    def _told_apart(stretches: DataFrame) -> DataFrame:
+        """A stretch's words are told by its first and last node, which overlap, and by its length, as words may go round in a circle."""
+        return stretches.select("*", F.col("nodes")[0].alias("a"), F.element_at("nodes", -1).alias("b"), F.size("nodes").alias("n"))
+
     def _windows(self) -> DataFrame:
         """The edges of every class of stretches with their number in it."""
         each = F.transform(F.sequence(F.lit(0), F.size("nodes") - 2), lambda i: F.struct(i.alias("i"), F.get("nodes", i).alias("u"), F.get("nodes", i + 1).alias("v")))
-        return self.classes.select("a", "b", "at", "last", F.explode(each).alias("w")).select("a", "b", "at", "last", "w.i", "w.u", "w.v")
+        return self.classes.select("a", "b", "n", "f_doc", "f_key", "f_pos", "last", F.explode(each).alias("w")).select(
+            "a", "b", "n", "f_doc", "f_key", (F.col("f_pos") + F.col("w.i")).alias("f_pos"), "last", "w.i", "w.u", "w.v")
 
     def _edges(self) -> DataFrame:
-        """``u, v, f_doc, f_key, f_pos``: edges that stand in two documents or more, with their source."""
-        here = F.struct(F.col("at._doc").alias("d"), F.col("at._key").alias("k"), (F.col("at.pos") + F.col("i")).alias("p"))
-        found = self._windows().groupBy("u", "v").agg(F.min(here).alias("at"), F.max("last").alias("last")).where("at.d < last")
-        return written(found.select("u", "v", F.col("at.d").alias("f_doc"), F.col("at.k").alias("f_key"), F.col("at.p").alias("f_pos")), "bruijn-edges")
-
-    def _pieces(self) -> DataFrame:
-        """``f_doc, f_key, head, n, before``: runs of edges on one path with sources in a row; ``before`` is the source of the edge ahead of the first."""
+        """``u, v, f_doc, f_key, f_pos``: edges that stand in two documents or more, with their source. Where an edge stands more than once
+        in its first document, key and place are of one and the same row."""
+        found = self._windows().groupBy("u", "v").agg(F.min("f_doc").alias("d"), F.min_by("f_key", "f_doc").alias("f_key"), F.min_by("f_pos", "f_doc").alias("f_pos"), F.max("last").alias("last"))
+        return written(found.where("d < last").select("u", "v", F.col("d").alias("f_doc"), "f_key", "f_pos"), "bruijn-edges")
+
+    def _pieces(self) -> tuple[DataFrame, DataFrame]:
+        """Edges with the ``head`` of their piece, and ``f_doc, f_key, head, n, b_doc, b_key, b_pos``: runs of edges on one path with sources
+        in a row; the last three tell the source of the edge ahead of the first."""
+        none = [F.lit(None).cast(t).alias(x) for x, t in (("d", "bigint"), ("k", "bigint"), ("p", "int"))]
         at = F.struct(F.col("f_doc").alias("d"), F.col("f_key").alias("k"), F.col("f_pos").alias("p"))
-        sides = F.explode(F.array(F.struct(F.col("v").alias("node"), at.alias("into"), F.lit(None).cast("struct<d:bigint,k:bigint,p:int>").alias("out")),
-                                  F.struct(F.col("u").alias("node"), F.lit(None).cast("struct<d:bigint,k:bigint,p:int>").alias("into"), at.alias("out")))).alias("s")
-        links = (self.edges.select(sides).select("s.*").groupBy("node").agg(F.count("into").alias("ins"), F.count("out").alias("outs"), F.max("into").alias("into"), F.max("out").alias("out"))
-                 .where("ins = 1 AND outs = 1 AND into <> out").select(F.col("out.d").alias("_d"), F.col("out.k").alias("_k"), F.col("out.p").alias("_p"), F.col("into").alias("before")))
-        on = (F.col("f_doc") == F.col("_d")) & (F.col("f_key") == F.col("_k")) & (F.col("f_pos") == F.col("_p"))
-        marked = self.edges.join(links, on, "left").drop("_d", "_k", "_p")
-        follows = (F.col("before.d") == F.col("f_doc")) & (F.col("before.k") == F.col("f_key")) & (F.col("before.p") == F.col("f_pos") - 1)
+        sides = F.explode(F.array(F.struct(F.col("v").alias("node"), at.alias("into"), F.struct(*none).alias("out")), F.struct(F.col("u").alias("node"), F.struct(*none).alias("into"), at.alias("out")))).alias("s")
+        flat = self.edges.select(sides).select("s.node", *[F.col(f"s.{side}.{x}").alias(f"{side}_{x}") for side in ("into", "out") for x in "dkp"])
+        nodes = flat.groupBy("node").agg(F.count("into_d").alias("ins"), F.count("out_d").alias("outs"), *[F.max(c).alias(c) for c in flat.columns[1:]])
+        single = nodes.where("ins = 1 AND outs = 1 AND NOT (into_d = out_d AND into_k = out_k AND into_p = out_p)")   # of one value the maximum is that value
+        links = single.select(F.col("out_d").alias("f_doc"), F.col("out_k").alias("f_key"), F.col("out_p").alias("f_pos"), F.col("into_d").alias("b_doc"), F.col("into_k").alias("b_key"), F.col("into_p").alias("b_pos"))
+        marked = self.edges.join(links, ["f_doc", "f_key", "f_pos"], "left")
+        follows = F.coalesce((F.col("b_doc") == F.col("f_doc")) & (F.col("b_key") == F.col("f_key")) & (F.col("b_pos") == F.col("f_pos") - 1), F.lit(False))
         line = Window.partitionBy("f_doc", "f_key").orderBy("f_pos").rowsBetween(Window.unboundedPreceding, 0)
-        headed = marked.withColumn("head", F.last(F.when(~F.coalesce(follows, F.lit(False)), F.col("f_pos")), ignorenulls=True).over(line))
-        self.placed = written(headed.select("u", "v", "f_doc", "f_key", "f_pos", "head", F.when(F.col("f_pos") == F.col("head"), F.col("before")).alias("before")), "bruijn-placed")
-        return written(self.placed.groupBy("f_doc", "f_key", "head").agg(F.count(F.lit(1)).cast("int").alias("n"), F.max("before").alias("before")), "bruijn-pieces")
+        headed = marked.withColumn("head", F.last(F.when(~follows, F.col("f_pos")), ignorenulls=True).over(line))
+        first = F.col("f_pos") == F.col("head")
+        placed = written(headed.select("u", "v", "f_doc", "f_key", "f_pos", "head", *[F.when(first, F.col(c)).alias(c) for c in ("b_doc", "b_key", "b_pos")]), "bruijn-placed")
+        pieces = placed.groupBy("f_doc", "f_key", "head").agg(F.count(F.lit(1)).cast("int").alias("n"), *[F.max(c).alias(c) for c in ("b_doc", "b_key", "b_pos")])
+        return placed, written(pieces, "bruijn-pieces")
 
     def _paths(self) -> DataFrame:
         """``f_doc, f_key, head, path, skipped``: for every piece the source of its path's first edge and the path's edges ahead of the piece."""
         own = F.struct(F.col("f_doc").alias("d"), F.col("f_key").alias("k"), F.col("head").alias("p"))
-        tails = self.pieces.select(F.col("f_doc").alias("_d"), F.col("f_key").alias("_k"), (F.col("head") + F.col("n") - 1).alias("_p"), own.alias("to"), F.col("n").cast("bigint").alias("skipped"))
-        on = (F.col("before.d") == F.col("_d")) & (F.col("before.k") == F.col("_k")) & (F.col("before.p") == F.col("_p"))
-        start = self.pieces.select(own.alias("piece"), "before").join(tails, on, "left").select("piece", F.coalesce("to", "piece").alias("to"), F.coalesce("skipped", F.lit(0)).alias("skipped"), F.col("to").isNotNull().alias("open"))
+        tails = self.pieces.select(F.col("f_doc").alias("b_doc"), F.col("f_key").alias("b_key"), (F.col("head") + F.col("n") - 1).alias("b_pos"), own.alias("to"), F.col("n").cast("bigint").alias("skipped"))
+        start = self.pieces.select(own.alias("piece"), "b_doc", "b_key", "b_pos").join(tails, ["b_doc", "b_key", "b_pos"], "left").select(
+            "piece", F.coalesce("to", "piece").alias("to"), F.coalesce("skipped", F.lit(0)).alias("skipped"), F.col("to").isNotNull().alias("open"))
         state = written(start, "bruijn-reach")
         rounds = max(1, state.count()).bit_length() + 1
         for _ in range(rounds):
@@ -174,7 +196,8 @@ class Graph:
                 break
             there = state.select(F.col("piece").alias("_piece"), F.col("to").alias("_to"), F.col("skipped").alias("_skipped"), F.col("open").alias("_open"))
             moved = state.where("open").join(there, F.col("to") == F.col("_piece")).select("piece", F.col("_to").alias("to"), (F.col("skipped") + F.col("_skipped")).alias("skipped"), F.col("_open").alias("open"))
-            state = written(moved.unionByName(state.where("NOT open")), "bruijn-reach")
+            last, state = state, written(moved.unionByName(state.where("NOT open")), "bruijn-reach")
+            discard(last)
         # what is still open goes round in a circle: each piece of it is a path of its own
         return state.select(F.col("piece.d").alias("f_doc"), F.col("piece.k").alias("f_key"), F.col("piece.p").alias("head"),
                             F.when(F.col("open"), F.col("piece")).otherwise(F.col("to")).alias("path"), F.when(F.col("open"), 0).otherwise(F.col("skipped")).alias("skipped"))
@@ -182,16 +205,16 @@ class Graph:
     def spans(self) -> DataFrame:
         """``_doc, _key, start, n_words, f_doc, f_key, f_pos, path, path_at``: runs of words that stand in a document with a smaller doc_id, where they
         stand there, and on which path and how many edges into it. Spans may overlap where paths branch."""
-        w = self._windows().drop("at", "last")
-        found = w.join(self.placed.drop("before"), ["u", "v"]).groupBy("a", "b").agg(F.collect_list(F.struct("i", "f_doc", "f_key", "f_pos", "head")).alias("found"), F.min("f_doc").alias("least"))
-        ends = F.col("nodes")[0].alias("a"), F.element_at("nodes", -1).alias("b")
-        met = self.stretches.select("_doc", "_key", "pos", *ends).join(written(found, "bruijn-found"), ["a", "b"]).where("least < _doc")
-        rows = met.select("_doc", "_key", "pos", F.explode("found").alias("e")).where("e.f_doc < _doc").select("_doc", "_key", (F.col("pos") + F.col("e.i")).alias("p"), "e.f_doc", "e.f_key", "e.f_pos", "e.head").distinct()
+        w = self._windows().select("a", "b", "n", "i", "u", "v")
+        found = w.join(self.placed.select("u", "v", "f_doc", "f_key", "f_pos", "head"), ["u", "v"]).groupBy("a", "b", "n").agg(
+            F.collect_list(F.struct("i", "f_doc", "f_key", "f_pos", "head")).alias("found"), F.min("f_doc").alias("least"))
+        met = self._told_apart(self.stretches).select("_doc", "_key", "pos", "a", "b", "n").join(written(found, "bruijn-found"), ["a", "b", "n"]).where("least < _doc")
+        rows = met.select("_doc", "_key", "pos", F.explode("found").alias("e")).where("e.f_doc < _doc").select("_doc", "_key", (F.col("pos") + F.col("e.i")).alias("p"), "e.f_doc", "e.f_key", "e.f_pos", "e.head")
         same = ["_doc", "_key", "f_doc", "f_key", "head", "shift"]
         line = rows.withColumn("shift", F.col("f_pos") - F.col("p"))
-        line = line.withColumn("run", F.col("p") - F.row_number().over(Window.partitionBy(*same).orderBy("p")))
-        spans = line.groupBy(*same, "run").agg(F.min("p").alias("start"), (F.count(F.lit(1)) + self.window - 1).cast("int").alias("n_words"), F.min("f_pos").alias("f_pos"))
-        spans = written(spans.drop("shift", "run"), "bruijn-spans")
+        # equal rows of the input bring each window as often as they are there: their numbers are the same
+        line = line.withColumn("run", F.col("p") - F.dense_rank().over(Window.partitionBy(*same).orderBy("p")))
+        spans = line.groupBy(*same, "run").agg(F.min("p").alias("start"), (F.max("p") - F.min("p") + self.window).cast("int").alias("n_words"), F.min("f_pos").alias("f_pos"))
         return spans.join(self.paths, ["f_doc", "f_key", "head"]).select("_doc", "_key", "start", "n_words", "f_doc", "f_key", "f_pos", "path", (F.col("skipped") + F.col("f_pos") - F.col("head")).alias("path_at"))
 
 
@@ -250,7 +273,8 @@ def without_repeats(docs: DataFrame, window: int = 13, gram: int = 5) -> DataFra
     the smallest of all, so its words stay. A null or blank text has no words; a text shorter than a window loses none. Equal rows get equal results.
     An empty table gives no rows. Other columns are not read."""
     graph = Graph(docs, window, gram)
-    spans = written(graph.spans(), "bruijn-path-spans")
+    spans = written(graph.spans(), "bruijn-spans")
+    discard(graph.stretches, graph.classes, graph.edges, graph.placed, graph.pieces)
     asked = spans.select("f_doc", "f_key", "f_pos", "n_words").distinct().groupBy("f_doc", "f_key").agg(F.collect_list(F.struct("f_pos", "n_words")).alias("at"))
     there = graph.texts.join(asked, (F.col("_doc") == F.col("f_doc")) & (F.col("_key") == F.col("f_key"))).select("f_doc", "f_key", "_text", "at")
     digests = written(there.mapInArrow(_source_digests, "f_doc bigint, f_key bigint, f_pos int, n_words int, digest binary"), "bruijn-digests").distinct()
