@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.context import Context
 from ledgerloom.functions.nested import associations
+from ledgerloom.functions.text import norm_name
 from ledgerloom.operators import joins
-from ledgerloom.operators.project import bounded_values, dense_grid
+from ledgerloom.operators.identity import merged_entities, resolve_identities
+from ledgerloom.operators.project import dense_grid
 from ledgerloom.plans.registry import query
 from ledgerloom.plans.shapes import CONTRACT, POLY, RATE_HIST, SITE, STAGE_HIST, contract, poly, rate_hist, site, stage_hist
 
@@ -158,6 +160,10 @@ def d14(ctx: Context) -> DataFrame:
     return out.select("owner_id", "event_id", c("n").alias("version"), "rate")
 
 
+# The states an order can be in.
+ORDER_STATUSES = ["F", "O", "P"]
+
+
 @query("d15_cross", """
 SELECT n_name, s.o_orderstatus AS status, count(o.o_orderkey) AS orders
 FROM nation CROSS JOIN (SELECT DISTINCT o_orderstatus FROM orders) s
@@ -167,7 +173,7 @@ GROUP BY n_name, s.o_orderstatus""")
 def d15(ctx: Context) -> DataFrame:
     """Dense nation x status matrix with order counts; the short side is a constant array, not a join."""
     orders = ctx.table("orders")
-    grid = dense_grid(ctx.table("nation").select("n_nationkey", "n_name"), "status", bounded_values(orders, c("o_orderstatus")))
+    grid = dense_grid(ctx.table("nation").select("n_nationkey", "n_name"), "status", ORDER_STATUSES)
     counts = (orders.join(ctx.table("customer"), c("o_custkey") == c("c_custkey"))
               .groupBy(c("c_nationkey").alias("n_nationkey"), c("o_orderstatus").alias("status"))
               .agg(F.count(F.lit(1)).alias("n")))
@@ -236,3 +242,70 @@ def d20(ctx: Context) -> DataFrame:
     billing = ctx.table("orders").groupBy(c("o_custkey").alias("id")).agg(
         F.min((c("o_orderkey") % 25).cast("int")).alias("nation")).withColumn("name", F.lit(None).cast("string"))
     return joins.resolve([("crm", crm), ("portal", portal), ("billing", billing)], ["id"], ["name", "nation"])
+
+
+_IDENTITIES = """rec AS (
+  SELECT 1 AS ord, 'crm' AS system, c_custkey AS record_id, c_custkey AS crm_id, NULL::BIGINT AS portal_id, CASE WHEN c_custkey % 4 = 0 THEN 'm' || (c_custkey // 4 % 300) || '@c.org' END AS mail,
+         'firm ' || (c_custkey % 900) AS name, CASE WHEN c_acctbal > 0 THEN c_nationkey END AS nation FROM customer WHERE c_mktsegment <> 'BUILDING'
+  UNION ALL SELECT 2, 'portal', s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey * 2 END, s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN 'm' || s_suppkey || '@c.org' END,
+         'firm ' || (s_suppkey * 3), s_nationkey FROM supplier
+  UNION ALL SELECT 3, 'billing', o_custkey, NULL, CASE WHEN o_custkey % 6 = 0 THEN o_custkey // 6 END, CASE WHEN o_custkey % 7 = 0 THEN 'm' || (o_custkey % 300) || '@c.org' END,
+         CASE WHEN o_custkey % 11 = 0 THEN '' ELSE 'firm ' || (o_custkey + 5) END, min(o_orderkey % 25) FROM orders GROUP BY o_custkey),
+n AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY ord, record_id) AS node FROM rec),
+vals AS (SELECT 'c' AS k, crm_id::VARCHAR AS v, node FROM n WHERE crm_id IS NOT NULL UNION ALL SELECT 'p', portal_id::VARCHAR, node FROM n WHERE portal_id IS NOT NULL
+  UNION ALL SELECT 'm', mail, node FROM n WHERE mail IS NOT NULL),
+e1 AS MATERIALIZED (SELECT DISTINCT a.node AS a, b.node AS b FROM vals a JOIN vals b USING (k, v)),
+reach1 AS (SELECT a, b FROM e1 UNION SELECT r.a, e.b FROM reach1 r JOIN e1 e ON r.b = e.a),
+ent AS MATERIALIZED (SELECT n.*, coalesce(m, node) AS ent FROM n LEFT JOIN (SELECT a, min(b) AS m FROM reach1 GROUP BY a) ON node = a),
+es AS (SELECT DISTINCT ent, system FROM ent),
+held AS (SELECT DISTINCT name, ent FROM ent WHERE trim(name) <> ''),
+twice AS (SELECT DISTINCT name FROM (SELECT name, system FROM held JOIN es USING (ent) GROUP BY ALL HAVING count(*) > 1)),
+e2 AS MATERIALIZED (SELECT DISTINCT a.ent AS a, b.ent AS b FROM held a JOIN held b USING (name) WHERE name NOT IN (SELECT name FROM twice)),
+reach2 AS (SELECT a, b FROM e2 UNION SELECT r.a, e.b FROM reach2 r JOIN e2 e ON r.b = e.a),
+named AS (SELECT a AS ent, min(b) AS root FROM reach2 GROUP BY a),
+bad AS (SELECT DISTINCT root FROM (SELECT root, system FROM named JOIN es USING (ent) GROUP BY ALL HAVING count(*) > 1)),
+res AS MATERIALIZED (SELECT ent.*, coalesce(CASE WHEN root NOT IN (SELECT root FROM bad) THEN root END, ent.ent) AS entity,
+  trim(name) <> '' AND name IN (SELECT name FROM twice) AS ambiguous FROM ent LEFT JOIN named USING (ent)),
+final AS (SELECT r.*, f.system AS entity_system, f.record_id AS entity_id FROM res r JOIN n f ON r.entity = f.node)"""
+
+
+def _identities(ctx: Context) -> DataFrame:
+    k, none = c("c_custkey"), F.lit(None)
+    crm = ctx.table("customer").where("c_mktsegment <> 'BUILDING'").select(
+        F.lit("crm").alias("system"), k.alias("record_id"), k.alias("crm_id"), none.cast("bigint").alias("portal_id"),
+        F.when(k % 4 == 0, F.concat(F.lit("m"), (F.floor(k / 4) % 300).cast("string"), F.lit("@c.org"))).alias("mail"),
+        F.concat(F.lit("Firm "), (k % 900).cast("string")).alias("name"), F.when(c("c_acctbal") > 0, c("c_nationkey")).cast("bigint").alias("nation"))
+    s = c("s_suppkey")
+    portal = ctx.table("supplier").select(
+        F.lit("portal").alias("system"), s.alias("record_id"), F.when(s % 3 == 0, s * 2).alias("crm_id"), s.alias("portal_id"),
+        F.when(s % 5 == 0, F.concat(F.lit(" M"), s.cast("string"), F.lit("@C.org "))).alias("mail"),
+        F.concat(F.lit(" FIRM "), (s * 3).cast("string"), F.lit(" ")).alias("name"), c("s_nationkey").cast("bigint").alias("nation"))
+    o = c("o_custkey")
+    billing = ctx.table("orders").groupBy("o_custkey").agg(F.min(c("o_orderkey") % 25).cast("bigint").alias("nation")).select(
+        F.lit("billing").alias("system"), o.alias("record_id"), none.cast("bigint").alias("crm_id"), F.when(o % 6 == 0, F.floor(o / 6)).cast("bigint").alias("portal_id"),
+        F.when(o % 7 == 0, F.concat(F.lit("m"), (o % 300).cast("string"), F.lit("@c.org"))).alias("mail"),
+        F.when(o % 11 == 0, F.lit("")).otherwise(F.concat(F.lit("firm "), (o + 5).cast("string"))).alias("name"), "nation")
+    records = crm.unionByName(portal).unionByName(billing).withColumns({n: norm_name(c(n)) for n in ("mail", "name")})
+    return resolve_identities(records, SYSTEMS, ["crm_id", "portal_id", "mail"], ["name"])
+
+
+SYSTEMS = ["crm", "portal", "billing"]
+
+
+@query("d20_identity_resolution", f"""
+WITH RECURSIVE {_IDENTITIES}
+SELECT system, record_id, entity_system, entity_id, ambiguous FROM final""")
+def d20_identities(ctx: Context) -> DataFrame:
+    """Records of three systems that mean one company: ids and e-mails link transitively, names where they are not ambiguous."""
+    return _identities(ctx).select("system", "record_id", "entity_system", "entity_id", "ambiguous")
+
+
+@query("d20_merged_entities", f"""
+WITH RECURSIVE {_IDENTITIES}
+SELECT entity_system, entity_id, arg_min(name, (ord, record_id)) AS name, arg_min(nation, (ord, record_id)) AS nation,
+  min(record_id) FILTER (system = 'crm') AS crm_id, min(record_id) FILTER (system = 'portal') AS portal_id, min(record_id) FILTER (system = 'billing') AS billing_id,
+  bool_or(system = 'crm') AS in_crm, bool_or(system = 'portal') AS in_portal, bool_or(system = 'billing') AS in_billing, count(*) AS n_records
+FROM final GROUP BY entity_system, entity_id""", ints="nation n_records")
+def d20_merged(ctx: Context) -> DataFrame:
+    """One row per company with attributes from the most trusted system that knows them."""
+    return merged_entities(_identities(ctx), SYSTEMS, ["name", "nation"])
