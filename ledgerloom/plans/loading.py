@@ -11,6 +11,7 @@ from ledgerloom.functions.logic import money
 from ledgerloom.plans.registry import query
 from ledgerloom.sources.build import build_table, build_view, drop_deleted, extract, latest_batch, literal_df
 from ledgerloom.sources.catalog import Catalog
+from ledgerloom.sources.history import HistoryStore
 from ledgerloom.sources.incremental import incremental_append
 from ledgerloom.sources.snapshots import first_snapshot, snapshot_check, snapshot_timestamp
 from ledgerloom.streaming.daily import daily_counts, latest_counts, run_to_folder
@@ -79,7 +80,7 @@ def _accounts(ctx: Context) -> DataFrame:
     return ctx.table("customer").select("c_custkey", "c_name", money(c("c_acctbal")).alias("balance"), "c_mktsegment", "c_nationkey")
 
 
-@query("s06_snapshot_timestamp", """
+_S06_SQL = """
 WITH s AS (SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS balance, c_mktsegment AS seg, c_nationkey AS nation FROM customer),
 old AS (SELECT c_custkey, c_name, balance, TIMESTAMP '2024-01-01' AS updated_at FROM s WHERE nation <> 24),
 cur AS (SELECT c_custkey, c_name, CASE WHEN seg = 'BUILDING' THEN balance + 100 ELSE balance END AS balance,
@@ -89,9 +90,17 @@ SELECT o.c_custkey, o.c_name, o.balance, o.updated_at, o.updated_at AS valid_fro
        CASE WHEN n.updated_at > o.updated_at THEN n.updated_at END AS valid_to FROM old o LEFT JOIN cur n USING (c_custkey)
 UNION ALL
 SELECT n.c_custkey, n.c_name, n.balance, n.updated_at, n.updated_at, NULL FROM cur n LEFT JOIN old o USING (c_custkey)
-WHERE o.c_custkey IS NULL OR n.updated_at > o.updated_at""", text="updated_at valid_from valid_to", num="balance")
+WHERE o.c_custkey IS NULL OR n.updated_at > o.updated_at"""
+
+
+@query("s06_snapshot_timestamp", _S06_SQL, text="updated_at valid_from valid_to", num="balance")
 def s06(ctx: Context) -> DataFrame:
     """Two states of the accounts: one segment changed, one country new, one country gone."""
+    old, cur = _account_states(ctx)
+    return snapshot_timestamp(first_snapshot(old, c("updated_at")), cur, "c_custkey", "updated_at")
+
+
+def _account_states(ctx: Context) -> tuple[DataFrame, DataFrame]:
     jan, feb = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"), F.expr("TIMESTAMP_NTZ'2024-02-01 00:00:00'")
     rows, cols = _accounts(ctx), ["c_custkey", "c_name", "balance", "updated_at"]
     old = rows.where("c_nationkey <> 24").withColumn("updated_at", jan).select(*cols)
@@ -99,10 +108,34 @@ def s06(ctx: Context) -> DataFrame:
     cur = (rows.where("c_nationkey <> 0")
            .withColumn("balance", F.when(moved, c("balance") + 100).otherwise(c("balance")).cast("decimal(18,2)"))
            .withColumn("updated_at", F.when(moved | (c("c_nationkey") == 24), feb).otherwise(jan)).select(*cols))
-    return snapshot_timestamp(first_snapshot(old, c("updated_at")), cur, "c_custkey", "updated_at")
-
-
-@query("s07_snapshot_check", """
+    return old, cur
+
+
+@query("s06_history_store", _S06_SQL, text="updated_at valid_from valid_to", num="balance")
+def s06_store(ctx: Context) -> DataFrame:
+    """The same history from a store that rewrites only buckets with a change; the second state is sent twice."""
+    old, cur = _account_states(ctx)
+    store = HistoryStore(ctx.spark, new_folder(ctx.spark, "accounts"), "c_custkey")
+    store.apply(old, c("updated_at"), "january")
+    store.apply(cur, c("updated_at"), "february")
+    store.apply(cur, c("updated_at"), "february")
+    return store.history()
+
+
+@query("s06_change_stream", """
+SELECT user_id, event_id, event_type AS stage, ts AS valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS valid_to FROM events""", text="valid_from valid_to")
+def s06_stream(ctx: Context) -> DataFrame:
+    """Stage versions of users from a change stream that grows between three runs."""
+    events = ctx.table("events").select("user_id", "event_id", c("event_type").alias("stage"), "ts")
+    arrived, seen = new_folder(ctx.spark, "changes"), new_folder(ctx.spark, "changes-seen")
+    store = HistoryStore(ctx.spark, new_folder(ctx.spark, "stages"), "user_id")
+    for days in ("ts < TIMESTAMP_NTZ'2024-01-10'", "ts >= TIMESTAMP_NTZ'2024-01-10' AND ts < TIMESTAMP_NTZ'2024-01-20'", "ts >= TIMESTAMP_NTZ'2024-01-20'"):
+        events.where(days).write.mode("append").parquet(arrived)
+        store.follow(ctx.spark.readStream.schema(events.schema).parquet(arrived), c("ts"), seen)
+    return store.history().select("user_id", "event_id", "stage", "valid_from", "valid_to")
+
+
+_S07_SQL = """
 WITH old AS (SELECT s_suppkey, s_name, nullif(s_nationkey, 3) AS nation, CAST(s_acctbal AS DECIMAL(18,2)) AS balance FROM supplier WHERE s_nationkey <> 24),
 cur AS (SELECT s_suppkey, s_name, s_nationkey AS nation, CAST(CASE WHEN s_acctbal < 0 THEN 0 ELSE s_acctbal END AS DECIMAL(18,2)) AS balance FROM supplier),
 j AS (SELECT o.s_suppkey AS ok, n.s_suppkey AS nk, o.s_name AS oname, n.s_name AS nname, o.nation AS onation, n.nation AS nnation,
@@ -110,16 +143,34 @@ j AS (SELECT o.s_suppkey AS ok, n.s_suppkey AS nk, o.s_name AS oname, n.s_name A
       FROM old o FULL JOIN cur n ON o.s_suppkey = n.s_suppkey)
 SELECT ok AS s_suppkey, oname AS s_name, onation AS nation, obal AS balance, TIMESTAMP '2024-01-01' AS valid_from,
        CASE WHEN diff THEN TIMESTAMP '2024-03-01' END AS valid_to FROM j WHERE ok IS NOT NULL
-UNION ALL SELECT nk, nname, nnation, nbal, TIMESTAMP '2024-03-01', NULL FROM j WHERE ok IS NULL OR diff""",
+UNION ALL SELECT nk, nname, nnation, nbal, TIMESTAMP '2024-03-01', NULL FROM j WHERE ok IS NULL OR diff"""
+
+
+@query("s07_snapshot_check", _S07_SQL,
        text="valid_from valid_to", num="balance", ints="nation")
 def s07(ctx: Context) -> DataFrame:
+    old, cur = _supplier_states(ctx)
+    history = first_snapshot(old, F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"))
+    return snapshot_check(history, cur, "s_suppkey", ["nation", "balance"], F.expr("TIMESTAMP_NTZ'2024-03-01 00:00:00'"))
+
+
+@query("s07_history_store", _S07_SQL, text="valid_from valid_to", num="balance", ints="nation")
+def s07_store(ctx: Context) -> DataFrame:
+    """The same history from a store, by comparing whole states."""
+    old, cur = _supplier_states(ctx)
+    store = HistoryStore(ctx.spark, new_folder(ctx.spark, "suppliers"), "s_suppkey", buckets=16)
+    store.apply_state(old, ["nation", "balance"], F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"), "january")
+    store.apply_state(cur, ["nation", "balance"], F.expr("TIMESTAMP_NTZ'2024-03-01 00:00:00'"), "march")
+    return store.history()
+
+
+def _supplier_states(ctx: Context) -> tuple[DataFrame, DataFrame]:
     rows = ctx.table("supplier")
     old = rows.where("s_nationkey <> 24").select(
         "s_suppkey", "s_name", F.nullif(c("s_nationkey"), F.lit(3)).alias("nation"), money(c("s_acctbal")).alias("balance"))
     cur = rows.select("s_suppkey", "s_name", c("s_nationkey").alias("nation"),
                       money(F.when(c("s_acctbal") < 0, 0.0).otherwise(c("s_acctbal"))).alias("balance"))
-    history = first_snapshot(old, F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"))
-    return snapshot_check(history, cur, "s_suppkey", ["nation", "balance"], F.expr("TIMESTAMP_NTZ'2024-03-01 00:00:00'"))
+    return old, cur
 
 
 @query("s08_inline_relation", """
