@@ -10,7 +10,7 @@ from ledgerloom.functions.logic import decode, flag
 from ledgerloom.functions.text import remove, typed
 from ledgerloom.models.warehouse import Warehouse, model
 from ledgerloom.operators import history, joins, people
-from ledgerloom.operators.ordered import collapse_islands, find_hot_keys, time_chunk, with_first_last, with_totals
+from ledgerloom.operators.ordered import collapse_islands, hot_keys, with_first_last, with_totals
 from ledgerloom.operators.ranks import surrogate_rank
 
 c = F.col
@@ -39,8 +39,8 @@ def staging_employees(wh: Warehouse) -> DataFrame:
     rows = with_totals(rows.withColumn("_end", F.least(te, ce)), ["employee_id"], F.min("_end").alias("employment_end"),
                        F.max("termination_type").alias("termination_reason"))
     rows = rows.withColumn("is_employed", F.coalesce(c("employment_end") > wh.today, F.lit(True)))
-    chunk = find_hot_keys("employee_id", rows).chunk("employee_id", time_chunk("valid_from", "month"))
-    out = collapse_islands(rows, ["employee_id"], ["department", "sub_department", "employment_type", "weekly_hours"], "valid_from", "valid_to", chunk,
+    hot = hot_keys("employee_id", rows)
+    out = collapse_islands(rows, ["employee_id"], ["department", "sub_department", "employment_type", "weekly_hours"], "valid_from", "valid_to", hot,
                            also=["employee_name", "gender", "is_external", "hire_date", "employment_end", "termination_reason", "is_employed"])
     return out.withColumn("is_active", F.year("valid_to") == 9999)
 
@@ -81,8 +81,8 @@ def dim_owner(wh: Warehouse) -> DataFrame:
     pay = wh.ref("staging_personnel_expenses").where("gross_salary <> 0 OR social_security <> 0").select(
         "employee_name", c("date_key").cast("timestamp_ntz").alias("valid_from"), "gross_salary", "social_security")
     state = ["employee_id", "department", "sub_department", "employment_type", "weekly_hours", "gender", "is_external", "is_employed", "hire_date", "employment_end"]
-    chunk = find_hot_keys("employee_name", staff, pay).chunk("employee_name", time_chunk("valid_from", "month"))
-    line = history.merge_histories(staff, pay, "employee_name", state, ["gross_salary", "social_security"], chunk)
+    hot = hot_keys("employee_name", staff, pay)
+    line = history.merge_histories(staff, pay, "employee_name", state, ["gross_salary", "social_security"], hot)
     owners = wh.ref("staging_owners")
     internal = c("email").like("%" + wh.rules.own_domain)
     named = owners.where(internal).join(line, "employee_name", "full").unionByName(owners.where(~internal | c("email").isNull()), allowMissingColumns=True)

@@ -13,7 +13,7 @@ from ledgerloom.models.warehouse import Warehouse, model
 from ledgerloom.operators import crm as crm_ops
 from ledgerloom.operators import history, people, revenue, sales
 from ledgerloom.operators.aggregate import pivot_min
-from ledgerloom.operators.ordered import find_hot_keys, first_per_key, time_chunk
+from ledgerloom.operators.ordered import first_per_key, hot_keys
 from ledgerloom.operators.project import current
 
 c = F.col
@@ -29,8 +29,8 @@ PASSED = ["stage_mql_at", "stage_sql_at", "stage_dealmaking_at", "stage_offer_se
 def deal_stage_history(wh: Warehouse) -> DataFrame:
     """Change log of the deal stage."""
     raw = wh.snapshot("deals").select(typed(c("id"), "bigint").alias("deal_id"), c("dealstage").alias("stage"), c("valid_from").cast("timestamp_ntz").alias("valid_from"))
-    chunk = find_hot_keys("deal_id", raw).chunk("deal_id", time_chunk("valid_from", "day"))
-    return history.change_history(raw, "deal_id", "stage", "valid_from", ["valid_from"], chunk)
+    hot = hot_keys("deal_id", raw)
+    return history.change_history(raw, "deal_id", "stage", "valid_from", ["valid_from"], hot)
 
 
 @model("fact_deal_stage_progression", "table")

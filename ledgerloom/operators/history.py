@@ -11,27 +11,27 @@ from ledgerloom.functions.dates import open_end, timedelta
 from ledgerloom.functions.keys import surrogate_md5
 from ledgerloom.operators.aggregate import unpivot
 from ledgerloom.operators.joins import expand_days, first_version_join
-from ledgerloom.operators.ordered import (carry_forward, collapse_islands, find_hot_keys, neighbours, time_chunk,
+from ledgerloom.operators.ordered import (HotKeys, carry_forward, collapse_islands, hot_keys, neighbours,
                                           with_first_last, with_totals)
 
 
-def change_history(df: DataFrame, key: str, field: str, at: str, order: list[str], chunk: Column | None) -> DataFrame:
+def change_history(df: DataFrame, key: str, field: str, at: str, order: list[str], hot: HotKeys | None) -> DataFrame:
     """Change log of one field: old value, new value, and how long the new one lasted.
 
     Rows without a change are dropped (NULL-safe); a first row only counts when it has a value."""
-    out = neighbours(df, [key], order, chunk, previous={"previous_" + field: field})
+    out = neighbours(df, [key], order, hot, previous={"previous_" + field: field})
     out = out.where(~F.col(field).eqNullSafe(F.col("previous_" + field)))
-    return neighbours(out, [key], order, chunk, following={"valid_until": at})
+    return neighbours(out, [key], order, hot, following={"valid_until": at})
 
 
 def drop_zero_length(df: DataFrame, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
     return df.where(F.col(start) != F.col(end))
 
 
-def derive_valid_to(df: DataFrame, key: str, start: str, order: list[str], chunk: Column | None, name: str = "valid_to",
+def derive_valid_to(df: DataFrame, key: str, start: str, order: list[str], hot: HotKeys | None, name: str = "valid_to",
                     default: Column | None = None) -> DataFrame:
     """End of a version = start of the next one; the last takes ``default`` (the open end if not given)."""
-    out = neighbours(df, [key], order, chunk, following={"_next": start})
+    out = neighbours(df, [key], order, hot, following={"_next": start})
     return out.withColumn(name, F.coalesce(F.col("_next"), open_end() if default is None else default)).drop("_next")
 
 
@@ -81,8 +81,8 @@ def merge_entries(versions: DataFrame, entries: DataFrame, key: str, first: str,
     hit = matched.select(key, "valid_from").distinct()
     bare = versions.join(hit, [key, "valid_from"], "left_anti")
     out = matched.withColumn("valid_from", F.col("entered_at")).unionByName(bare, allowMissingColumns=True)
-    chunk = find_hot_keys(key, versions, entries).chunk(key, time_chunk("valid_from", grain))
-    return derive_valid_to(out.drop("valid_to"), key, "valid_from", ["valid_from", "stage"], chunk)
+    hot = hot_keys(key, versions, entries)
+    return derive_valid_to(out.drop("valid_to"), key, "valid_from", ["valid_from", "stage"], hot)
 
 
 def patch_open_ends(df: DataFrame, key: str, far_past: Column, horizon: Column | None = None,
@@ -102,7 +102,7 @@ def stamp_last(df: DataFrame, key: str, column: str, order: list[str], name: str
     return out.withColumn(name + "_only", F.when(F.col(column).eqNullSafe(F.col(name)), F.col(column)))
 
 
-def merge_histories(a: DataFrame, b: DataFrame, key: str, a_state: list[str], b_state: list[str], chunk: Column | None,
+def merge_histories(a: DataFrame, b: DataFrame, key: str, a_state: list[str], b_state: list[str], hot: HotKeys | None,
                     start: str = "valid_from") -> DataFrame:
     """Two histories of the same key on one timeline.
 
@@ -112,13 +112,13 @@ def merge_histories(a: DataFrame, b: DataFrame, key: str, a_state: list[str], b_
         return df.select(key, start, F.struct(*cols).alias(name))
     both = points(a, a_state, "_a").unionByName(points(b, b_state, "_b"), allowMissingColumns=True)
     cuts = both.groupBy(key, start).agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
-    line = carry_forward(cuts, [key], [start], chunk, ["_a", "_b"]).where(F.col("_a").isNotNull())
+    line = carry_forward(cuts, [key], [start], hot, ["_a", "_b"]).where(F.col("_a").isNotNull())
     first_b = b.groupBy(key).agg(F.min_by(F.struct(*b_state), F.col(start)).alias("_b0"))
     line = line.join(first_b, key, "left").withColumn("_b", F.coalesce("_b", "_b0"))
-    line = derive_valid_to(line, key, start, [start], chunk)
+    line = derive_valid_to(line, key, start, [start], hot)
     flat = line.select(key, start, "valid_to", *[F.col("_a")[c].alias(c) for c in a_state],
                        *[F.col("_b")[c].alias(c) for c in b_state])
-    return collapse_islands(flat, [key], [*a_state, *b_state], start, "valid_to", chunk)
+    return collapse_islands(flat, [key], [*a_state, *b_state], start, "valid_to", hot)
 
 
 def stage_progression(hist: DataFrame, stages: DataFrame, key: str, stage: str, start: str,

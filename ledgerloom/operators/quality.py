@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import boundary_diff
-from ledgerloom.operators.ordered import neighbours
+from ledgerloom.operators.ordered import HotKeys, neighbours
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -35,21 +35,21 @@ def valid_range(df: DataFrame, start: str = "valid_from", end: str = "valid_to")
     return df.where(F.when(both_set, F.col(start) > F.col(end)).otherwise(low > high))
 
 
-def _with_previous_end(df: DataFrame, key: str, start: str, end: str, chunk: Column | None) -> DataFrame:
+def _with_previous_end(df: DataFrame, key: str, start: str, end: str, hot: HotKeys | None) -> DataFrame:
     rows = df.where(F.col(key).isNotNull())
-    return neighbours(rows, [key], [end, start], chunk, previous={"previous_to": end})
+    return neighbours(rows, [key], [end, start], hot, previous={"previous_to": end})
 
 
-def date_gaps(df: DataFrame, key: str, chunk: Column | None, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
-    """Consecutive versions that do not meet on the same day. ``chunk`` must follow the end column."""
-    out = _with_previous_end(df, key, start, end, chunk)
+def date_gaps(df: DataFrame, key: str, hot: HotKeys | None, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
+    """Consecutive versions that do not meet on the same day."""
+    out = _with_previous_end(df, key, start, end, hot)
     out = out.withColumn("day_difference", F.date_diff(F.col(start).cast("date"), F.col("previous_to").cast("date")))
     return out.where("day_difference <> 0")
 
 
-def time_gaps(df: DataFrame, key: str, chunk: Column | None, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
+def time_gaps(df: DataFrame, key: str, hot: HotKeys | None, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
     """Consecutive versions that do not meet in the same minute."""
-    out = _with_previous_end(df, key, start, end, chunk)
+    out = _with_previous_end(df, key, start, end, hot)
     out = out.withColumn("minute_difference", boundary_diff("minute", F.col(start), F.col("previous_to")))
     return out.where("minute_difference <> 0")
 

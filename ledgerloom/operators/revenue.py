@@ -12,8 +12,8 @@ from ledgerloom.functions.keys import surrogate_md5
 from ledgerloom.functions.logic import money
 from ledgerloom.operators.aggregate import sum_if
 from ledgerloom.operators.joins import expand_days, overlap_join
-from ledgerloom.operators.ordered import (carry_forward, collapse_islands, dense_ranks, find_hot_keys, first_per_key, neighbours,
-                                          running_sum, time_chunk, with_totals)
+from ledgerloom.operators.ordered import (HotKeys, carry_forward, collapse_islands, dense_ranks, first_per_key, hot_keys, neighbours,
+                                          running_sum, with_totals)
 from ledgerloom.operators.schedule import schedule
 
 
@@ -35,9 +35,9 @@ def revenue_levels(subs: DataFrame, as_of: dt.date, key: str = "company_id", sta
     edge = F.array(F.col("span_start"), F.date_add("span_end", 1))
     edges = span.select(key, F.explode(edge).alias("day"), F.lit(0).cast("decimal(18,2)").alias("delta"))
     points = steps.unionByName(edges).groupBy(key, "day").agg(F.sum("delta").alias("delta"))
-    chunk = find_hot_keys(key, subs).chunk(key, time_chunk("day", "month"))
-    out = running_sum(points, [key], ["day"], chunk, "delta", "monthly_revenue")
-    out = neighbours(out, [key], ["day"], chunk, following={"_next": "day"}).where(F.col("_next").isNotNull())
+    hot = hot_keys(key, subs)
+    out = running_sum(points, [key], ["day"], hot, "delta", "monthly_revenue")
+    out = neighbours(out, [key], ["day"], hot, following={"_next": "day"}).where(F.col("_next").isNotNull())
     out = out.select(key, F.col("day").alias("level_from"), F.date_sub("_next", 1).alias("level_to"),
                      F.col("monthly_revenue").cast("decimal(18,2)").alias("monthly_revenue"))
     out = out.withColumn("is_active", F.col("monthly_revenue") > 0)
@@ -76,8 +76,8 @@ def mrr_changes(levels: DataFrame, as_of: dt.date, key: str = "company_id") -> D
     extra = levels.where(F.col("is_active") & (F.col("level_to") == F.col("span_end")) & (F.col("span_end") < F.lit(as_of)))
     extra = extra.withColumns({"level_from": F.date_add("span_end", 1), "level_to": F.date_add("span_end", 1),
                                "monthly_revenue": F.lit(0).cast("decimal(18,2)"), "is_active": F.lit(False)})
-    chunk = find_hot_keys(key, levels).chunk(key, time_chunk("level_from", "month"))
-    out = neighbours(levels.unionByName(extra), [key], ["level_from"], chunk,
+    hot = hot_keys(key, levels)
+    out = neighbours(levels.unionByName(extra), [key], ["level_from"], hot,
                      previous={"_mrr": "monthly_revenue", "_active": "is_active"})
     out = _daily(out, key)
     begins = F.col("date") == F.col("level_from")
@@ -144,8 +144,8 @@ def contracted_revenue(items: DataFrame, deals: DataFrame, as_of: Column, span:
                 & (F.col("billing_start").isNull() | (F.col("billing_start") < F.col("valid_to"))))
     g = m.groupBy("deal_id", "deal_stage_sk", "line_item_id", "quantity", "billing_start", "billing_end").agg(
         F.min("valid_from").alias("valid_from"), F.max("valid_to").alias("valid_to"))
-    chunk = find_hot_keys("deal_id", items, deals).chunk("deal_id", time_chunk("valid_from", grain))
-    g = neighbours(g, ["deal_id", "line_item_id"], ["valid_from", "deal_stage_sk"], chunk,
+    hot = hot_keys("deal_id", items, deals)
+    g = neighbours(g, ["deal_id", "line_item_id"], ["valid_from", "deal_stage_sk"], hot,
                    previous={"lag_quantity": "quantity"}, following={"_next": "valid_from"})
     g = g.withColumn("valid_to", F.coalesce("_next", "valid_to")).drop("_next")
     return (g.withColumn("is_active", (as_of >= F.col("valid_from")) & (as_of < F.col("valid_to")))
@@ -188,8 +188,8 @@ def next_invoices(contracts: DataFrame, invoices: DataFrame, as_of: Column, vat:
     marks = due.select("deal_id", F.col("date_key").alias("day"), F.lit(0).alias("_side"), F.lit(None).cast("date").alias("last_invoice_before"))
     past = invoices.select("deal_id", F.col("invoice_date").alias("day"), F.lit(1).alias("_side"),
                            F.col("invoice_date").alias("last_invoice_before")).distinct()
-    chunk = find_hot_keys("deal_id", invoices).chunk("deal_id", time_chunk("day", "month"))
-    line = carry_forward(marks.unionByName(past), ["deal_id"], ["day", "_side"], chunk, ["last_invoice_before"])
+    hot = hot_keys("deal_id", invoices)
+    line = carry_forward(marks.unionByName(past), ["deal_id"], ["day", "_side"], hot, ["last_invoice_before"])
     before = line.where("_side = 0").select("deal_id", F.col("day").alias("date_key"), "last_invoice_before")
     facts = invoices.groupBy("deal_id").agg(F.max("invoice_date").alias("last_invoice"),
                                             F.min(F.when(~F.col("is_paid"), F.col("invoice_date"))).alias("_unpaid"))
@@ -219,8 +219,8 @@ def recurring_invoiced(invoices: DataFrame) -> DataFrame:
     start and (later) end. Amounts are summed exactly per interval and only then divided."""
     inv = invoices.where("payment_interval <> 0 AND recurring_amount > 0")
     inv = inv.withColumn("_from", F.trunc("period_from", "month")).withColumn("_to", F.last_day("period_to"))
-    hot = find_hot_keys("company_sk", inv)
-    inv = dense_ranks(inv, ["deal_sk", "company_sk"], "_from", hot.chunk("company_sk", time_chunk("_from", "quarter")), "_rn", "_rn_desc")
+    hot = hot_keys("company_sk", inv)
+    inv = dense_ranks(inv, ["deal_sk", "company_sk"], "_from", hot, "_rn", "_rn_desc")
     first, last = F.col("_rn") == 1, (F.col("_rn_desc") == 1) & (F.col("contract_end") > F.col("_to"))
     inv = inv.withColumn("valid_from", F.when(first, F.coalesce("contract_start", "_from")).otherwise(F.col("_from")))
     inv = inv.withColumn("valid_to", F.when(last, F.col("contract_end")).otherwise(F.col("_to")))
@@ -232,14 +232,14 @@ def recurring_invoiced(invoices: DataFrame) -> DataFrame:
     g = g.withColumn("mrr_quarter", F.col("_q") / 3 + F.col("mrr_month"))
     g = g.withColumn("mrr_biannual", F.col("_b") / 6 + F.col("mrr_quarter"))
     g = g.withColumn("mrr_annual", F.col("_a") / 12 + F.col("mrr_biannual"))
-    g = _mrr_islands(g, hot.chunk("company_sk", time_chunk("valid_from", "quarter")))
+    g = _mrr_islands(g, hot)
     return (g.withColumn("total_quarter", F.col("mrr_quarter") * 3).withColumn("total_biannual", F.col("mrr_biannual") * 6)
             .withColumn("total_annual", F.col("mrr_annual") * 12))
 
 
-def _mrr_islands(g: DataFrame, chunk: Column | None) -> DataFrame:
+def _mrr_islands(g: DataFrame, hot: HotKeys | None) -> DataFrame:
     """Islands of equal annual-normalised revenue, reported per distinct level of the other three."""
-    return collapse_islands(g, ["company_sk"], ["mrr_annual"], "valid_from", "valid_to", chunk,
+    return collapse_islands(g, ["company_sk"], ["mrr_annual"], "valid_from", "valid_to", hot,
                             also=["mrr_biannual", "mrr_quarter", "mrr_month"])
 
 

@@ -12,7 +12,7 @@ from ledgerloom.functions.nested import associations, ids_of, size0
 from ledgerloom.operators import aggregate, ordered
 from ledgerloom.operators.ranks import row_number_keys, surrogate_rank
 from ledgerloom.plans.registry import query
-from ledgerloom.plans.shapes import order_chunk
+from ledgerloom.plans.shapes import hot_customers
 
 
 def price() -> Column:
@@ -146,7 +146,7 @@ SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY
 FROM orders""")
 def w01(ctx: Context) -> DataFrame:
     orders = ctx.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return ordered.row_numbers(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], order_chunk(ctx)).drop("o_orderdate")
+    return ordered.row_numbers(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], hot_customers(ctx)).drop("o_orderdate")
 
 
 @query("w02_dense_rank", """
@@ -155,7 +155,7 @@ SELECT o_orderkey, o_custkey, dense_rank() OVER (PARTITION BY o_custkey ORDER BY
 FROM orders""")
 def w02(ctx: Context) -> DataFrame:
     orders = ctx.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return ordered.dense_ranks(orders, ["o_custkey"], "o_orderdate", order_chunk(ctx), "rank_asc",
+    return ordered.dense_ranks(orders, ["o_custkey"], "o_orderdate", hot_customers(ctx), "rank_asc",
                                "rank_desc").drop("o_orderdate")
 
 
@@ -189,7 +189,7 @@ SELECT o_orderkey, o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PAR
 FROM orders""", num="revenue_to_date")
 def w05(ctx: Context) -> DataFrame:
     orders = ctx.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", price().alias("price"))
-    out = ordered.running_sum(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], order_chunk(ctx), "price",
+    out = ordered.running_sum(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], hot_customers(ctx), "price",
                               "revenue_to_date")
     return out.select("o_orderkey", "o_custkey", "revenue_to_date")
 

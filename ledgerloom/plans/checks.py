@@ -9,7 +9,7 @@ from ledgerloom.context import Context
 from ledgerloom.functions.logic import money
 from ledgerloom.operators import quality
 from ledgerloom.plans.registry import query
-from ledgerloom.plans.shapes import STAGE_HIST, event_chunk, stage_hist
+from ledgerloom.plans.shapes import STAGE_HIST, hot_entities, stage_hist
 
 c = F.col
 
@@ -53,7 +53,7 @@ def _gappy(ctx: Context) -> DataFrame:
 SELECT event_id, entity_id, valid_from, previous_to, date_diff('day', CAST(previous_to AS DATE), CAST(valid_from AS DATE)) AS day_difference
 FROM l WHERE CAST(valid_from AS DATE) <> CAST(previous_to AS DATE)""", text="valid_from previous_to")
 def q05(ctx: Context) -> DataFrame:
-    out = quality.date_gaps(_gappy(ctx), "entity_id", event_chunk(ctx, "valid_to"))
+    out = quality.date_gaps(_gappy(ctx), "entity_id", hot_entities(ctx))
     return out.select("event_id", "entity_id", "valid_from", "previous_to", "day_difference")
 
 
@@ -61,7 +61,7 @@ def q05(ctx: Context) -> DataFrame:
 SELECT event_id, entity_id, valid_from, previous_to, date_diff('minute', valid_from, previous_to) AS minute_difference
 FROM l WHERE date_diff('minute', valid_from, previous_to) <> 0""", text="valid_from previous_to")
 def q06(ctx: Context) -> DataFrame:
-    out = quality.time_gaps(_gappy(ctx), "entity_id", event_chunk(ctx, "valid_to"))
+    out = quality.time_gaps(_gappy(ctx), "entity_id", hot_entities(ctx))
     return out.select("event_id", "entity_id", "valid_from", "previous_to", "minute_difference")
 
 

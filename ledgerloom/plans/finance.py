@@ -16,7 +16,7 @@ from ledgerloom.operators.ordered import collapse_islands
 from ledgerloom.operators.project import lookup_labels, union_all
 from ledgerloom.operators.schedule import outstanding, schedule
 from ledgerloom.plans.registry import query
-from ledgerloom.plans.shapes import CONTRACT, PAYMENT_MONTHS, RATE_HIST, STAGE_HIST, contract, event_chunk, rate_hist, stage_hist
+from ledgerloom.plans.shapes import CONTRACT, PAYMENT_MONTHS, RATE_HIST, STAGE_HIST, contract, hot_entities, rate_hist, stage_hist
 
 c = F.col
 AS_OF = "DATE '1998-12-01'"
@@ -197,7 +197,7 @@ SELECT deal_id, line_item_id, quantity, vf AS valid_from, valid_to, lag_quantity
 def i09(ctx: Context) -> DataFrame:
     """Rate versions as line items under the intervals in which a user was in the won stage."""
     ts = lambda text: F.expr(f"TIMESTAMP_NTZ'{text}'")
-    won = collapse_islands(stage_hist(ctx), ["entity_id"], ["stage"], "valid_from", "valid_to", event_chunk(ctx)).where("stage = 'purchase'")
+    won = collapse_islands(stage_hist(ctx), ["entity_id"], ["stage"], "valid_from", "valid_to", hot_entities(ctx)).where("stage = 'purchase'")
     deals = won.select(c("entity_id").alias("deal_id"), F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("deal_stage_sk"),
                        ts("2024-01-05").alias("contract_start"), ts("2024-01-28").alias("contract_end"),
                        c("valid_from").alias("deal_from"), c("valid_to").alias("deal_to"))

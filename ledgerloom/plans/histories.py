@@ -12,7 +12,7 @@ from ledgerloom.functions.dates import micros
 from ledgerloom.operators import history
 from ledgerloom.operators.ordered import collapse_islands
 from ledgerloom.plans.registry import query
-from ledgerloom.plans.shapes import (RATE_HIST, STAGE_HIST, event_chunk, order_chunk, rate_hist, stage_hist,
+from ledgerloom.plans.shapes import (RATE_HIST, STAGE_HIST, hot_customers, hot_entities, rate_hist, stage_hist,
                                      stage_versions)
 
 c = F.col
@@ -31,7 +31,7 @@ FROM numbered GROUP BY entity_id, stage, island""", text="valid_from valid_to")
 def h02_islands(ctx: Context) -> DataFrame:
     """Stage intervals: consecutive versions in the same stage collapse, revisited stages stay apart."""
     hist = stage_hist(ctx).where("valid_from <> valid_to")
-    out = collapse_islands(hist, ["entity_id"], ["stage"], "valid_from", "valid_to", event_chunk(ctx), count="versions")
+    out = collapse_islands(hist, ["entity_id"], ["stage"], "valid_from", "valid_to", hot_entities(ctx), count="versions")
     return out.withColumn("is_active", F.year("valid_to") == 9999)
 
 
@@ -44,7 +44,7 @@ FROM p WHERE stage IS DISTINCT FROM previous_stage""", text="valid_from valid_un
 def h01(ctx: Context) -> DataFrame:
     """Change log of the stage, where 'error' events stand for an unknown (NULL) stage."""
     raw = stage_versions(ctx).withColumn("stage", F.nullif(c("stage"), F.lit("error")))
-    out = history.change_history(raw, "entity_id", "stage", "valid_from", ["valid_from", "event_id"], event_chunk(ctx))
+    out = history.change_history(raw, "entity_id", "stage", "valid_from", ["valid_from", "event_id"], hot_entities(ctx))
     return out.select("entity_id", "stage", "previous_stage", "valid_from", "valid_until")
 
 
@@ -68,7 +68,7 @@ SELECT o_orderkey, o_custkey, o_orderdate AS valid_from,
 FROM orders""", text="valid_from valid_to")
 def h04(ctx: Context) -> DataFrame:
     rows = ctx.table("orders").select("o_orderkey", "o_custkey", c("o_orderdate").alias("valid_from"))
-    return history.derive_valid_to(rows, "o_custkey", "valid_from", ["valid_from", "o_orderkey"], order_chunk(ctx, "valid_from"))
+    return history.derive_valid_to(rows, "o_custkey", "valid_from", ["valid_from", "o_orderkey"], hot_customers(ctx))
 
 
 @query("h05_daily_snapshot", f"""
@@ -164,7 +164,7 @@ def h10(ctx: Context) -> DataFrame:
     """Stage history and rate history (from its second version on) as one timeline."""
     a = stage_hist(ctx).select(c("entity_id").alias("owner_id"), "valid_from", "stage")
     b = rate_hist(ctx).where("n > 0").select("owner_id", "valid_from", "rate")
-    out = history.merge_histories(a, b, "owner_id", ["stage"], ["rate"], event_chunk(ctx, key="owner_id"))
+    out = history.merge_histories(a, b, "owner_id", ["stage"], ["rate"], hot_entities(ctx, key="owner_id"))
     return out.select("owner_id", "stage", "rate", "valid_from", "valid_to")
 
 

@@ -9,7 +9,7 @@ from ledgerloom.context import Context
 from ledgerloom.functions import dates, geo, keys, logic, nested, text
 from ledgerloom.operators.ordered import neighbours
 from ledgerloom.plans.registry import query
-from ledgerloom.plans.shapes import SITE, STAGE_HIST, order_chunk, site, stage_hist
+from ledgerloom.plans.shapes import SITE, STAGE_HIST, hot_customers, site, stage_hist
 
 c = F.col
 
@@ -188,7 +188,7 @@ def f15(ctx: Context) -> DataFrame:
     t = ctx.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
                                    F.nullif(c("o_orderpriority"), F.lit("3-MEDIUM")).alias("prio"))
     t = t.withColumn("here", F.struct("o_orderstatus", "prio"))
-    out = neighbours(t, ["o_custkey"], ["o_orderdate", "o_orderkey"], order_chunk(ctx),
+    out = neighbours(t, ["o_custkey"], ["o_orderdate", "o_orderkey"], hot_customers(ctx),
                      previous={"before": "here"})
     return out.select("o_orderkey", "o_custkey", (~c("here").eqNullSafe(c("before"))).alias("is_change"))
 

@@ -11,17 +11,18 @@ from ledgerloom.context import Context
 from ledgerloom.functions.dates import open_end
 from ledgerloom.functions.geo import box_ring
 from ledgerloom.functions.logic import decode
-from ledgerloom.operators.ordered import find_hot_keys, neighbours, time_chunk
+from ledgerloom.operators.ordered import HotKeys, hot_keys, neighbours
 
 
-def event_chunk(ctx: Context, column: str = "valid_from", key: str = "entity_id") -> Column | None:
-    """The event log spans one month: histories of hot users are cut by day."""
-    return find_hot_keys("user_id", ctx.table("events")).chunk(key, time_chunk(column, "day"))
+def hot_entities(ctx: Context, key: str = "entity_id") -> HotKeys | None:
+    """Users with too many events for one task, under the name their histories have for them."""
+    hot = hot_keys("user_id", ctx.table("events"))
+    return hot.named(key) if hot else None
 
 
-def order_chunk(ctx: Context, column: str = "o_orderdate", key: str = "o_custkey") -> Column | None:
-    """Orders span years: those of hot customers are cut by month."""
-    return find_hot_keys("o_custkey", ctx.table("orders")).chunk(key, time_chunk(column, "month"))
+def hot_customers(ctx: Context) -> HotKeys | None:
+    """Customers with too many orders for one task."""
+    return hot_keys("o_custkey", ctx.table("orders"))
 
 
 def stage_versions(ctx: Context) -> DataFrame:
@@ -33,7 +34,7 @@ def stage_versions(ctx: Context) -> DataFrame:
 
 def stage_hist(ctx: Context) -> DataFrame:
     """Stage history with half-open versions; the last one stays open."""
-    out = neighbours(stage_versions(ctx), ["entity_id"], ["valid_from", "event_id"], event_chunk(ctx),
+    out = neighbours(stage_versions(ctx), ["entity_id"], ["valid_from", "event_id"], hot_entities(ctx),
                      following={"valid_to": "valid_from"})
     return out.withColumn("valid_to", F.coalesce("valid_to", open_end()))
 

@@ -71,13 +71,3 @@ def test_an_open_end_is_no_schedule(spark):
     rows = spark.createDataFrame([(dt.date(2024, 1, 31), dt.date(9999, 12, 31), 1)], "a date, b date, k int")
     with pytest.raises(Exception, match="more than 100 years"):
         schedule(rows, "a", "b", "k").collect()
-
-
-def test_more_hot_keys_than_can_be_listed(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "MAX_HOT_KEYS", 50)
-    rows = spark.range(100).selectExpr("id AS k").union(spark.range(10_000).selectExpr("7 AS k"))
-    spark.conf.set(ordered.HOT_KEY_ROWS, "0")
-    try:
-        assert ordered.find_hot_keys("k", rows).values == (7,)   # all 100 are above the limit, one above a fiftieth of all rows
-    finally:
-        spark.conf.unset(ordered.HOT_KEY_ROWS)
