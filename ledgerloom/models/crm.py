@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import day, open_end
 from ledgerloom.functions.logic import classify, decode, flag
 from ledgerloom.functions.nested import associations, size0
-from ledgerloom.functions.text import empty_to_null, typed
+from ledgerloom.functions.text import empty_to_null, norm_name, typed
 from ledgerloom.models.warehouse import Warehouse, model
 from ledgerloom.operators import crm as crm_ops
 from ledgerloom.operators import history, joins, people, revenue, sales
 from ledgerloom.operators.calendar import date_dim, with_holidays, working_minutes
-from ledgerloom.operators.ordered import collapse_islands, find_hot_keys, first_per_key, time_chunk, with_first_last, with_totals
-from ledgerloom.operators.project import current, lookup_labels, with_unknown
+from ledgerloom.operators.identity import merged_entities, resolve_identities
+from ledgerloom.operators.ordered import collapse_islands, first_per_key, hot_keys, with_first_last, with_totals
+from ledgerloom.operators.project import current, lookup_labels, union_all, with_unknown
 from ledgerloom.operators.ranks import row_number_keys, surrogate_rank
 from ledgerloom.operators.schedule import outstanding
 from ledgerloom.sources.build import drop_deleted
@@ -84,8 +85,8 @@ def staging_deals(wh: Warehouse) -> DataFrame:
         F.when(F.length("iban") > 15, F.upper(F.replace("iban", F.lit(" "), F.lit("")))).alias("iban"), empty_to_null(c("account_holder")).alias("account_holder"),
         typed(c("amount"), "decimal(10,2)").alias("amount"), typed(c("arr"), "decimal(10,2)").alias("arr"), "valid_from", "valid_to")
     deals = with_first_last(deals, ["deal_id"], ["valid_from", "valid_to"], last={"company_id": "_company"})
-    chunk = find_hot_keys("deal_id", deals).chunk("deal_id", time_chunk("valid_from", "day"))
-    out = collapse_islands(deals, ["deal_id"], DEAL_STATE, "valid_from", "valid_to", chunk)
+    hot = hot_keys("deal_id", deals)
+    out = collapse_islands(deals, ["deal_id"], DEAL_STATE, "valid_from", "valid_to", hot)
     return out.withColumn("is_active", _is_open(c("valid_to")))
 
 
@@ -155,20 +156,51 @@ def staging_engagements(wh: Warehouse) -> DataFrame:
     return crm_ops.pair_companies(pairs, own)
 
 
+COMPANY_SYSTEMS = ["crm", "second", "first"]
+
+
+@model("company_members", "table")
+def company_members(wh: Warehouse) -> DataFrame:
+    """The company that each company record of the CRM and of both portals belongs to: by the CRM's id, else by a name that is not
+    ambiguous. The first portal knows its companies by name alone."""
+    crm = wh.ref("staging_companies").select(F.lit("crm").alias("system"), c("company_id").cast("string").alias("record_id"), c("company_id").alias("crm_id"), "company_name")
+    second = wh.ref("staging_portal_companies").select(F.lit("second").alias("system"), c("portal_company_id").cast("string").alias("record_id"),
+                                                       c("crm_company_id").alias("crm_id"), "company_name")
+    first = wh.ref("staging_first_portal").where("company_name IS NOT NULL").groupBy(norm_name(c("company_name")).alias("record_id")).agg(F.min("company_name").alias("company_name"))
+    records = union_all([crm, second, first.withColumn("system", F.lit("first"))])
+    return resolve_identities(records.withColumn("name_key", norm_name(c("company_name"))), COMPANY_SYSTEMS, ["crm_id"], ["name_key"])
+
+
 @model("dim_company", "table")
 def dim_company(wh: Warehouse) -> DataFrame:
-    """One row per company of CRM and portal, with contract span; -1 is the unknown company."""
-    crm = wh.ref("staging_companies").withColumn("crm", F.lit(True))
-    portal = wh.ref("staging_portal_companies").select(c("crm_company_id").alias("company_id"), c("portal_company_id"), c("company_name").alias("_name"),
-                                                       F.lit(True).alias("portal"))
-    stages = wh.ref("staging_stages").where("is_won").select("stage_id")
-    won = wh.ref("staging_deals").where("is_active").join(stages, "stage_id", "left_semi").groupBy("company_id").agg(
-        F.min("contract_start").alias("company_start"), F.max("contract_end").alias("company_end"))
-    sites = wh.ref("staging_sites").groupBy(c("portal_company_id")).agg(F.count(F.lit(1)).alias("actual_sites"))
-    out = crm.join(portal, "company_id", "full").join(won, "company_id", "left").join(sites, "portal_company_id", "left")
-    out = out.withColumns({"company_name": F.coalesce("company_name", "_name"), "crm": flag(c("crm")), "portal": flag(c("portal"))}).drop("_name")
+    """One row per company of the CRM and both portals, with the span of its running deals' contracts, to the end of the last month,
+    and its sites in each portal; -1 is the unknown company."""
+    members, entity = wh.ref("company_members"), ["entity_system", "entity_id"]
+    number = c("record_id").cast("bigint")
+    merged = merged_entities(members, COMPANY_SYSTEMS, ["company_name"]).select(*entity, "company_name", c("in_crm").alias("crm"), c("in_second").alias("portal"))
+    ids = members.where("system <> 'first'").groupBy(*entity).agg(
+        F.min(F.when(c("system") == "crm", number)).alias("company_id"), F.min(F.when(c("system") == "second", number)).alias("portal_company_id"))
+    second = wh.ref("staging_sites").groupBy(c("portal_company_id").cast("string").alias("record_id")).agg(F.count_distinct("site_id").alias("_second"))
+    first = wh.ref("staging_first_portal").groupBy(norm_name(c("company_name")).alias("record_id")).agg(F.count("site_id").alias("_first"))
+    counted = union_all([second.withColumn("system", F.lit("second")), first.withColumn("system", F.lit("first"))])
+    sites = members.join(counted, ["system", "record_id"]).groupBy(*entity).agg(F.sum("_second").alias("actual_sites"), F.sum("_first").alias("actual_first_sites"))
+    spans = wh.ref("staging_deals").where("is_active AND contract_start IS NOT NULL AND contract_end IS NOT NULL").groupBy("company_id").agg(
+        F.min("contract_start").alias("company_start"), F.last_day(F.max("contract_end")).alias("company_end"))
+    out = merged.join(ids, entity, "left").join(sites, entity, "left").join(wh.ref("staging_companies").drop("company_name"), "company_id", "left").join(spans, "company_id", "left")
+    second_flag, first_flag = flag(c("actual_sites") > 0), flag(c("actual_first_sites") > 0)
+    out = out.withColumns({"in_second": second_flag, "in_first": first_flag, "portals": empty_to_null(F.concat(
+        F.when(second_flag, "second;").otherwise(""), F.when(first_flag, "first;").otherwise("")))})
     out = surrogate_rank(out, ["company_id", "portal_company_id", "company_name"], "company_sk")
-    return with_unknown(out, {"company_sk": -1, "company_id": -1, "portal_company_id": -1, "company_name": "UNKNOWN", "crm": False, "portal": False})
+    return with_unknown(out, {"company_sk": -1, "company_id": -1, "portal_company_id": -1, "company_name": "UNKNOWN", "crm": False, "portal": False,
+                              "in_second": False, "in_first": False})
+
+
+@model("portal_company_keys", "table")
+def portal_company_keys(wh: Warehouse) -> DataFrame:
+    """The company of every company record of the second portal; several records may mean one company."""
+    keys = wh.ref("dim_company").where("company_sk <> -1").select("entity_system", "entity_id", "company_sk")
+    return wh.ref("company_members").where("system = 'second'").join(keys, ["entity_system", "entity_id"]).select(
+        c("record_id").cast("bigint").alias("portal_company_id"), "company_sk")
 
 
 @model("dim_deal", "table")
@@ -176,8 +208,8 @@ def dim_deal(wh: Warehouse) -> DataFrame:
     """Deal x stage interval, with the current attributes and contract values of the deal."""
     stages = wh.ref("staging_stages")
     versions = wh.ref("staging_deals")
-    chunk = find_hot_keys("deal_id", versions).chunk("deal_id", time_chunk("valid_from", "day"))
-    spans = collapse_islands(history.drop_zero_length(versions), ["deal_id"], ["stage_id"], "valid_from", "valid_to", chunk)
+    hot = hot_keys("deal_id", versions)
+    spans = collapse_islands(history.drop_zero_length(versions), ["deal_id"], ["stage_id"], "valid_from", "valid_to", hot)
     names = stages.where("object_type = 'deals'").select("stage_id", "stage_name", "is_won", "is_closed")
     spans = row_number_keys(spans.join(names, "stage_id", "left"), ["deal_id", "valid_from"], "deal_stage_sk")
     spans = surrogate_rank(spans, ["deal_id"], "deal_sk")
@@ -202,17 +234,17 @@ def mart_deal_active(wh: Warehouse) -> DataFrame:
 @model("mart_sale_funnel")
 def mart_sale_funnel(wh: Warehouse) -> DataFrame:
     deals = wh.ref("dim_deal")
-    chunk = find_hot_keys("deal_sk", deals).chunk("deal_sk", time_chunk("valid_from", "month"))
-    return sales.funnel(deals, "deal_sk", "stage_name", FUNNEL, chunk, order=["valid_from", "deal_stage_sk"])
+    hot = hot_keys("deal_sk", deals)
+    return sales.funnel(deals, "deal_sk", "stage_name", FUNNEL, hot, order=["valid_from", "deal_stage_sk"])
 
 
 @model("mart_kpi")
 def mart_kpi(wh: Warehouse) -> DataFrame:
     """Weekly figures of stages entered and of engagements in running deals."""
     deals = wh.ref("dim_deal")
-    chunk = find_hot_keys("deal_sk", deals).chunk("deal_sk", time_chunk("valid_from", "month"))
+    hot = hot_keys("deal_sk", deals)
     value = deals.withColumn("value", c("annual_contract_value").cast("double"))
-    staged = sales.stage_kpis(value, "deal_sk", "stage_name", "value", [*FUNNEL, "Contract Ended", "Lost"], chunk,
+    staged = sales.stage_kpis(value, "deal_sk", "stage_name", "value", [*FUNNEL, "Contract Ended", "Lost"], hot,
                               order=["valid_from", "deal_stage_sk"])
     now = deals.where("is_active").select("deal_sk", F.col("stage_name").alias("final_stage"))
     events = wh.ref("fact_engagements").where(~c("kind").isin("TASK", "NOTE") & c("stage_name").isin(*EARLY_STAGES, "Lost", "Marketing Qualified Lead"))
@@ -223,15 +255,20 @@ def mart_kpi(wh: Warehouse) -> DataFrame:
 
 @model("fact_engagements")
 def fact_engagements(wh: Warehouse) -> DataFrame:
-    """Engagements with the deal stage and owner version valid at their time."""
+    """Engagements of deals with the deal stage, ticket stage and owner version valid at their time. The company is the deal's, else the
+    engagement's own, else unknown; an engagement of no deal running then is no fact."""
     out = wh.ref("staging_engagements")
     span = joins.time_span(out, "at")
-    deals = wh.ref("dim_deal").where("deal_id <> -1").select("deal_id", "deal_sk", "deal_stage_sk", "stage_name", c("valid_from").alias("_df"), c("valid_to").alias("_dt"))
-    out = joins.interval_join(out, deals, "deal_id", "at", "_df", "_dt", span=span)
+    deals = wh.ref("dim_deal").where("deal_id <> -1").select("deal_id", "deal_sk", "deal_stage_sk", "stage_name", c("company_sk").alias("_company"),
+                                                             c("valid_from").alias("_df"), c("valid_to").alias("_dt"))
+    out = joins.interval_join(out, deals, "deal_id", "at", "_df", "_dt", "inner", span=span)
+    tickets = wh.ref("dim_ticket").select("ticket_id", "ticket_sk", c("stage_name").alias("ticket_stage"), c("valid_from").alias("_tf"), c("valid_to").alias("_tt"))
+    out = joins.interval_join(out, tickets, "ticket_id", "at", "_tf", "_tt", span=span)
     owners = wh.ref("dim_owner").where("owner_id IS NOT NULL").select("owner_id", "owner_sk", c("valid_from").alias("_of"), c("valid_to").alias("_ot"))
     out = joins.interval_join(out, owners, "owner_id", "at", "_of", "_ot", span=span)
     out = joins.sk_lookup(out, wh.ref("dim_company").where("company_id IS NOT NULL"), "company_id", "company_id", "company_sk")
-    return out.withColumns({n: F.coalesce(n, F.lit(-1)) for n in ("deal_sk", "deal_stage_sk", "owner_sk")}).drop("_df", "_dt", "_of", "_ot")
+    out = out.withColumn("company_sk", F.coalesce(F.nullif("_company", F.lit(-1)), "company_sk"))
+    return out.withColumn("owner_sk", F.coalesce("owner_sk", F.lit(-1))).drop("_company", "_df", "_dt", "_tf", "_tt", "_of", "_ot")
 
 
 @model("mart_future_contracts")
@@ -262,26 +299,40 @@ def staging_tickets(wh: Warehouse) -> DataFrame:
     current_rows = first_per_key(raw, ["ticket_id"], [c("valid_from").desc()])
     entries = history.stage_entries(current_rows, "ticket_id", "date_entered_", "time_in_")
     base = raw.select("ticket_id", c("stage").alias("old_stage"), c("pipeline").alias("pipeline_id"), typed(c("owner_id"), "bigint").alias("owner_id"),
-                      F.get(ids_in_order(c("companies")), F.lit(0)).alias("company_id"), c("subject").alias("ticket_name"),
+                      F.get(ids_in_order(c("companies")), F.lit(0)).alias("company_id"), F.get(ids_in_order(c("deals")), F.lit(0)).alias("deal_id"), c("subject").alias("ticket_name"),
                       c("created_at").cast("timestamp_ntz").alias("created_at"), c("closed_at").cast("timestamp_ntz").alias("closed_at"),
                       c("first_reply_at").cast("timestamp_ntz").alias("first_reply_at"), (typed(c("time_to_close"), "double") / 3600000).alias("hours_to_close"),
                       typed(c("solution_time"), "double").alias("hours_to_solution"), "valid_from", "valid_to")
     base = with_totals(base, ["ticket_id"], F.min("valid_from").alias("_first"))
     base = base.withColumn("is_first", c("valid_from") == c("_first")).drop("_first")
     out = history.merge_entries(base, entries, "ticket_id", "is_first", "month").withColumn("stage_id", F.coalesce("stage", "old_stage"))
-    state = ["stage_id", "pipeline_id", "owner_id", "company_id", "ticket_name"]
-    chunk = find_hot_keys("ticket_id", out).chunk("ticket_id", time_chunk("valid_from", "day"))
-    spans = collapse_islands(out, ["ticket_id"], state, "valid_from", "valid_to", chunk,
+    state = ["stage_id", "pipeline_id", "owner_id", "company_id", "deal_id", "ticket_name"]
+    hot = hot_keys("ticket_id", out)
+    spans = collapse_islands(out, ["ticket_id"], state, "valid_from", "valid_to", hot,
                              also=["created_at", "closed_at", "first_reply_at", "hours_to_close", "hours_to_solution"])
     return spans.withColumn("is_active", _is_open(c("valid_to")))
 
 
 @model("dim_ticket", "table")
 def dim_ticket(wh: Warehouse) -> DataFrame:
-    names = wh.ref("staging_stages").where("object_type = 'tickets'").select("stage_id", "stage_name", "pipeline_name")
-    out = wh.ref("staging_tickets").join(names, "stage_id", "left")
-    out = surrogate_rank(out, ["ticket_id"], "ticket_sk")
+    """Ticket x interval of one stage name and owner, with the ticket's current attributes. The first interval starts when the ticket was
+    created; the company is the running deal's, else the ticket's own."""
+    tickets = wh.ref("staging_tickets")
+    names = wh.ref("staging_stages").where("object_type = 'tickets'").select("stage_id", "stage_name", "is_closed", "pipeline_name")
+    versions = tickets.join(names, "stage_id", "left")
+    hot = hot_keys("ticket_id", tickets)
+    spans = collapse_islands(versions.select("ticket_id", "stage_name", "is_closed", "owner_id", "valid_from", "valid_to"), ["ticket_id"], ["stage_name", "is_closed", "owner_id"],
+                             "valid_from", "valid_to", hot, order=["valid_to", "valid_from"])
+    spans = with_totals(spans, ["ticket_id"], F.min("valid_from").alias("_first"))
+    now = first_per_key(versions.where("is_active").drop("stage_name", "is_closed", "owner_id", "valid_from", "valid_to", "is_active"), ["ticket_id"], [c("stage_id")])
+    out = spans.join(now, "ticket_id", "left")
+    out = out.withColumn("valid_from", F.when(c("valid_from") == c("_first"), F.coalesce("created_at", "valid_from")).otherwise(c("valid_from"))).drop("_first")
+    out = row_number_keys(out, ["ticket_id", "valid_from", "valid_to"], "ticket_stage_sk")
+    out = surrogate_rank(out, ["ticket_id"], "ticket_sk").withColumn("is_active", _is_open(c("valid_to")))
+    deals = wh.ref("dim_deal").where("is_active AND deal_id <> -1").select("deal_id", "deal_sk", c("company_sk").alias("_company")).distinct()
+    out = out.join(deals, "deal_id", "left").withColumn("deal_sk", F.coalesce("deal_sk", F.lit(-1)))
     out = joins.sk_lookup(out, wh.ref("dim_company").where("company_id IS NOT NULL"), "company_id", "company_id", "company_sk")
+    out = out.withColumn("company_sk", F.coalesce(F.nullif("_company", F.lit(-1)), "company_sk")).drop("_company")
     owners = wh.ref("dim_owner").where("is_active AND owner_id IS NOT NULL").select("owner_id", "owner_sk").distinct()
     return joins.sk_lookup(out, owners, "owner_id", "owner_id", "owner_sk")
 

@@ -9,13 +9,13 @@ from ledgerloom.functions.dates import clean_date, day, month_first, recency
 from ledgerloom.functions.geo import clean_coordinate
 from ledgerloom.functions.logic import flag, money
 from ledgerloom.functions.nested import json_path
-from ledgerloom.functions.text import empty_to_null, pseudonymise, split_part, typed
-from ledgerloom.models.warehouse import Warehouse, model
+from ledgerloom.functions.text import empty_to_null, norm_name, pseudonymise, split_part, typed
+from ledgerloom.models.warehouse import Warehouse, incremental, model
 from ledgerloom.operators import crm as crm_ops
 from ledgerloom.operators import joins, portal
 from ledgerloom.operators.aggregate import listagg_distinct
 from ledgerloom.operators.ordered import first_per_key
-from ledgerloom.operators.project import pivot_counts, with_unknown
+from ledgerloom.operators.project import count_map, with_unknown
 from ledgerloom.operators.ranks import surrogate_rank
 from ledgerloom.sources.build import latest_batch
 
@@ -75,9 +75,8 @@ def dim_user(wh: Warehouse) -> DataFrame:
     answers = wh.source("crm", "feedback_submissions").select(typed(c("contact_id"), "bigint").alias("crm_contact_id"), c("survey"),
                                                                typed(c("result"), "int").alias("result"))
     out = crm_ops.feedback(answers, wh.ref("staging_crm_contacts"), "crm_contact_id", {"faq": "Frequently asked questions", "effort": "Customer effort score"})
-    companies = wh.ref("dim_company")
-    out = joins.sk_lookup(out, companies.where("company_id IS NOT NULL"), "company_id", "company_id", "company_sk")
-    second = companies.where("portal_company_id IS NOT NULL").select("portal_company_id", c("company_sk").alias("portal_company_sk"))
+    out = joins.sk_lookup(out, wh.ref("dim_company").where("company_id IS NOT NULL"), "company_id", "company_id", "company_sk")
+    second = wh.ref("portal_company_keys").select("portal_company_id", c("company_sk").alias("portal_company_sk"))
     out = joins.sk_lookup(out, second, "portal_company_id", "portal_company_id", "portal_company_sk")
     out = out.withColumn("_key", F.coalesce(c("crm_contact_id").cast("string"), F.concat(c("portal_user_id").cast("string"), F.lit("ID"))))
     return surrogate_rank(out, ["_key"], "user_sk").drop("_key")
@@ -112,8 +111,9 @@ def staging_datasources(wh: Warehouse) -> DataFrame:
     fed = events.groupBy("data_source_id").agg(F.max("entry_date").alias("last_ingestion")).join(
         listagg_distinct(events, ["data_source_id"], "data_handler", ";", "handlers"), "data_source_id")
     devices = wh.source("portal", "device").where("physical_device_id IS NULL").select("data_source_id", c("type").alias("device_type"))
-    counts = pivot_counts(devices, ["data_source_id"], "device_type", "devices_")
-    kinds = listagg_distinct(devices, ["data_source_id"], "device_type", ";", "device_types")
+    counts = count_map(devices, ["data_source_id"], "device_type", "devices")
+    kinds = listagg_distinct(devices, ["data_source_id"], "device_type", ";", "device_types").join(devices.groupBy("data_source_id").agg(
+        F.count(F.lit(1)).alias("n_devices"), F.bool_or(c("device_type").isin(*wh.rules.smart_meter_types)).alias("has_smart_meter")), "data_source_id")
     live = wh.source("portal", "datasource").where("lower(status) <> 'inactive' AND deleted_at IS NULL").select(
         "data_source_id", "site_id", clean_date(c("created_at"), floor=DATE_FLOOR).alias("create_date"))
     out = live.join(counts, "data_source_id").join(kinds, "data_source_id").join(fed, "data_source_id", "left")
@@ -130,26 +130,46 @@ def staging_datasource_events(wh: Warehouse) -> DataFrame:
         money(c("duration_ms")).alias("duration_ms"), money(c("data_size")).alias("size"), c("count_entries").alias("entries"))
 
 
+def _file_portal(wh: Warehouse, table: str) -> DataFrame:
+    """Sites of a portal that is known from files: the last row of each site, its country by name."""
+    rows = first_per_key(wh.source("files", table), ["site_id"], [c("updated").desc_nulls_last()])
+    names = wh.ref("staging_countries").where("name IS NOT NULL").groupBy(F.lower("name").alias("_name")).agg(F.min("country_id").alias("country"))
+    out = rows.join(names, F.lower(F.trim("country_name")) == c("_name"), "left")
+    return out.select("site_id", "site_name", "company_name", F.coalesce("country", F.lit(-1)).alias("country"), typed(c("capacity"), "double").alias("capacity"),
+                      F.lit(DATE_FLOOR).cast("date").alias("create_date"), recency(c("updated"), wh.today).alias("status"), F.lit(False).alias("is_live"),
+                      typed(c("devices"), "bigint").alias("n_devices"))
+
+
+@model("staging_first_portal", "table")
+def staging_first_portal(wh: Warehouse) -> DataFrame:
+    return _file_portal(wh, "portal_first")
+
+
+@model("staging_third_portal", "table")
+def staging_third_portal(wh: Warehouse) -> DataFrame:
+    return _file_portal(wh, "portal_third")
+
+
 @model("dim_site", "table")
 def dim_site(wh: Warehouse) -> DataFrame:
-    """One row per site of all portals."""
-    second = wh.ref("staging_sites").select("site_id", "site_name", c("portal_company_id").alias("company_id"), c("country_id").alias("country"), "capacity",
-                                            "create_date", "is_live", "status")
-    number = {"first": "portal_first", "third": "portal_third"}
-    others = {}
-    for tag, table in number.items():
-        rows = first_per_key(wh.source("files", table), ["site_id"], [c("updated").desc_nulls_last()])
-        others[tag] = rows.select("site_id", "site_name", typed(c("capacity"), "double").alias("capacity"), clean_date(c("created"), floor=DATE_FLOOR).alias("create_date"),
-                                  recency(c("updated"), wh.today).alias("status"), F.lit(False).alias("is_live"),
-                                  F.lit(None).cast("bigint").alias("company_id"), F.lit(None).cast("bigint").alias("country"))
-    companies = wh.ref("dim_company").where("portal_company_id IS NOT NULL").select(c("portal_company_id").alias("company_id"), "company_sk")
+    """One row per site of all portals, with what its data sources add up to. Sites of the first portal find their company by name."""
+    sources = wh.ref("staging_datasources")
+    rolled = sources.groupBy("site_id").agg(F.sum("n_devices").alias("n_devices"), F.bool_or("has_smart_meter").alias("has_smart_meter"))
+    for column in ("handlers", "device_types"):
+        rolled = rolled.join(listagg_distinct(sources.where(c(column).isNotNull()), ["site_id"], column, ";", column), "site_id", "left")
+    second = wh.ref("staging_sites").select("site_id", "site_name", c("portal_company_id").cast("string").alias("company_id"), c("country_id").alias("country"), "capacity",
+                                            "create_date", "is_live", "status").join(rolled, "site_id", "left")
+    first = wh.ref("staging_first_portal").withColumn("company_id", F.concat(F.lit("name:"), norm_name(c("company_name")))).drop("company_name")
+    third = wh.ref("staging_third_portal").withColumn("company_id", F.lit(None).cast("string")).drop("company_name")
+    keys = wh.ref("company_members").join(wh.ref("dim_company").select("entity_system", "entity_id", "company_sk"), ["entity_system", "entity_id"])
+    companies = keys.where("system <> 'crm'").select(F.when(c("system") == "first", F.concat(F.lit("name:"), c("record_id"))).otherwise(c("record_id")).alias("company_id"), "company_sk")
     countries = wh.ref("dim_country").select(c("country_id").alias("country"), "country_sk")
-    return portal.site_dim({"first": others["first"], "second": second, "third": others["third"]}, companies, countries)
+    return portal.site_dim({"first": first, "second": second, "third": third}, companies, countries)
 
 
 @model("fact_site_ingestions", "table")
 def fact_site_ingestions(wh: Warehouse) -> DataFrame:
-    companies = wh.ref("dim_company").where("portal_company_id IS NOT NULL").select(c("portal_company_id").alias("company_id"), "company_sk")
+    companies = wh.ref("portal_company_keys").select(c("portal_company_id").alias("company_id"), "company_sk")
     sites = wh.ref("dim_site").where("portal = 'second'").select("site_id", "site_sk")
     return portal.ingestions(wh.ref("staging_datasource_events"), companies, sites)
 
@@ -161,13 +181,18 @@ def mart_company_ingestions(wh: Warehouse) -> DataFrame:
         F.sum("entries").alias("entries"))
 
 
+@incremental("staging_api_tracking", "portal_tracking", "api_tracking", ts="event_date", day="day")
+def staging_api_tracking(wh: Warehouse, rows: DataFrame) -> DataFrame:
+    """Queries per user and day with the user's company. The log is read once: later runs read only later days."""
+    users = wh.source("portal", "user").select(c("id").alias("user_id"), c("customer_id").alias("portal_company_id"))
+    daily = rows.groupBy(day(c("event_date")).alias("day"), "user_id").agg(F.count(F.lit(1)).alias("count_queries"))
+    return daily.join(users, "user_id", "left")
+
+
 @model("fact_api_tracking")
 def fact_api_tracking(wh: Warehouse) -> DataFrame:
-    """Queries per user and day with the company key (the incremental load keeps the daily counts)."""
-    users = wh.source("portal", "user").select(c("id").alias("user_id"), c("customer_id").alias("portal_company_id"))
-    daily = wh.source("portal_tracking", "api_tracking").groupBy(day(c("event_date")).alias("day"), "user_id").agg(F.count(F.lit(1)).alias("count_queries"))
-    companies = wh.ref("dim_company").where("portal_company_id IS NOT NULL")
-    return joins.sk_lookup(daily.join(users, "user_id", "left"), companies, "portal_company_id", "portal_company_id", "company_sk")
+    """Queries per user and day with the company key."""
+    return joins.sk_lookup(wh.ref("staging_api_tracking"), wh.ref("portal_company_keys"), "portal_company_id", "portal_company_id", "company_sk")
 
 
 @model("staging_cloud_costs", "table")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.context import new_folder, tune
+from ledgerloom.sources.incremental import incremental_append
 
 
 @dataclass
@@ -26,6 +28,7 @@ class Rules:
     country_fixes: dict[str, int] = field(default_factory=dict)
     payroll_contacts: tuple[str, ...] = ("Salary", "Salary tax / social security")
     own_company_ids: tuple[int, ...] = ()
+    smart_meter_types: tuple[str, ...] = ("meter",)
     domestic_country: str = "Germany"
     quiet_ticket_stages: tuple[str, ...] = ("Closed", "Archived")
     service_hours: dict[str, tuple[int, int]] = field(default_factory=lambda: {"Partner": (8, 17), "Support": (10, 16)})
@@ -38,7 +41,7 @@ MODELS: dict[str, tuple[Model, str]] = {}
 
 
 def model(name: str, kind: str = "view"):
-    """``kind`` is 'table' for models worth storing and 'view' for the others."""
+    """``kind`` is 'table' for models worth storing and 'view' for the others; see ``incremental`` for the third kind."""
     def register(fn: Model) -> Model:
         if name in MODELS:
             raise ValueError(f"model {name} exists")
@@ -47,14 +50,39 @@ def model(name: str, kind: str = "view"):
     return register
 
 
+@dataclass(frozen=True)
+class Load:
+    """What an incremental model reads: a relation, its time column, and the day column of its own rows."""
+
+    group: str
+    table: str
+    ts: str
+    day: str
+
+
+LOADS: dict[str, Load] = {}
+
+
+def incremental(name: str, group: str, table: str, ts: str, day: str):
+    """A model that keeps its rows between runs and reads only days after the newest it has. ``fn(wh, rows)`` builds its rows from
+    those new ones; it must not mix days."""
+    def register(fn: Callable[["Warehouse", DataFrame], DataFrame]):
+        model(name, "incremental")(fn)
+        LOADS[name] = Load(group, table, ts, day)
+        return fn
+    return register
+
+
 class Warehouse:
     """Resolves sources, snapshots and other models. ``source(group, table)`` returns raw relations;
     snapshots are row histories with ``valid_from`` / ``valid_to`` (NULL while open)."""
 
     def __init__(self, spark: SparkSession, source: Callable[[str, str], DataFrame], snapshots: dict[str, DataFrame],
-                 as_of: dt.date, rules: Rules | None = None, store_tables: bool = True):
+                 as_of: dt.date, rules: Rules | None = None, store_tables: bool = True, state: str | None = None):
+        """``state`` is the folder in which incremental models keep their rows between runs; without one they load everything."""
         self.spark, self._source, self._snapshots = tune(spark), source, snapshots
         self.as_of, self.rules, self._store = as_of, rules or Rules(), store_tables
+        self._state = state or new_folder(spark, "warehouse-state")
         self._done: dict[str, DataFrame] = {}
 
     def source(self, group: str, table: str) -> DataFrame:
@@ -72,7 +100,11 @@ class Warehouse:
         what several models share is computed once and survives lost executors."""
         if name not in self._done:
             fn, kind = MODELS[name]
-            df = fn(self)
+            if kind == "incremental":
+                load = LOADS[name]
+                df = incremental_append(self.source(load.group, load.table), os.path.join(self._state, name), load.ts, load.day, lambda rows: fn(self, rows))
+            else:
+                df = fn(self)
             if kind == "table" and self._store:
                 path = new_folder(self.spark, name)
                 df.write.parquet(path)

@@ -15,7 +15,7 @@ from ledgerloom.operators.calendar import date_dim, with_holidays, working_minut
 from ledgerloom.operators.joins import time_span
 from ledgerloom.operators.project import current
 from ledgerloom.plans.registry import query
-from ledgerloom.plans.shapes import RATE_HIST, STAGE_HIST, event_chunk, rate_hist, stage_hist
+from ledgerloom.plans.shapes import RATE_HIST, STAGE_HIST, hot_entities, rate_hist, stage_hist
 
 c = F.col
 STAGES = ["purchase", "signup", "view", "click", "error"]
@@ -120,7 +120,7 @@ SELECT entity_id, stage, CAST(coalesce(own, first_date) AS DATE) AS valid_from,
    CASE WHEN own IS NOT NULL THEN dense_rank() OVER (PARTITION BY entity_id ORDER BY CASE WHEN own IS NOT NULL THEN ord END NULLS LAST) END AS date_indicator
 FROM l WHERE ord <= reached""", text="valid_from")
 def i18(ctx: Context) -> DataFrame:
-    return sales.funnel(stage_hist(ctx), "entity_id", "stage", ["view", "click", "signup", "purchase"], event_chunk(ctx))
+    return sales.funnel(stage_hist(ctx), "entity_id", "stage", ["view", "click", "signup", "purchase"], hot_entities(ctx))
 
 
 @query("i19_kpi_long", f"""
@@ -144,7 +144,7 @@ UNION ALL SELECT week, 'Meetings', 'Meetings per week', mt FROM wk UNION ALL SEL
 def i19(ctx: Context) -> DataFrame:
     values = ctx.table("events").select("event_id", "value")
     hist = stage_hist(ctx).join(values, "event_id")
-    stages = sales.stage_kpis(hist, "entity_id", "stage", "value", STAGES[:4], event_chunk(ctx))
+    stages = sales.stage_kpis(hist, "entity_id", "stage", "value", STAGES[:4], hot_entities(ctx))
     kind = F.when(c("event_type") == "view", "MEETING").when(c("event_type") == "click", "CALL").otherwise("NOTE")
     events = ctx.table("events").where("event_type <> 'error'").withColumn("kind", kind)
     weekly = sales.engagement_kpis(events, "ts", "event_id", "kind", c("value") > 90, c("value") < 10)
