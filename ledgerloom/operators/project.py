@@ -60,27 +60,36 @@ def union_all(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def bounded_values(df: DataFrame, column: Column, limit: int = 10_000) -> list:
-    """Distinct values for schema building, sorted. More than ``limit`` is an error, never a cut."""
-    found = [r[0] for r in df.select(column.alias("v")).where("v IS NOT NULL").distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} distinct values cannot become columns")
-    return sorted(found)
+def _declared(value: Column, values: list, what: str) -> Column:
+    """``value``, an error if it is none of ``values``."""
+    known = value.isNull() | value.isin(*values)
+    return F.when(known, value).otherwise(F.raise_error(F.concat(F.lit(f"no column is declared for {what} "), value.cast("string"))).cast("string"))
 
 
-def pivot_counts(df: DataFrame, keys: list[str], column: str, prefix: str) -> DataFrame:
-    """One count column per value found in the data, 0 where a key has none."""
-    values = bounded_values(df, F.col(column))
-    return df.groupBy(*keys).agg(
-        *[F.count_if(F.col(column) == F.lit(v)).alias(f"{prefix}{v}") for v in values])
+def pivot_counts(df: DataFrame, keys: list[str], column: str, prefix: str, values: list[str]) -> DataFrame:
+    """One count column for each declared value, 0 where a key has none. Columns are a contract, so a value that is not declared is an
+    error; ``count_map`` takes any values."""
+    told = df.withColumn(column, _declared(F.col(column), values, column))
+    return told.groupBy(*keys).agg(*[F.count_if(F.col(column) == F.lit(v)).alias(f"{prefix}{v}") for v in values])
 
 
-def list_flags(df: DataFrame, column: str, sep: str, prefix: str = "has_") -> DataFrame:
-    """One boolean column per value found in a delimited list column."""
+def count_map(df: DataFrame, keys: list[str], column: str, name: str) -> DataFrame:
+    """Counts of all values of a key as one map column, whatever values there are. Rows are counted before they meet, so a task holds a key's
+    different values and nothing more."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(column), F.col("_n"))))).alias(name))
+
+
+def list_values(df: DataFrame, keys: list[str], column: str, sep: str, name: str) -> DataFrame:
+    """A delimited list column in long form: each different value of a row once."""
+    parts = F.array_distinct(F.split(F.col(column), f"\\Q{sep}\\E"))
+    return df.select(*keys, F.explode(parts).alias(name))
+
+
+def list_flags(df: DataFrame, column: str, sep: str, values: list[str], prefix: str = "has_") -> DataFrame:
+    """One boolean column for each declared value of a delimited list column; other values have none. ``list_values`` takes any."""
     parts = F.split(F.col(column), f"\\Q{sep}\\E")
-    values = bounded_values(df, F.explode(parts))
-    return df.select("*", *[F.coalesce(F.array_contains(parts, v), F.lit(False)).alias(f"{prefix}{v}")
-                            for v in values])
+    return df.select("*", *[F.coalesce(F.array_contains(parts, v), F.lit(False)).alias(f"{prefix}{v}") for v in values])
 
 
 def dense_grid(df: DataFrame, name: str, values: list) -> DataFrame:

@@ -11,8 +11,7 @@ from ledgerloom.functions.dates import week_first
 from ledgerloom.functions.keys import surrogate_md5
 from ledgerloom.functions.logic import money
 from ledgerloom.operators.aggregate import rollup_on
-from ledgerloom.operators.ordered import collapse_islands, first_per_key, neighbours, with_first_last
-from ledgerloom.operators.project import bounded_values
+from ledgerloom.operators.ordered import HotKeys, collapse_islands, first_per_key, neighbours, with_first_last
 
 ALL = "All (aggregated)"
 
@@ -31,20 +30,20 @@ def period_start(index: Column, start: dt.date, interval: str) -> Column:
 
 def cohort_sizes(deals: DataFrame, start: dt.date, interval: str, as_of: dt.date) -> DataFrame:
     """Deals per creation period and size class, every period up to ``as_of``, with a total per period."""
-    periods, classes = _axes(deals, start, interval, as_of)
+    periods = _periods(start, interval, as_of)
     idx = period_index(F.col("created_at"), start, interval)
     counts = rollup_on(deals.select(idx.alias("cohort_no"), "size_class"), ["cohort_no"], "size_class",
                        [F.count(F.lit(1)).alias("n")], ALL)
-    grid = (deals.sparkSession.range(periods).select(F.col("id").cast("int").alias("cohort_no"))
-            .withColumn("size_class", F.explode(F.array(*[F.lit(c) for c in [*classes, ALL]]))))
+    # the classes are rows, so there may be any number of them; the calendar is a sequence beside each
+    classes = deals.select("size_class").where("size_class IS NOT NULL").union(deals.sparkSession.range(1).select(F.lit(ALL))).distinct()
+    grid = classes.select(F.explode(F.sequence(F.lit(0), F.lit(periods - 1))).alias("cohort_no"), "size_class")
     return grid.join(counts, ["cohort_no", "size_class"], "left").select(
         "cohort_no", "size_class", F.coalesce("n", F.lit(0)).alias("cohort_size"))
 
 
-def _axes(deals: DataFrame, start: dt.date, interval: str, as_of: dt.date) -> tuple[int, list[str]]:
+def _periods(start: dt.date, interval: str, as_of: dt.date) -> int:
     days = (as_of - start).days
-    periods = days // 7 + 1 if interval == "week" else (as_of.year - start.year) * 12 + as_of.month - start.month + 1
-    return periods, bounded_values(deals, F.col("size_class"))
+    return days // 7 + 1 if interval == "week" else (as_of.year - start.year) * 12 + as_of.month - start.month + 1
 
 
 def stage_events(deals: DataFrame, stages: list[str], won: list[str], lost: list[str]) -> DataFrame:
@@ -76,7 +75,7 @@ def deal_cohorts(deals: DataFrame, stages: list[str], won: list[str], lost: list
     only joins are with the dense matrix, whose size depends on the calendar and not on the deals."""
     deals = deals.where(F.col("created_at") >= F.lit(start)).withColumn(
         "size_class", F.coalesce("size_class", F.lit("(none)")))
-    periods, classes = _axes(deals, start, interval, as_of)
+    periods = _periods(start, interval, as_of)
     events = stage_events(deals, stages, won, lost)
     cohort = period_index(F.col("created_at"), start, interval)
     events = events.select(cohort.alias("cohort_no"), (period_index(F.col("stage_at"), start, interval) - cohort)
@@ -114,14 +113,14 @@ def with_open(cohorts: DataFrame) -> DataFrame:
         "cohort_period", "period_delta", "cohort_type", "size_class")]))
 
 
-def funnel(hist: DataFrame, key: str, state: str, stages: list[str], chunk: Column | None,
+def funnel(hist: DataFrame, key: str, state: str, stages: list[str], hot: HotKeys | None,
            order: list[str] | None = None) -> DataFrame:
     """Funnel entries per deal: the last time each stage was entered; stages skipped on the way get the
     deal's first date but no rank.
 
     After the islands everything is one aggregation per deal: the rank of a stage is the number of stages
     actually entered up to it, so no window is needed."""
-    islands = collapse_islands(hist, [key], [state], "valid_from", "valid_to", chunk, order)
+    islands = collapse_islands(hist, [key], [state], "valid_from", "valid_to", hot, order)
     at = [F.max(F.when(F.col(state) == s, F.col("valid_from").cast("date"))).alias(f"_s{i}") for i, s in enumerate(stages)]
     wide = islands.where(F.col(state).isin(*stages)).groupBy(key).agg(
         F.min("valid_from").cast("date").alias("_first"), *at)
@@ -137,15 +136,15 @@ def funnel(hist: DataFrame, key: str, state: str, stages: list[str], chunk: Colu
     return out.where("valid_from IS NOT NULL")
 
 
-def stage_kpis(hist: DataFrame, key: str, state: str, value: str, stages: list[str], chunk: Column | None,
+def stage_kpis(hist: DataFrame, key: str, state: str, value: str, stages: list[str], hot: HotKeys | None,
                order: list[str] | None = None) -> DataFrame:
     """Per week and stage entered: deals, their value and the mean days until the next stage, in long form.
     The value of a deal in a stage is its latest one there."""
     order = order or ["valid_from", "valid_to"]
     hist = with_first_last(hist, [key, state], order, last={"_value": value})
-    islands = collapse_islands(hist, [key], [state], "valid_from", "valid_to", chunk, order, also=["_value"])
+    islands = collapse_islands(hist, [key], [state], "valid_from", "valid_to", hot, order, also=["_value"])
     islands = islands.where(F.col(state).isin(*stages))
-    islands = neighbours(islands, [key], ["valid_from", state], chunk, following={"_next": "valid_from"})
+    islands = neighbours(islands, [key], ["valid_from", state], hot, following={"_next": "valid_from"})
     days = F.date_diff(F.col("_next").cast("date"), F.col("valid_from").cast("date"))
     week = islands.groupBy(week_first(F.col("valid_from")).alias("week"), state).agg(
         F.count_distinct(key).cast("double").alias("Deals in "),

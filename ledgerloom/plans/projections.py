@@ -141,18 +141,30 @@ SELECT user_id, count(*) FILTER (WHERE event_type = 'click') AS num_click,
   count(*) FILTER (WHERE event_type = 'signup') AS num_signup, count(*) FILTER (WHERE event_type = 'view') AS num_view
 FROM events GROUP BY user_id""")
 def p11(ctx: Context) -> DataFrame:
-    return project.pivot_counts(ctx.table("events"), ["user_id"], "event_type", "num_")
+    return project.pivot_counts(ctx.table("events"), ["user_id"], "event_type", "num_", EVENT_TYPES)
+
+
+# The event types that have a column of their own.
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+@query("p11_count_map", """
+SELECT user_id, value_, n FROM (SELECT user_id, k AS value_, count(*) AS n FROM (SELECT user_id, CAST(CAST(value * 100 AS BIGINT) AS VARCHAR) AS k FROM events) GROUP BY ALL)""")
+def p11_map(ctx: Context) -> DataFrame:
+    """Counts for values nobody declared, many thousands of them, as one map a user; shown as its entries."""
+    events = ctx.table("events").select("user_id", F.round(F.col("value") * 100).cast("bigint").cast("string").alias("cents"))
+    return project.count_map(events, ["user_id"], "cents", "counts").select("user_id", F.explode("counts").alias("value_", "n"))
 
 
 @query("p12_multivalue_flags", """
 SELECT 'has_' || word AS flag, (SELECT count(*) FROM part) AS parts, count(DISTINCT p_partkey) AS parts_with
 FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part) t GROUP BY word""")
 def p12(ctx: Context) -> DataFrame:
-    """One flag column per word found in the data, then counted per flag."""
-    flags = project.list_flags(ctx.table("part").select("p_partkey", "p_name"), "p_name", " ")
-    names = [c for c in flags.columns if c.startswith("has_")]
-    long = flags.unpivot(["p_partkey"], names, "flag", "is_set")
-    return long.groupBy("flag").agg(F.count(F.lit(1)).alias("parts"), F.count_if("is_set").alias("parts_with"))
+    """Every word of a name is a flag of the part, however many words there are: counted in long form."""
+    parts = ctx.table("part").select("p_partkey", "p_name")
+    words = project.list_values(parts, ["p_partkey"], "p_name", " ", "word")
+    return words.groupBy(F.concat(F.lit("has_"), "word").alias("flag")).agg(
+        F.lit(parts.count()).alias("parts"), F.count_distinct("p_partkey").alias("parts_with"))
 
 
 @query("p13_unknown_member", """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, geo, logic, text
 from ledgerloom.operators import aggregate, calendar, history, joins, people, project, quality, ranks
-from ledgerloom.operators.ordered import HOT_KEY_ROWS, HotKeys, collapse_islands, find_hot_keys, neighbours, time_chunk
+from ledgerloom.operators.ordered import HOT_KEY_ROWS, collapse_islands, hot_keys, neighbours
 from ledgerloom.operators.schedule import schedule
 from ledgerloom.sources.build import extract, latest_batch
 from ledgerloom.sources.catalog import GROUPS, Catalog
@@ -46,26 +46,31 @@ def test_dates(spark):
     assert one(spark, dates.clock_minutes(F.lit("24:00")), dates.clean_date(F.lit("0001-01-01"), "0001-01-01", "2006-01-01")) == (1439, None)
 
 
-@pytest.mark.parametrize("chunked", [False, True])
-def test_islands(spark, chunked):
-    """NULL is a state of its own, a revisited state a new island, and islands run across chunk borders."""
+def all_hot(spark, key, df):
+    spark.conf.set(HOT_KEY_ROWS, "0")
+    try:
+        return hot_keys(key, df)
+    finally:
+        spark.conf.unset(HOT_KEY_ROWS)
+
+
+@pytest.mark.parametrize("cut", [False, True])
+def test_islands(spark, cut):
+    """NULL is a state of its own, a revisited state a new island, and islands run across the borders of ranges."""
     df = versions(spark, [(1, "a", D(2024, 1, 1), D(2024, 1, 20)), (1, "a", D(2024, 1, 20), D(2024, 2, 10)), (1, "a", D(2024, 2, 10), D(2024, 2, 11)),
                           (1, None, D(2024, 2, 11), D(2024, 2, 12)), (1, None, D(2024, 2, 12), D(2024, 3, 1)), (1, "a", D(2024, 3, 1), None),
                           (2, "b", D(2024, 1, 5), D(9999, 12, 31))])
-    chunk = HotKeys((1, 2)).chunk("k", time_chunk("valid_from", "month")) if chunked else None
-    out = collapse_islands(df, ["k"], ["stage"], "valid_from", "valid_to", chunk, count="n")
+    hot = all_hot(spark, "k", df) if cut else None
+    out = collapse_islands(df, ["k"], ["stage"], "valid_from", "valid_to", hot, count="n")
     got = {(r.k, r.stage, r.valid_from, r.valid_to, r.n) for r in out.collect()}
     assert got == {(1, "a", D(2024, 1, 1), D(2024, 2, 11), 3), (1, None, D(2024, 2, 11), D(2024, 3, 1), 2), (1, "a", D(2024, 3, 1), None, 1),
                    (2, "b", D(2024, 1, 5), D(9999, 12, 31), 1)}
-    assert collapse_islands(df.limit(0), ["k"], ["stage"], "valid_from", "valid_to", chunk).count() == 0
+    assert collapse_islands(df.limit(0), ["k"], ["stage"], "valid_from", "valid_to", hot).count() == 0
 
 
 def test_neighbours_with_null_key(spark):
     df = spark.createDataFrame([(None, D(2024, 1, 1), 1), (None, D(2024, 2, 1), 2), (7, D(2024, 1, 1), 3), (7, D(2024, 2, 1), 4)], "k int, d date, v int")
-    spark.conf.set(HOT_KEY_ROWS, "0")
-    chunk = find_hot_keys("k", df).chunk("k", time_chunk("d", "month"))
-    spark.conf.unset(HOT_KEY_ROWS)
-    out = neighbours(df, ["k"], ["d"], chunk, previous={"p": "v"}, following={"n": "v"})
+    out = neighbours(df, ["k"], ["d"], all_hot(spark, "k", df), previous={"p": "v"}, following={"n": "v"})
     assert {(r.v, r.p, r.n) for r in out.collect()} == {(1, None, 2), (2, 1, None), (3, None, 4), (4, 3, None)}
 
 
@@ -203,11 +208,18 @@ def test_latest_batch_and_masks(spark):
     assert tuple(hidden.first()) == ("**********", 0.0, 0) and tuple(project.mask(people_, {"name": "p"}, "admin", {"p": {"admin"}}).first())[0] == "Ann"
 
 
-def test_columns_from_data_never_cut(spark):
-    with pytest.raises(ValueError):
-        project.bounded_values(spark.range(20).toDF("v"), F.col("v"), limit=10)
-    flags = project.list_flags(spark.createDataFrame([("a;b",), (None,), ("",)], "l string"), "l", ";")
-    assert {c for c in flags.columns} == {"l", "has_", "has_a", "has_b"}
+def test_columns_are_declared_and_values_never_cut(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "k int, v string")
+    assert rows(project.pivot_counts(df, ["k"], "v", "n_", ["b", "a"]), "k", "n_a", "n_b") == [(1, 1, 1), (2, 0, 0)]
+    with pytest.raises(Exception, match="no column is declared for v b"):
+        project.pivot_counts(df, ["k"], "v", "n_", ["a"]).collect()
+    many = spark.range(40_000).selectExpr("1 AS k", "concat('v', id % 20000) AS v")
+    found = project.count_map(many, ["k"], "v", "n").first().n
+    assert len(found) == 20_000 and set(found.values()) == {2}
+    lists = many.groupBy("k").agg(F.array_join(F.collect_list("v"), ";").alias("l"))
+    assert project.list_values(lists, ["k"], "l", ";", "v").count() == 20_000
+    flags = project.list_flags(spark.createDataFrame([("a;b",), (None,), ("",)], "l string"), "l", ";", ["", "a", "b"])
+    assert rows(flags, "has_", "has_a", "has_b") == [(False, False, False), (False, True, True), (True, False, False)]
 
 
 def test_listagg_and_rollup(spark):
