@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.token_files import small_batches
-from ledgerloom.llm.tokens import WIDTH, PieceCache, kept, tokenizer_path
+from ledgerloom.llm.tokens import WIDTH, PieceTable, byte_letters, kept, portions_of, sums_of, tokenizer_path
+from ledgerloom.llm.words import word_spans
 
 # Fixed value: the pattern by which byte-level vocabularies of this kind cut a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -26,14 +27,6 @@ _CONTROLS = re.compile("[\x1c-\x1f]")
 _OTHER_BLANKS = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 
 
-def byte_letters() -> list[str]:
-    """The printable letter that stands for each byte in such vocabularies: itself where it is printable, else the next one above 255."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = (b for b in range(256) if b not in plain)
-    above = {b: 256 + i for i, b in enumerate(others)}
-    return [chr(above.get(b, b)) for b in range(256)]
-
-
 class Merges:
     """Ranks of pairs as sorted keys, and what each merge makes."""
 
@@ -97,6 +90,54 @@ def merge(symbols: np.ndarray, lengths: np.ndarray, merges: Merges) -> np.ndarra
     return alive[:, :width]
 
 
+def merge_one(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+    """The same for one long piece, in plain Python: a step touches three leaves and the nodes above them, and stops where nothing
+    changes. ``pairs`` has the rank of a pair and what it makes."""
+    n = len(symbols)
+    size = 1 << max(0, (n - 2).bit_length())
+    tree = [_NONE] * (2 * size)
+    after, before = [*range(1, n), -1], [-1, *range(n - 1)]
+    for i in range(n - 1):
+        known = pairs.get((symbols[i], symbols[i + 1]))
+        if known:
+            tree[size + i] = known[0] << _PLACE | i
+    for k in range(size - 1, 0, -1):
+        tree[k] = min(tree[2 * k], tree[2 * k + 1])
+
+    def renew(i: int) -> None:
+        j = after[i]
+        known = pairs.get((symbols[i], symbols[j])) if j >= 0 else None
+        put(i, known[0] << _PLACE | i if known else _NONE)
+
+    def put(i: int, value: int) -> None:
+        k = size + i
+        tree[k] = value
+        while k > 1:
+            k >>= 1
+            least = min(tree[2 * k], tree[2 * k + 1])
+            if tree[k] == least:
+                break
+            tree[k] = least
+    while tree[1] != _NONE:
+        i = tree[1] & (1 << _PLACE) - 1
+        gone = after[i]
+        symbols[i] = pairs[symbols[i], symbols[gone]][1]
+        after[i] = after[gone]
+        if after[gone] >= 0:
+            before[after[gone]] = i
+        if gone < n - 1:
+            put(gone, _NONE)
+        if i < n - 1:
+            renew(i)
+        if before[i] >= 0:
+            renew(before[i])
+    out, i = [], 0
+    while i >= 0:
+        out.append(symbols[i])
+        i = after[i]
+    return out
+
+
 class ByteBpe:
     """Encoder and decoder for a vocabulary file of the tokenizers library with byte-level BPE."""
 
@@ -106,7 +147,9 @@ class ByteBpe:
         vocab, letters = told["model"]["vocab"], byte_letters()
         base = max(vocab.values()) + 1
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in told["model"]["merges"]]
-        self.merges = Merges([(vocab[a], vocab[b]) for a, b in pairs], [vocab[a + b] for a, b in pairs], base)
+        ids, made = [(vocab[a], vocab[b]) for a, b in pairs], [vocab[a + b] for a, b in pairs]
+        self.merges = Merges(ids, made, base)
+        self._ranked = lambda: {pair: (rank, new) for rank, (pair, new) in reversed(list(enumerate(zip(ids, made, strict=True))))}
         self.first = np.array([vocab[x] for x in letters], np.int64)
         self.special = {t["content"]: t["id"] for t in told.get("added_tokens", [])}
         places = {x: b for b, x in enumerate(letters)}
@@ -118,7 +161,7 @@ class ByteBpe:
         self.cut = regex.compile(PATTERN)
         longest_first = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(longest_first) + ")") if longest_first else None
-        self.cache = PieceCache(self._encode)
+        self.table, self.pairs = PieceTable(lambda pieces: self._encode([x.decode() for x in pieces])), None
 
     def _encode(self, pieces: list[str]) -> Iterable[bytes]:
         parts = [self.cut.findall(p) for p in pieces]
@@ -126,10 +169,14 @@ class ByteBpe:
         known = dict(zip(distinct, self._merged([x.encode() for x in distinct]), strict=True))
         return (known[cut[0]] if len(cut) == 1 else b"".join([known[x] for x in cut]) for cut in parts)
 
-    def _merged(self, parts: list[bytes], cells: int = 1 << 18) -> list[bytes]:
-        """ids of parts that no merge crosses. Parts of like lengths share a step; at most ``cells`` symbols stand in memory beside a single part."""
+    def _merged(self, parts: list[bytes], cells: int = 1 << 18, alone: int = 2000) -> list[bytes]:
+        """ids of parts that no merge crosses. Parts of like lengths share a step; at most ``cells`` symbols stand in memory beside a single part.
+        Parts of more than ``alone`` bytes go one by one."""
         out: list[bytes] = [b""] * len(parts)
-        by_length = sorted(range(len(parts)), key=lambda i: len(parts[i]))
+        for i in (i for i, x in enumerate(parts) if len(x) > alone):
+            self.pairs = self.pairs or self._ranked()
+            out[i] = np.asarray(merge_one(self.first[np.frombuffer(parts[i], np.uint8)].tolist(), self.pairs), "<u4").tobytes()
+        by_length = sorted((i for i in range(len(parts)) if len(parts[i]) <= alone), key=lambda i: len(parts[i]))
         at = 0
         while at < len(by_length):
             width = 1 << (len(parts[by_length[at]]) - 1).bit_length() | 1
@@ -150,16 +197,53 @@ class ByteBpe:
         odd = _OTHER_BLANKS.search(text) if not text.isascii() else _CONTROLS.search(text)
         return self.cut.findall(text) if odd else _RUNS.findall(text)
 
+    def _odd(self, text: str) -> bool:
+        return any(x in text for x in self.special) or bool(_OTHER_BLANKS.search(text) if not text.isascii() else _CONTROLS.search(text))
+
+    def _encode_odd(self, text: str) -> bytes:
+        """A text with special strings, which become their ids, or with blanks other than the ASCII ones."""
+        parts = self.specials.split(text) if self.specials else [text]
+        marks = [np.asarray([self.special[x]], "<u4").tobytes() for x in parts[1::2]]
+        cut = [self._cut(x) for x in parts[::2]]
+        names = list({p for pieces in cut for p in pieces})
+        known = dict(zip(names, self._encode(names), strict=True))
+        return b"".join(x for mark, pieces in zip((*marks, b""), cut, strict=True) for x in (*map(known.__getitem__, pieces), mark))
+
+    def _slots(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Slots of the pieces of all texts - a word with the blanks ahead of it, or blanks at a text's end - and how many each has."""
+        data, cuts = b"".join(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        starts, ends, n = word_spans(np.frombuffer(data, np.uint8), cuts)
+        first = (np.cumsum(n) - n)[n > 0]
+        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else starts
+        starts[first] = cuts[:-1][n > 0]
+        done = cuts[:-1].copy()
+        done[n > 0] = ends[(np.cumsum(n) - 1)[n > 0]]
+        rest = np.flatnonzero(done < cuts[1:])
+        at = np.cumsum(n)[rest]
+        starts, ends = np.insert(starts, at, done[rest]), np.insert(ends, at, cuts[1:][rest])
+        return self.table.find(data, starts, ends), n + (done < cuts[1:])
+
+    def _each(self, texts: list[str], plain: Callable, odd: Callable) -> list:
+        """``odd`` of the texts that need care, ``plain`` of runs of the others."""
+        is_odd = [self._odd(t) for t in texts]
+        ready = iter([x for part in portions_of([t.encode() for t, o in zip(texts, is_odd, strict=True) if not o]) for x in plain(part)])
+        return [odd(t) if o else next(ready) for t, o in zip(texts, is_odd, strict=True)]
+
+    def _ids(self, texts: list[bytes]) -> list[bytes]:
+        slots, n = self._slots(texts)
+        raw = self.table.ids(slots).tobytes()
+        ends = (WIDTH * np.cumsum(sums_of(self.table.counts(slots), n))).tolist()
+        return [raw[x:y] for x, y in zip([0, *ends], ends)]
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """ids as little-endian unsigned 32-bit integers; special strings in a text become their ids."""
-        parted = [self.specials.split(t) if self.specials and any(s in t for s in self.special) else [t] for t in texts]
-        cut = [[self._cut(x) for x in parts[::2]] for parts in parted]
-        ids = iter(self.cache.found([x for parts in cut for x in parts]))
-        out = []
-        for parts, plain in zip(parted, cut, strict=True):
-            marks = [np.asarray([self.special[x]], "<u4").tobytes() for x in parts[1::2]]
-            out.append(b"".join(x for mark in (*marks, b"") for x in (*next(ids), mark)))
-        return out
+        return self._each(texts, self._ids, self._encode_odd)
+
+    def count_all(self, texts: list[str]) -> list[int]:
+        def counts(part: list[bytes]) -> list[int]:
+            slots, n = self._slots(part)
+            return sums_of(self.table.counts(slots), n).tolist()
+        return self._each(texts, counts, lambda t: len(self._encode_odd(t)) // WIDTH)
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")

@@ -77,7 +77,7 @@ FROM numbered JOIN chosen USING (src, shard)
 
 @register("op4_source_mix", MIX_SQL)
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir), word_count(F.col("text")))
+    return mixing.mix(documents(spark, sf_dir), word_count(F.col("text"))).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 QUALITY_SQL = r"""
@@ -115,7 +115,7 @@ FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN kept USING (doc_id)
 @register("op6_quality_rules", QUALITY_SQL)
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(documents(spark, sf_dir)).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines_failed", "n_words_kept", "base_failed", "kept")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_failed", "n_words_kept")
 
 
 @register("op3_token_files")

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import base64
 import os
+import re
 from collections.abc import Iterator
 
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bpe import ByteBpe, encoded
 from ledgerloom.llm.common import stored
 from ledgerloom.llm.token_files import small_batches
-from ledgerloom.llm.tokens import WIDTH, WordTokens, kept, tokenizer_path
+from ledgerloom.llm.tokens import WordTokens, kept, tokenizer_path
 
 KEY = ["doc_id", "tokenizer"]
 FEED = "doc_id bigint, source string, lang string, tokenizer string, op string, n_tokens bigint, seq bigint"
@@ -26,16 +29,30 @@ def word_tokens(text: Column, tokenizer: str = "word_bpe_49k.json") -> Column:
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = kept(WordTokens, tokenizer_path(tokenizer))
         for batch in texts:
-            yield pa.array([n for i in range(0, len(batch), 256) for n in tokens.count_all(batch.slice(i, 256).to_pylist())], pa.int64())
+            yield pa.array(tokens.count_all(batch.to_pylist()), pa.int64())
     return F.arrow_udf(run, "bigint")(F.coalesce(text, F.lit("")).cast("binary"))
 
 
-def byte_tokens(text: Column, tokenizer: str = "byte_bpe_50k.json") -> Column:
+class _Ranks:
+    """Counts by the tiktoken library, whose ranks are the ids of the same vocabulary. Special strings count as one token each."""
+
+    def __init__(self, path: str, specials: tuple[str, ...]):
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.specials = re.compile("|".join(map(re.escape, specials)))
+
+    def count(self, text: str) -> int:
+        parts = self.specials.split(text)
+        return len(parts) - 1 + sum(len(self.encoding.encode_ordinary(p)) for p in parts if p)
+
+
+def byte_tokens(text: Column, tokenizer: str = "byte_bpe_50k.tiktoken", specials: tuple[str, ...] = ("<|endoftext|>",)) -> Column:
     """Tokens of a text under byte-level BPE; a null text has none."""
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = kept(ByteBpe, tokenizer_path(tokenizer))
+        ranks = kept(_Ranks, tokenizer_path(tokenizer), specials)
         for batch in texts:
-            yield pa.array([len(ids) // WIDTH for ids in encoded(bpe, batch)], pa.int64())
+            yield pa.array([ranks.count(t.as_py() or "") for t in batch], pa.int64())
     return F.arrow_udf(run, "bigint")(text)
 
 

@@ -166,6 +166,7 @@ def test_spans_where_paths_branch_and_circle(spark):
     rows += [(d + 100, t) for d, t in rows[:60]] + [(None, rows[3][1]), (500, "\n".join(["x" * 300, "é ü"] * 20)), (501, " \t".join(["x" * 300, "é ü"] * 20)), (502, None), (503, ""), (504, " \n "),
                                                     (505, " ".join(pick(70_000))), (506, " ".join(vocab[:12]))] + [(3, rows[3][1])]
     rows += [(507, rows[-4][1] + " tail")]
+    rows += [(508, "x " * 15), (509, "x " * 40), (510, "x y " * 9), (511, "x y " * 30 + "x"), (512, "x " * 14)]   # equal first and last nodes, other lengths
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS gram", "2 AS _key", "3 AS u", "'x' AS kept").repartition(4)
     got = sorted([(r.doc_id, r.n_words, r.n_removed, r.kept) for r in debruijn.without_repeats(frame).collect()], key=str)
     assert got == plain_spans(rows)
