@@ -9,9 +9,9 @@ from ledgerloom.functions.dates import day, open_end
 from ledgerloom.functions.logic import classify, decode, flag
 from ledgerloom.functions.nested import associations, size0
 from ledgerloom.functions.text import empty_to_null, norm_name, typed
-from ledgerloom.models.warehouse import Warehouse, model
+from ledgerloom.models.warehouse import ROW_CHECKS, Warehouse, model
 from ledgerloom.operators import crm as crm_ops
-from ledgerloom.operators import history, joins, people, revenue, sales
+from ledgerloom.operators import history, joins, people, quality, revenue, sales
 from ledgerloom.operators.calendar import date_dim, with_holidays, working_minutes
 from ledgerloom.operators.identity import merged_entities, resolve_identities
 from ledgerloom.operators.ordered import collapse_islands, first_per_key, hot_keys, with_first_last, with_totals
@@ -374,3 +374,10 @@ def mart_customer_costs(wh: Warehouse) -> DataFrame:
     issues = wh.ref("fact_sprint_issues").select(c("company_sk").alias("company_id"), c("owner_sk").alias("owner_id"), c("resolution_date").alias("day"),
                                                  (c("time_hours") * 60).cast("decimal(18,3)").alias("minutes"))
     return people.service_costs({"Ticket": tickets, "Engagement": events, "Tech issues": issues}, rates, closed="left")
+
+
+_ENDS = quality.holds("valid_from before valid_to", "valid_from <= valid_to")
+ROW_CHECKS.update({
+    "dim_company": [quality.is_set("company_sk"), quality.is_set("company_name"), quality.holds("contract span", "company_start <= company_end", "warn")],
+    "dim_deal": [quality.is_set("deal_sk"), quality.is_set("deal_stage_sk"), quality.is_set("company_sk"), quality.is_set("owner_sk"), quality.is_set("valid_from"), quality.is_set("valid_to"), _ENDS],
+    "dim_ticket": [quality.is_set("ticket_sk"), quality.is_set("ticket_stage_sk"), quality.is_set("deal_sk"), quality.is_set("company_sk"), _ENDS]})

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.context import new_folder, tune
+from ledgerloom.operators import quality
 from ledgerloom.sources.incremental import incremental_append
 
 
@@ -73,6 +74,9 @@ def incremental(name: str, group: str, table: str, ts: str, day: str):
     return register
 
 
+ROW_CHECKS: dict[str, list[quality.Rule]] = {}
+
+
 class Warehouse:
     """Resolves sources, snapshots and other models. ``source(group, table)`` returns raw relations;
     snapshots are row histories with ``valid_from`` / ``valid_to`` (NULL while open)."""
@@ -84,6 +88,7 @@ class Warehouse:
         self.as_of, self.rules, self._store = as_of, rules or Rules(), store_tables
         self._state = state or new_folder(spark, "warehouse-state")
         self._done: dict[str, DataFrame] = {}
+        self.verdicts: dict[str, dict[str, tuple[int, str]]] = {}   # of the row checks of table models, counted while they were written
 
     def source(self, group: str, table: str) -> DataFrame:
         return self._source(group, table)
@@ -106,8 +111,11 @@ class Warehouse:
             else:
                 df = fn(self)
             if kind == "table" and self._store:
-                path = new_folder(self.spark, name)
-                df.write.parquet(path)
+                path, rules = new_folder(self.spark, name), ROW_CHECKS.get(name)
+                rows, seen = quality.observed(df, rules) if rules else (df, None)
+                rows.write.parquet(path)
+                if seen is not None:
+                    self.verdicts[name] = quality.verdicts(seen, rules)
                 df = self.spark.read.parquet(path)
             self._done[name] = df
         return self._done[name]

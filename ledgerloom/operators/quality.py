@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import boundary_diff
@@ -97,8 +99,66 @@ def dup_names(df: DataFrame, name: str, measure: Column) -> DataFrame:
     return df.where(measure > 0).groupBy(name).agg(F.count(name).alias("n")).where("n > 1")
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A check that a row passes or fails by itself. ``fails`` is the failing condition as SQL text, so that rules can be stated where
+    there is no session yet; NULL is no failure."""
+
+    name: str
+    fails: str
+    severity: str = "error"
+
+
+def is_set(column: str, severity: str = "error") -> Rule:
+    return Rule(f"{column} is set", f"`{column}` IS NULL", severity)
+
+
+def is_one_of(column: str, values: list[str], severity: str = "error") -> Rule:
+    told = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return Rule(f"{column} is known", f"`{column}` NOT IN ({told})", severity)
+
+
+def holds(name: str, condition: str, severity: str = "error") -> Rule:
+    return Rule(name, f"NOT ({condition})", severity)
+
+
+def _counts(rules: list[Rule]) -> list[Column]:
+    return [F.count_if(F.expr(r.fails)).alias(f"check_{i}") for i, r in enumerate(rules)]
+
+
+def _verdict(failing: Column, severity: Column) -> Column:
+    return F.when(failing == 0, "pass").otherwise(F.when(severity == "warn", "warn").otherwise("fail"))
+
+
+def row_summary(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """One row per rule, as ``summary`` gives it, from one scan of the table and one aggregate for all rules."""
+    told = F.array(*[F.struct(F.lit(r.name).alias("check"), F.lit(r.severity).alias("severity"), F.col(f"check_{i}").alias("failing")) for i, r in enumerate(rules)])
+    out = df.agg(*_counts(rules)).select(F.explode(told).alias("c")).select("c.*")
+    return out.withColumn("verdict", _verdict(F.col("failing"), F.col("severity")))
+
+
+def observed(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, Observation]:
+    """``df`` that counts its failing rows while it is written: no scan of its own. ``verdicts`` reads the counts afterwards."""
+    seen = Observation()
+    return df.observe(seen, *_counts(rules)), seen
+
+
+def verdicts(seen: Observation, rules: list[Rule]) -> dict[str, tuple[int, str]]:
+    """Failing rows and verdict of each rule, once the observed rows are written."""
+    counts = seen.get
+    failed = lambda r: "warn" if r.severity == "warn" else "fail"
+    return {r.name: (n, "pass" if n == 0 else failed(r)) for i, r in enumerate(rules) for n in [counts[f"check_{i}"]]}
+
+
+def failing_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The rows that fail any rule, with the names of the rules they fail. Only for looking into a failure."""
+    names = F.filter(F.array(*[F.when(F.expr(r.fails), F.lit(r.name)) for r in rules]), lambda x: x.isNotNull())
+    return df.withColumn("failed", names).where(F.size("failed") > 0)
+
+
 def summary(checks: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """One row per check: failing rows, severity, verdict. ``checks``: name -> (failing rows, severity)."""
+    """One row per check: failing rows, severity, verdict. ``checks``: name -> (failing rows, severity). For checks that need more
+    than a row; see ``row_summary`` for those that do not."""
     parts = []
     for name, (failing, severity) in checks.items():
         parts.append(failing.agg(F.count(F.lit(1)).alias("failing")).select(
@@ -106,5 +166,4 @@ def summary(checks: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    verdict = F.when(F.col("failing") == 0, "pass").otherwise(F.when(F.col("severity") == "warn", "warn").otherwise("fail"))
-    return out.withColumn("verdict", verdict)
+    return out.withColumn("verdict", _verdict(F.col("failing"), F.col("severity")))

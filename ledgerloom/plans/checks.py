@@ -122,9 +122,7 @@ SELECT 'status not null' AS "check", 'error' AS severity, count(*) FILTER (WHERE
 UNION ALL SELECT 'price range', 'warn', count(*) FILTER (WHERE o_totalprice > 300000), 'warn' FROM orders
 UNION ALL SELECT 'known priority', 'error', count(*) FILTER (WHERE o_orderpriority <> '5-LOW'), 'fail' FROM orders""")
 def q15(ctx: Context) -> DataFrame:
-    """Verdict table over several checks with severities."""
-    orders = ctx.table("orders")
-    return quality.summary({
-        "status not null": (quality.not_null(orders, "o_orderstatus"), "error"),
-        "price range": (quality.expression_true(orders, c("o_totalprice") <= 300000), "warn"),
-        "known priority": (quality.accepted(orders, "o_orderpriority", ["5-LOW"]), "error")})
+    """Verdict table over several checks with severities, from one scan."""
+    return quality.row_summary(ctx.table("orders"), [
+        quality.Rule("status not null", "o_orderstatus IS NULL"), quality.holds("price range", "o_totalprice <= 300000", "warn"),
+        quality.Rule("known priority", "o_orderpriority <> '5-LOW'")])

@@ -51,3 +51,9 @@ def test_margin_keeps_revenue(wh):
     paid = wh.ref("fact_revenue_invoiced").where("is_paid").agg(F.sum("recurring_amount"), F.sum("non_recurring_amount")).first()
     report = wh.ref("mart_customer_margin").agg(F.sum("recurring_revenue"), F.sum("nonrecurring_revenue")).first()
     assert tuple(paid) == tuple(report)
+
+
+def test_row_checks_come_with_the_write(wh):
+    for name in ("dim_company", "dim_deal", "dim_ticket"):
+        wh.ref(name)
+        assert wh.verdicts[name] and all(verdict == "pass" for _, verdict in wh.verdicts[name].values()), name
