@@ -14,6 +14,7 @@ from ledgerloom.models.warehouse import Warehouse, incremental, model
 from ledgerloom.operators import crm as crm_ops
 from ledgerloom.operators import joins, portal
 from ledgerloom.operators.aggregate import listagg_distinct
+from ledgerloom.operators.distinct import count_states, dense_ids, distinct_states, merged_states
 from ledgerloom.operators.ordered import first_per_key
 from ledgerloom.operators.project import count_map, with_unknown
 from ledgerloom.operators.ranks import surrogate_rank
@@ -174,11 +175,25 @@ def fact_site_ingestions(wh: Warehouse) -> DataFrame:
     return portal.ingestions(wh.ref("staging_datasource_events"), companies, sites)
 
 
+@model("company_source_states", "table")
+def company_source_states(wh: Warehouse) -> DataFrame:
+    """The data sources that sent something for a company on a day, as states that merge to months."""
+    companies = wh.ref("portal_company_keys").select(c("portal_company_id").alias("company_id"), "company_sk")
+    rows = joins.sk_lookup(wh.ref("staging_datasource_events").select("company_id", "source_id", "day"), companies, "company_id", "company_id", "company_sk")
+    return distinct_states(dense_ids(rows, ["company_sk"], "source_id", "source_no"), ["company_sk", "day"], "source_no")
+
+
 @model("mart_company_ingestions")
 def mart_company_ingestions(wh: Warehouse) -> DataFrame:
-    return wh.ref("fact_site_ingestions").groupBy("company_sk", month_first(c("day")).alias("month")).agg(
-        F.max("sources").alias("sources"), F.sum(money(c("seconds"), 3)).alias("seconds"), F.sum(money(c("data_size"), 6)).alias("data_size"),
+    """Ingestions of a company by month. ``sources`` is the number of different sources of the month; ``rules.sources_as_sum`` gives the sum of
+    the daily numbers of sites and handlers instead, as one source system's report does."""
+    states = wh.ref("company_source_states").withColumn("month", month_first(c("day")))
+    counts = count_states(merged_states(states, ["company_sk", "month"]), ["company_sk", "month"], "_sources")
+    out = wh.ref("fact_site_ingestions").groupBy("company_sk", month_first(c("day")).alias("month")).agg(
+        F.sum("sources").alias("sources"), F.sum(money(c("seconds"), 3)).alias("seconds"), F.sum(money(c("data_size"), 6)).alias("data_size"),
         F.sum("entries").alias("entries"))
+    out = out.join(counts, ["company_sk", "month"], "left")
+    return (out if wh.rules.sources_as_sum else out.withColumn("sources", F.coalesce("_sources", F.lit(0)))).drop("_sources")
 
 
 @incremental("staging_api_tracking", "portal_tracking", "api_tracking", ts="event_date", day="day")

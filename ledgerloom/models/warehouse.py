@@ -30,6 +30,7 @@ class Rules:
     payroll_contacts: tuple[str, ...] = ("Salary", "Salary tax / social security")
     own_company_ids: tuple[int, ...] = ()
     smart_meter_types: tuple[str, ...] = ("meter",)
+    sources_as_sum: bool = False   # a company's sources of a month: the sum of daily numbers instead of different ones
     domestic_country: str = "Germany"
     quiet_ticket_stages: tuple[str, ...] = ("Closed", "Archived")
     service_hours: dict[str, tuple[int, int]] = field(default_factory=lambda: {"Partner": (8, 17), "Support": (10, 16)})

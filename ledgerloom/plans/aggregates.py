@@ -10,9 +10,11 @@ from ledgerloom.functions.dates import month_first
 from ledgerloom.functions.logic import div0, money
 from ledgerloom.functions.nested import associations, ids_of, size0
 from ledgerloom.operators import aggregate, ordered
+from ledgerloom.operators.distinct import count_states, dense_ids, distinct_states, merged_states, trailing_states
 from ledgerloom.operators.ranks import row_number_keys, surrogate_rank
 from ledgerloom.plans.registry import query
 from ledgerloom.plans.shapes import hot_customers
+from ledgerloom.sources.build import build_table
 
 
 def price() -> Column:
@@ -252,3 +254,31 @@ def w10(ctx: Context) -> DataFrame:
                         F.sum("n").over(w).alias("events_to_date"))
 
 
+
+
+def _user_states(ctx: Context) -> DataFrame:
+    """Users of each event type and day, as written states."""
+    rows = ctx.table("events").select("event_type", "user_id", F.to_date("ts").alias("day"))
+    return build_table(distinct_states(dense_ids(rows, [], "user_id", "user_no"), ["event_type", "day"], "user_no"), "user-states")
+
+
+@query("a02_distinct_daily", "SELECT event_type, CAST(ts AS DATE) AS day, count(DISTINCT user_id) AS users FROM events GROUP BY ALL", text="day")
+def a02_daily(ctx: Context) -> DataFrame:
+    """Distinct users a day, from stored states."""
+    return count_states(_user_states(ctx), ["event_type", "day"], "users")
+
+
+@query("a02_distinct_monthly", "SELECT CAST(date_trunc('month', ts) AS DATE) AS month, count(DISTINCT user_id) AS users FROM events GROUP BY ALL", text="month")
+def a02_monthly(ctx: Context) -> DataFrame:
+    """Distinct users a month over all event types, from the states of single days and types: no event is read again."""
+    states = _user_states(ctx).withColumn("month", F.trunc("day", "month"))
+    return count_states(merged_states(states, ["month"]), ["month"], "users")
+
+
+@query("a02_distinct_trailing", """
+WITH e AS (SELECT DISTINCT event_type, user_id, CAST(ts AS DATE) AS day FROM events),
+d AS (SELECT event_type, unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day FROM e GROUP BY event_type)
+SELECT d.event_type, d.day, count(DISTINCT user_id) AS users FROM d JOIN e ON e.event_type = d.event_type AND e.day BETWEEN d.day - 6 AND d.day GROUP BY ALL""", text="day")
+def a02_trailing(ctx: Context) -> DataFrame:
+    """Distinct users of the seven days up to each day, from the same states."""
+    return count_states(trailing_states(_user_states(ctx), ["event_type"], "day", 7), ["event_type", "day"], "users")
