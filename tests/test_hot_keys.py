@@ -74,7 +74,7 @@ def test_both_layouts_give_the_same_rows(spark, hot_above, one_day):
              "numbers": lambda h: ordered.row_numbers(one_day, by, order, h),
              "sums": lambda h: ordered.running_sum(one_day, by, order, h, "x", "s"),
              "ranks": lambda h: ordered.dense_ranks(one_day, by, "known", h, "up", "down"),
-             "islands": lambda h: ordered.collapse_islands(one_day, by, ["stage"], "no", "no", h, order=order, count="c", sums={"s": "x"}),
+             "islands": lambda h: ordered.collapse_islands(one_day.selectExpr("*", "no + 1 AS until"), by, ["stage"], "no", "until", h, order=order, count="c", sums={"s": "x"}),
              "carried": lambda h: ordered.carry_forward(one_day, by, order, h, ["known", "x"])}
     for name, call in calls.items():
         want, got = call(None), call(hot)
