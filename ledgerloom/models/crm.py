@@ -18,7 +18,7 @@ from ledgerloom.operators.ordered import collapse_islands, first_per_key, hot_ke
 from ledgerloom.operators.project import current, lookup_labels, union_all, with_unknown
 from ledgerloom.operators.ranks import row_number_keys, surrogate_rank
 from ledgerloom.operators.schedule import outstanding
-from ledgerloom.sources.build import drop_deleted
+from ledgerloom.sources.build import build_table, drop_deleted
 
 c = F.col
 
@@ -85,7 +85,7 @@ def staging_deals(wh: Warehouse) -> DataFrame:
         F.when(F.length("iban") > 15, F.upper(F.replace("iban", F.lit(" "), F.lit("")))).alias("iban"), empty_to_null(c("account_holder")).alias("account_holder"),
         typed(c("amount"), "decimal(10,2)").alias("amount"), typed(c("arr"), "decimal(10,2)").alias("arr"), "valid_from", "valid_to")
     deals = with_first_last(deals, ["deal_id"], ["valid_from", "valid_to"], last={"company_id": "_company"})
-    hot = hot_keys("deal_id", deals)
+    hot = hot_keys("deal_id", wh.snapshot("deals").select(typed(c("id"), "bigint").alias("deal_id")))   # deleted deals among them: only the layout depends on it
     out = collapse_islands(deals, ["deal_id"], DEAL_STATE, "valid_from", "valid_to", hot)
     return out.withColumn("is_active", _is_open(c("valid_to")))
 
@@ -211,7 +211,8 @@ def dim_deal(wh: Warehouse) -> DataFrame:
     hot = hot_keys("deal_id", versions)
     spans = collapse_islands(history.drop_zero_length(versions), ["deal_id"], ["stage_id"], "valid_from", "valid_to", hot)
     names = stages.where("object_type = 'deals'").select("stage_id", "stage_name", "is_won", "is_closed")
-    spans = row_number_keys(spans.join(names, "stage_id", "left"), ["deal_id", "valid_from"], "deal_stage_sk")
+    spans = build_table(spans.join(names, "stage_id", "left"), "deal_spans")   # both numberings read their rows twice
+    spans = row_number_keys(spans, ["deal_id", "valid_from"], "deal_stage_sk")
     spans = surrogate_rank(spans, ["deal_id"], "deal_sk")
     wins = versions.join(stages.where("is_won").select("stage_id"), "stage_id", "left_semi").groupBy("deal_id").agg(F.min("valid_from").alias("won_date"))
     now = versions.where("is_active").where(c("pipeline_id").isin(*wh.rules.deal_pipelines)).drop("stage_id", "valid_from", "valid_to", "is_active")
@@ -306,6 +307,7 @@ def staging_tickets(wh: Warehouse) -> DataFrame:
     base = with_totals(base, ["ticket_id"], F.min("valid_from").alias("_first"))
     base = base.withColumn("is_first", c("valid_from") == c("_first")).drop("_first")
     out = history.merge_entries(base, entries, "ticket_id", "is_first", "month").withColumn("stage_id", F.coalesce("stage", "old_stage"))
+    out = build_table(out, "ticket_entries")
     state = ["stage_id", "pipeline_id", "owner_id", "company_id", "deal_id", "ticket_name"]
     hot = hot_keys("ticket_id", out)
     spans = collapse_islands(out, ["ticket_id"], state, "valid_from", "valid_to", hot,
@@ -327,6 +329,7 @@ def dim_ticket(wh: Warehouse) -> DataFrame:
     now = first_per_key(versions.where("is_active").drop("stage_name", "is_closed", "owner_id", "valid_from", "valid_to", "is_active"), ["ticket_id"], [c("stage_id")])
     out = spans.join(now, "ticket_id", "left")
     out = out.withColumn("valid_from", F.when(c("valid_from") == c("_first"), F.coalesce("created_at", "valid_from")).otherwise(c("valid_from"))).drop("_first")
+    out = build_table(out, "ticket_spans")   # both numberings read their rows twice
     out = row_number_keys(out, ["ticket_id", "valid_from", "valid_to"], "ticket_stage_sk")
     out = surrogate_rank(out, ["ticket_id"], "ticket_sk").withColumn("is_active", _is_open(c("valid_to")))
     deals = wh.ref("dim_deal").where("is_active AND deal_id <> -1").select("deal_id", "deal_sk", c("company_sk").alias("_company")).distinct()
