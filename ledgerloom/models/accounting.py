@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,8 @@ def _ref_id(column: str) -> Column:
 
 
 @model("staging_invoices", "table")
-def staging_invoices(wh: Warehouse) -> DataFrame:
-    """Lines of real invoices (no drafts, no cancelled ones), set-united with the early invoices kept as receipts."""
+def staging_invoices(wh: Warehouse) -> Iterator[DataFrame]:
+    """Lines of real invoices (no drafts, no cancelled ones), set-united with the early invoices kept as receipts. No invoice is in two parts."""
     inv = wh.source("accounting", "invoices")
     cancelled = inv.where("invoice_type = 'SR'").select(_ref_id("origin").alias("cancelled_id")).where("cancelled_id IS NOT NULL")
     heads = inv.where((c("status").cast("int") != 100) & (c("invoice_type") == "RE")).select(
@@ -49,17 +50,24 @@ def staging_invoices(wh: Warehouse) -> DataFrame:
         money(c("net")).alias("net_amount"), money(c("tax")).alias("tax_amount"), money(c("gross")).alias("gross_amount"), money(c("discount")).alias("discount"))
     parts = wh.source("accounting", "products").select(typed(c("id"), "bigint").alias("_part"), "part_number")
     kinds = wh.source("files", "revenue_categories").select(c("product_number").alias("_no"), c("is_recurring").cast("boolean").alias("is_recurring"), c("category").alias("revenue_category"))
+    parts = parts.join(kinds, c("_no") == c("part_number"), "left").drop("_no")
     customers = wh.source("accounting", "customers").select(typed(c("id"), "bigint").alias("_cust"), typed(c("customer_number"), "bigint").alias("accounting_id"))
-    out = (heads.join(lines, c("_inv") == c("invoice_id"), "left").join(parts, c("_part") == c("product_id"), "left")
-           .join(kinds, c("_no") == c("part_number"), "left").join(customers, c("_cust") == c("contact_id"), "left").drop("_inv", "_part", "_no", "_cust"))
-    out = out.withColumn("due_date", F.date_add("date_key", c("days_to_pay"))).withColumn(
-        "revenue_category", F.when(c("is_recurring"), "Monitoring recurring").otherwise(c("revenue_category")))
     early = wh.source("accounting", "receipts").where((c("credit_debit") == "D") & regex_full(c("description"), r"[0-9\.]+")
                                                       & (day(c("voucher_date")) <= F.lit("2021-01-01").cast("date"))).select(
         typed(c("id"), "bigint").alias("invoice_id"), day(c("voucher_date")).alias("date_key"), c("description").alias("invoice_number"),
-        _ref_id("supplier").alias("contact_id"), money(c("net")).alias("net_amount"), money(c("tax")).alias("tax_amount"),
-        money(c("gross")).alias("gross_amount"), (c("status") == "1000").alias("is_paid"), day(c("pay_date")).alias("pay_date"))
-    return union_all([out, early]).distinct()
+        _ref_id("supplier").alias("contact_id"), money(c("net")).alias("_net"), money(c("tax")).alias("_tax"),
+        money(c("gross")).alias("_gross"), (c("status") == "1000").alias("is_paid"), day(c("pay_date")).alias("pay_date"))
+    for some, same in wh.in_passes(lines, "_inv", "invoice_lines"):
+        known = same(heads, "invoice_id").join(customers, c("_cust") == c("contact_id"), "left").drop("_cust").withColumn("_early", F.lit(False))
+        # early ones go through the join too, without lines: so the rows of an invoice are in one place and need no further shuffle to be united
+        known = union_all([known, same(early, "invoice_id").withColumn("_early", F.lit(True))])
+        some = some.join(parts, c("_part") == c("product_id"), "left").drop("_part")
+        out = known.join(some, (c("_inv") == c("invoice_id")) & ~c("_early"), "left").drop("_inv")
+        for n in ("net", "tax", "gross"):
+            out = out.withColumn(f"{n}_amount", F.when(c("_early"), c(f"_{n}")).otherwise(c(f"{n}_amount"))).drop(f"_{n}")
+        out = out.withColumn("due_date", F.date_add("date_key", c("days_to_pay"))).withColumn(
+            "revenue_category", F.when(c("is_recurring"), "Monitoring recurring").otherwise(c("revenue_category")))
+        yield out.drop("_early").distinct()
 
 
 @model("staging_contacts", "table")
@@ -174,18 +182,19 @@ def _deal_keys(wh: Warehouse) -> DataFrame:
 
 
 @model("fact_revenue_invoiced", "table")
-def fact_revenue_invoiced(wh: Warehouse) -> DataFrame:
+def fact_revenue_invoiced(wh: Warehouse) -> Iterator[DataFrame]:
     """One row per invoice with recurring and other amounts."""
     companies = wh.ref("dim_company").where("accounting_id IS NOT NULL").select("accounting_id", c("company_sk").alias("company_id"))
-    lines = wh.ref("staging_invoices").join(companies, "accounting_id", "left").select(
-        "invoice_id", "deal_id", "company_id", c("date_key").alias("invoice_date"), c("charge_months").alias("months"),
-        F.coalesce("is_recurring", F.lit(False)).alias("is_recurring"), c("net_amount").alias("net"))
-    sums = revenue.invoiced_revenue(lines, _deal_keys(wh))
-    heads = wh.ref("staging_invoices").groupBy("invoice_id").agg(
-        F.max("invoice_number").alias("invoice_number"), F.max("period_from").alias("period_from"), F.max("period_to").alias("period_to"),
-        F.bool_or("is_paid").alias("is_paid"), F.max("due_date").alias("due_date"), F.max("dunning_level").alias("dunning_level"))
-    ends = _deal_keys(wh).select("deal_sk", "contract_start", "contract_end")
-    return sums.join(heads, "invoice_id").join(ends, "deal_sk", "left")
+    for invoices in wh.parts("staging_invoices"):
+        lines = invoices.join(companies, "accounting_id", "left").select(
+            "invoice_id", "deal_id", "company_id", c("date_key").alias("invoice_date"), c("charge_months").alias("months"),
+            F.coalesce("is_recurring", F.lit(False)).alias("is_recurring"), c("net_amount").alias("net"))
+        sums = revenue.invoiced_revenue(lines, _deal_keys(wh))
+        heads = invoices.groupBy("invoice_id").agg(
+            F.max("invoice_number").alias("invoice_number"), F.max("period_from").alias("period_from"), F.max("period_to").alias("period_to"),
+            F.bool_or("is_paid").alias("is_paid"), F.max("due_date").alias("due_date"), F.max("dunning_level").alias("dunning_level"))
+        ends = _deal_keys(wh).select("deal_sk", "contract_start", "contract_end")
+        yield sums.join(heads, "invoice_id").join(ends, "deal_sk", "left")
 
 
 @model("fact_revenue_booked")

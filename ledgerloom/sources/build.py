@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.context import new_folder
+from ledgerloom.context import new_folder, run_once
 
 
 def build_table(df: DataFrame, name: str, path: str | None = None, partition_by: list[str] | None = None) -> DataFrame:
@@ -14,7 +14,8 @@ def build_table(df: DataFrame, name: str, path: str | None = None, partition_by:
     spark = df.sparkSession
     path = path or new_folder(spark, name)
     writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    with run_once(spark):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.parquet(path)
 
 
